@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.functions import clock
+
 HISTORY_DAYS = 10
 
 _ENERGY_FACTS = {
@@ -24,7 +26,7 @@ def daily_energy(samples_df: DataFrame) -> DataFrame:
     total = lambda f: F.sum(F.when(F.col("METRIC") == f, F.col("VALUE")))
     return (
         samples_df.filter(F.col("METRIC").isin(list(_ENERGY_FACTS.values())))
-        .groupBy("ID", F.col("DAY").alias("TIME"))
+        .groupBy("ID", clock.day(F.col("STARTTIME")).alias("TIME"))
         .agg(*[F.coalesce(total(f), F.lit(0.0)).alias(c) for c, f in _ENERGY_FACTS.items()])
     )
 

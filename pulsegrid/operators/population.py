@@ -14,12 +14,18 @@ PROFILE = ("ID", "AGE", "BLOODTYPE", "GENDER", "LOADTIME")
 def population(documents: DataFrame) -> DataFrame:
     """Profiles of each user's latest upload; equally late, different profiles are all kept.
 
-    The distinct profiles are shuffled on every column and joined on (ID, LOADTIME), so a user
-    with very many uploads is spread out. Only one latest time per user meets them.
+    Uploads are first merged per user and load time, so a user with very many uploads is spread
+    out, and each task then passes on one load time per user. Documents are read once.
     """
-    profiles = documents.select(*PROFILE).filter(F.col("ID").isNotNull()).distinct()
-    latest = profiles.groupBy("ID").agg(F.max("LOADTIME").alias("LOADTIME"))
-    return profiles.join(latest, ["ID", "LOADTIME"]).select(*PROFILE)
+    profile = F.struct("AGE", "BLOODTYPE", "GENDER")
+    uploads = (
+        documents.filter(F.col("ID").isNotNull())
+        .groupBy("ID", "LOADTIME").agg(F.collect_set(profile).alias("P"))
+    )
+    latest = uploads.groupBy("ID").agg(
+        F.max_by("P", "LOADTIME").alias("P"), F.max("LOADTIME").alias("LOADTIME")
+    )
+    return latest.select("ID", F.inline("P"), "LOADTIME").select(*PROFILE)
 
 
 def users(population_df: DataFrame) -> DataFrame:

@@ -15,6 +15,11 @@ _HOURLY_FACTS = [f for _, f in HOURLY_SUMS]
 _COLUMN_OF = {f: c for c, f in DAILY_SUMS}
 
 
+# Taken from the time, not from the partition column: the partitions to read are chosen by an
+# explicit range, and a join on the partition column would make Spark plan a second, dynamic choice.
+_DATE = clock.day(F.col("STARTTIME")).alias("DATE")
+
+
 def daily_sum(fact_df: DataFrame) -> DataFrame:
     return fact_df.groupBy("ID", clock.day(F.col("STARTTIME")).alias("DATE"), "UNIT").agg(
         F.sum("VALUE").alias("VALUE")
@@ -35,7 +40,7 @@ def daily_totals(samples_df: DataFrame) -> DataFrame:
     """One row per active user-day with the 18 sums side by side, from one grouping."""
     return (
         samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
-        .groupBy("ID", F.col("DAY").alias("DATE"))
+        .groupBy("ID", _DATE)
         .agg(*[_sum_of(f).alias(c) for c, f in DAILY_SUMS])
     )
 
@@ -48,7 +53,7 @@ def user_days(samples_df: DataFrame) -> DataFrame:
     """
     hours = (
         samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
-        .groupBy("ID", F.col("DAY").alias("DATE"), F.hour("STARTTIME").alias("HOUR"))
+        .groupBy("ID", _DATE, F.hour("STARTTIME").alias("HOUR"))
         .agg(*[_sum_of(f).alias(c) for c, f in DAILY_SUMS])
     )
     hour_sums = F.struct("HOUR", F.struct(*[F.col(_COLUMN_OF[f]).alias(f) for f in _HOURLY_FACTS]))
@@ -106,7 +111,7 @@ def mixed_units(samples_df: DataFrame) -> DataFrame:
     unit = F.coalesce(F.col("UNIT"), F.lit(""))
     return (
         samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
-        .groupBy("ID", F.col("DAY").alias("DATE"), "METRIC")
+        .groupBy("ID", _DATE, "METRIC")
         .agg(F.min(unit).alias("FIRST_UNIT"), F.max(unit).alias("LAST_UNIT"))
         .filter(F.col("FIRST_UNIT") != F.col("LAST_UNIT"))
     )

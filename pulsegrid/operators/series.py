@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from pulsegrid.catalogue import RAW_SERIES
 from pulsegrid.functions import clock
 from pulsegrid.functions.numbers import text_or_empty
+from pulsegrid.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 
 DAY_SERIES = ["ID", "DATE", "SERIES"]
 HEART_RATE_SERIES = "HEART_RATE_ARR"
 
 # Samples per array. A longer day is continued in further rows, numbered by PART.
 PART_ITEMS = 50_000
-# Rows of a checked size that may be broadcast.
-BROADCAST_ROWS = 200_000
 
 
 def raw_points(samples_df: DataFrame, series=RAW_SERIES) -> DataFrame:
@@ -25,7 +24,7 @@ def raw_points(samples_df: DataFrame, series=RAW_SERIES) -> DataFrame:
         F.col("METRIC").isin([f for _, f in series])
         & F.col("STARTTIME").isNotNull() & F.col("VALUE").isNotNull()
     ).select(
-        "ID", F.col("DAY").alias("DATE"), F.element_at(name, F.col("METRIC")).alias("SERIES"),
+        "ID", clock.day(F.col("STARTTIME")).alias("DATE"), F.element_at(name, F.col("METRIC")).alias("SERIES"),
         F.col("STARTTIME").alias("T"), F.col("VALUE").alias("V"),
         F.xxhash64("ENDTIME", "UNIT", "UUID", "DEVICE").alias("TIE"),
     )
@@ -35,7 +34,7 @@ def heart_rate_points(samples_df: DataFrame) -> DataFrame:
     """Distinct heart rates per hour; NULL for the hours without any on an active day."""
     points = (
         samples_df.filter((F.col("METRIC") == "HEARTRATE") & F.col("STARTTIME").isNotNull())
-        .select("ID", F.col("DAY").alias("DATE"),
+        .select("ID", clock.day(F.col("STARTTIME")).alias("DATE"),
                 clock.hour_start(F.col("STARTTIME")).alias("T"), F.col("VALUE").alias("V"))
         .distinct()
     )
@@ -51,10 +50,6 @@ def heart_rate_points(samples_df: DataFrame) -> DataFrame:
     )
 
 
-def _small(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add PART, so that no (ID, DATE, SERIES, PART) holds many more than ``part_items`` points.
@@ -69,8 +64,7 @@ def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
     if long_days.isEmpty():
         return points.withColumn("PART", F.lit(0))
 
-    if _small(long_days, broadcast_rows):
-        long_days = F.broadcast(long_days)
+    long_days = broadcast_if_small(long_days, broadcast_rows)
     points = points.withColumn("SECOND", clock.second_start(F.col("T")))
     short = points.join(long_days, DAY_SERIES, "left_anti").withColumn("PART", F.lit(0))
     long = points.join(long_days, DAY_SERIES, "left_semi")
@@ -85,8 +79,7 @@ def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
         *DAY_SERIES, "SECOND", part_of(F.col("BEFORE")).alias("FIRST"),
         part_of(F.col("BEFORE") + F.col("N") - 1).alias("LAST"),
     )
-    if _small(seconds, broadcast_rows):
-        seconds = F.broadcast(seconds)
+    seconds = broadcast_if_small(seconds, broadcast_rows)
     spread = F.pmod("TIE", (F.col("LAST") - F.col("FIRST") + 1).cast("bigint"))
     numbered = long.join(seconds, [*DAY_SERIES, "SECOND"]).withColumn(
         "PART", (F.col("FIRST") + spread).cast("int")

@@ -26,17 +26,19 @@ def samples_between(samples_df: DataFrame, calendar: Calendar) -> DataFrame:
 
 
 def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
-              part_items: int = series.PART_ITEMS, history_days: int = history.HISTORY_DAYS,
-              legacy_labels: bool = False) -> DataFrame:
+              days: DataFrame | None = None, part_items: int = series.PART_ITEMS,
+              history_days: int = history.HISTORY_DAYS, legacy_labels: bool = False) -> DataFrame:
     """All user-day columns for the given keys (ID, DATE and whatever else they carry).
 
     Every input is aggregated to user-days before it is joined, by keys no busier than an hour, a
     minute or a part, so the joins meet one row per user-day. A day whose series is longer than a
     part has further rows, PART 1 and up, that carry only the rest of the series.
+
+    ``days`` may hold ``rollup.user_days`` as a stored table; the history is then taken from it.
     """
     rows = samples_between(samples_df, calendar)
-    days = rollup.user_days(rows)
-    energy = history.energy_of_days(days)
+    energy = history.daily_energy(rows) if days is None else history.energy_of_days(days)
+    days = rollup.user_days(rows) if days is None else days
     week = history.energy_history(energy, calendar, history_days, legacy_labels)
     first_part = F.col("PART") == 0
     wide = (
@@ -68,15 +70,14 @@ def fill_days(days: DataFrame, run_date: Column) -> DataFrame:
 
 def pop_agg(samples_df: DataFrame, population_df: DataFrame,
             calendar: Calendar = DEFAULT_CALENDAR, run_date: Column | None = None,
-            part_items: int = series.PART_ITEMS, history_days: int = history.HISTORY_DAYS,
-            legacy_labels: bool = False) -> DataFrame:
+            **options) -> DataFrame:
     """One row per user and calendar day, 40 columns and PART.
 
     Sums, nights and arrays are NULL on days without samples, hourly arrays always have 24 entries.
-    PART is 0 except on the continuation rows of very long days.
+    PART is 0 except on the continuation rows of very long days. ``options`` go to ``wide_days``.
     """
     spine = population.profiled_spine(population_df, calendar)
-    days = wide_days(samples_df, spine, calendar, part_items, history_days, legacy_labels)
+    days = wide_days(samples_df, spine, calendar, **options)
     return fill_days(days, F.current_timestamp() if run_date is None else run_date)
 
 

@@ -50,26 +50,10 @@ def store_samples(samples_df: DataFrame, path: str) -> DataFrame:
     return store(clustered(samples_df, *SAMPLE_ORDER), path, "DAY")
 
 
-def replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Overwrite only the partitions that occur in ``df``; a repeated call changes nothing."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-
-
 def append_row(spark: SparkSession, path: str, **values: Column) -> None:
     spark.range(1).select(*[v.alias(k) for k, v in values.items()]).write.mode("append").parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
-
-
 def _complete_versions(spark: SparkSession, root: str) -> list[int]:
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
     fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
