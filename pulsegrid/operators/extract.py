@@ -95,6 +95,17 @@ def fact(samples_df: DataFrame, fact_name: str, legacy_positions: bool = False)
     return _table(samples_df.filter(F.col("METRIC") == fact_name), metric, legacy_positions)
 
 
+def facts(samples_df: DataFrame, template: str) -> DataFrame:
+    """All fact tables of one template together, told apart by METRIC."""
+    metrics = [m for m in CATALOGUE if m.template == template]
+    rows = samples_df.filter(_one_of(metrics))
+    if template == SLEEP_TEMPLATE:
+        return sleep_fact(rows)
+    named = rows.withColumn("ID", F.struct("METRIC", "ID"))
+    table = _food(named, False) if template == FOOD else _measure(named)
+    return table.select("ID.METRIC", "ID.ID", *table.columns[1:])
+
+
 def _table(rows: DataFrame, metric, legacy_positions: bool = False) -> DataFrame:
     if metric.template == FOOD:
         return _food(rows, legacy_positions)

@@ -24,19 +24,28 @@ def unwrap(value: Column) -> Column:
     return F.coalesce(F.get_json_object(value, "$.body"), value)
 
 
-def _restore_boundary(piece: Column) -> Column:
-    """Give back the braces a piece lost when the file was cut at ``_BOUNDARY``."""
-    opened = F.when(piece.rlike(r"^\s*\{"), piece).otherwise(F.concat(F.lit('{"'), piece))
-    wrapped = opened.rlike(r'^\s*\{"body"\s*:')
-    closed = F.when(wrapped, opened.rlike(r"\}\s*\}\s*$")).otherwise(opened.rlike(r"\}\s*$"))
-    return F.when(closed, opened).otherwise(F.concat(opened, F.lit("}")))
+def _opened(piece: Column) -> Column:
+    """Give back the start a piece lost when the file was cut at ``_BOUNDARY``."""
+    return F.when(piece.rlike(r"^\s*\{"), piece).otherwise(F.concat(F.lit('{"'), piece))
 
 
-def frame(pieces: DataFrame, column: str = "value") -> DataFrame:
+def _closed(doc: Column) -> Column:
+    """Give back the closing brace the last document of a piece lost in the same way.
+
+    No value of a document is an object, so a whole document ends in one brace and a whole
+    envelope in two.
+    """
+    enveloped = doc.rlike(r'^\s*\{"body"\s*:')
+    whole = F.when(enveloped, doc.rlike(r"\}\s*\}\s*$")).otherwise(doc.rlike(r"\}\s*$"))
+    return F.when(whole, doc).otherwise(F.concat(doc, F.lit("}")))
+
+
+def frame(rows: DataFrame, column: str = "value") -> DataFrame:
     """Text with any number of documents per row to one bare document per row."""
+    docs = F.transform(split_documents(_opened(F.col(column))), _closed)
     return (
-        pieces.select(F.explode(split_documents(F.col(column))).alias("doc"))
-        .filter(F.trim("doc") != "")
+        rows.filter(F.trim(column) != "")
+        .select(F.explode(docs).alias("doc"))
         .select(text.strip_type_prefixes(unwrap(F.col("doc"))).alias(RECORD))
     )
 
@@ -44,12 +53,7 @@ def frame(pieces: DataFrame, column: str = "value") -> DataFrame:
 def read_documents(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """Upload files as one document per row, in batch or as a file stream."""
     reader = spark.readStream if streaming else spark.read
-    pieces = reader.option("lineSep", _BOUNDARY).text(path)
-    return frame(
-        pieces.filter(F.trim("value") != "").select(
-            _restore_boundary(F.col("value")).alias("value")
-        )
-    )
+    return frame(reader.option("lineSep", _BOUNDARY).text(path))
 
 
 def parse_documents(records: DataFrame, metrics=CATALOGUE) -> DataFrame:
