@@ -25,7 +25,9 @@ _FOOD_FIELDS = (
     ("FOODMEAL", "meal"),
 )
 
-_NULL_TEXT = F.lit(None).cast("string")
+
+def _null_text() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _one_of(metrics) -> Column:
@@ -67,9 +69,9 @@ def parse_elements(rows: DataFrame, metrics=CATALOGUE) -> DataFrame:
         .otherwise(_where(sleep, F.round(s["value"]), s["value"]))
         .alias("VALUE"),
         _where(sleep, F.lit("Sleep"), s["unit"]).alias("UNIT"),
-        _where(no_uuid, _NULL_TEXT, s["uuid"]).alias("UUID"),
+        _where(no_uuid, _null_text(), s["uuid"]).alias("UUID"),
         s["source"].alias("DEVICE"),
-        *[_where(food, s["metadata"][f], _NULL_TEXT).alias(c) for c, f in _FOOD_FIELDS],
+        *[_where(food, s["metadata"][f], _null_text()).alias(c) for c, f in _FOOD_FIELDS],
     )
 
 
@@ -101,9 +103,7 @@ def facts(samples_df: DataFrame, template: str) -> DataFrame:
     rows = samples_df.filter(_one_of(metrics))
     if template == SLEEP_TEMPLATE:
         return sleep_fact(rows)
-    named = rows.withColumn("ID", F.struct("METRIC", "ID"))
-    table = _food(named, False) if template == FOOD else _measure(named)
-    return table.select("ID.METRIC", "ID.ID", *table.columns[1:])
+    return _food(rows, False, "METRIC") if template == FOOD else _measure(rows, "METRIC")
 
 
 def _table(rows: DataFrame, metric, legacy_positions: bool = False) -> DataFrame:
@@ -112,13 +112,14 @@ def _table(rows: DataFrame, metric, legacy_positions: bool = False) -> DataFrame
     return _measure(rows) if metric.template == MEASURE else sleep_fact(rows)
 
 
-def _measure(rows: DataFrame) -> DataFrame:
+def _measure(rows: DataFrame, *leading: str) -> DataFrame:
     return rows.select(
-        "ID", "STARTTIME", "ENDTIME", "VALUE", "UNIT", "UUID", _NULL_TEXT.alias("APP"), "DEVICE"
+        *leading, "ID", "STARTTIME", "ENDTIME", "VALUE", "UNIT", "UUID",
+        _null_text().alias("APP"), "DEVICE",
     )
 
 
-def _food(rows: DataFrame, legacy_positions: bool) -> DataFrame:
+def _food(rows: DataFrame, legacy_positions: bool, *leading: str) -> DataFrame:
     """Food columns bound by name.
 
     ``legacy_positions`` gives the values in the four food text columns in the order the original
@@ -138,9 +139,10 @@ def _food(rows: DataFrame, legacy_positions: bool) -> DataFrame:
             "FOODUSDANUMBER": "FOODMEAL",
         }
     return rows.select(
-        "ID", "VALUE", "UNIT", "UUID", _NULL_TEXT.alias("APP"), "DEVICE", "STARTTIME", "ENDTIME",
-        _NULL_TEXT.alias("EXTERNALUUID"), "FOODIMAGENAME",
-        *[(F.col(v) if v else _NULL_TEXT).alias(c) for c, v in text_columns.items()],
+        *leading, "ID", "VALUE", "UNIT", "UUID", _null_text().alias("APP"), "DEVICE", "STARTTIME",
+        "ENDTIME",
+        _null_text().alias("EXTERNALUUID"), "FOODIMAGENAME",
+        *[(F.col(v) if v else _null_text()).alias(c) for c, v in text_columns.items()],
     )
 
 
@@ -156,7 +158,7 @@ def sleep_fact(samples_df: DataFrame) -> DataFrame:
         samples_df.filter((F.col("METRIC") == "SLEEP") & F.col("DEVICE").ilike("Watch%"))
         .withColumn("VALUE", nearest_int(F.col("VALUE")))
         .select(
-            "ID", "STARTTIME", "ENDTIME", "VALUE", "UNIT", "UUID", _NULL_TEXT.alias("APP"),
+            "ID", "STARTTIME", "ENDTIME", "VALUE", "UNIT", "UUID", _null_text().alias("APP"),
             "DEVICE", sleep_stage(F.col("VALUE")).alias("CYCLE"),
             clock.minutes_crossed(F.col("STARTTIME"), F.col("ENDTIME")).alias("MINS"),
         )

@@ -74,19 +74,6 @@ def energy_history(energy: DataFrame, calendar, days: int = HISTORY_DAYS,
     )
 
 
-def energy_history_range_join(energy: DataFrame, spine: DataFrame, days: int = HISTORY_DAYS,
-                              legacy_labels: bool = False) -> DataFrame:
-    """The same by a join on ID with a date range; pairs all days of a user, for comparison."""
-    in_range = (spine["ID"] == energy["ID"]) & energy["TIME"].between(
-        F.date_sub(spine["DATE"], days - 1), spine["DATE"]
-    )
-    return (
-        spine.join(energy, in_range)
-        .groupBy(spine["ID"], spine["DATE"])
-        .agg(F.sort_array(F.collect_list(_entry(legacy_labels))).alias("DATA"))
-    )
-
-
 def energy_history_window(energy: DataFrame, spine: DataFrame, days: int = HISTORY_DAYS,
                           legacy_labels: bool = False) -> DataFrame:
     """The same by a range frame over the spine days of a user (one row per day)."""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.catalogue import DAILY_SUMS, HOURLY_SUMS
 from pulsegrid.functions import clock
 from pulsegrid.operators.extract import fact
+from pulsegrid.operators.sizing import broadcast_if_small
 
 KEYS = ["ID", "DATE"]
 _SUMMED_FACTS = [f for _, f in DAILY_SUMS]
@@ -15,13 +16,17 @@ _HOURLY_FACTS = [f for _, f in HOURLY_SUMS]
 _COLUMN_OF = {f: c for c, f in DAILY_SUMS}
 
 
-# Taken from the time, not from the partition column: the partitions to read are chosen by an
-# explicit range, and a join on the partition column would make Spark plan a second, dynamic choice.
-_DATE = clock.day(F.col("STARTTIME")).alias("DATE")
+def _date() -> Column:
+    """The day of a sample, from its time and not from the partition column.
+
+    The partitions to read are chosen by an explicit range; a join on the partition column would
+    make Spark plan a second, dynamic choice.
+    """
+    return clock.day(F.col("STARTTIME")).alias("DATE")
 
 
 def daily_sum(fact_df: DataFrame) -> DataFrame:
-    return fact_df.groupBy("ID", clock.day(F.col("STARTTIME")).alias("DATE"), "UNIT").agg(
+    return fact_df.groupBy("ID", _date(), "UNIT").agg(
         F.sum("VALUE").alias("VALUE")
     )
 
@@ -40,7 +45,7 @@ def daily_totals(samples_df: DataFrame) -> DataFrame:
     """One row per active user-day with the 18 sums side by side, from one grouping."""
     return (
         samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
-        .groupBy("ID", _DATE)
+        .groupBy("ID", _date())
         .agg(*[_sum_of(f).alias(c) for c, f in DAILY_SUMS])
     )
 
@@ -53,7 +58,7 @@ def user_days(samples_df: DataFrame) -> DataFrame:
     """
     hours = (
         samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
-        .groupBy("ID", _DATE, F.hour("STARTTIME").alias("HOUR"))
+        .groupBy("ID", _date(), F.hour("STARTTIME").alias("HOUR"))
         .agg(*[_sum_of(f).alias(c) for c, f in DAILY_SUMS])
     )
     hour_sums = F.struct("HOUR", F.struct(*[F.col(_COLUMN_OF[f]).alias(f) for f in _HOURLY_FACTS]))
@@ -111,7 +116,7 @@ def mixed_units(samples_df: DataFrame) -> DataFrame:
     unit = F.coalesce(F.col("UNIT"), F.lit(""))
     return (
         samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
-        .groupBy("ID", _DATE, "METRIC")
+        .groupBy("ID", _date(), "METRIC")
         .agg(F.min(unit).alias("FIRST_UNIT"), F.max(unit).alias("LAST_UNIT"))
         .filter(F.col("FIRST_UNIT") != F.col("LAST_UNIT"))
     )
@@ -134,3 +139,24 @@ def daily_wide_joins(samples_df: DataFrame, spine: DataFrame) -> DataFrame:
         sums = daily_sum(fact(samples_df, fact_name)).select(*KEYS, F.col("VALUE").alias(column))
         wide = wide.join(sums, KEYS, "left")
     return wide
+
+
+def split_units(days: DataFrame, samples_df: DataFrame) -> DataFrame:
+    """``user_days`` with one row per combination of units where a metric has several on a day.
+
+    Whether there are such days is looked up first. Usually there are none; only they are summed
+    again, unit by unit. VARIANT numbers the rows of a day from 0.
+    """
+    mixed = mixed_units(samples_df).select(*KEYS).distinct()
+    if mixed.isEmpty():
+        return days.withColumn("VARIANT", F.lit(0))
+    keys = broadcast_if_small(mixed)
+    affected = samples_df.withColumn("DATE", _date()).join(keys, KEYS, "left_semi").drop("DATE")
+    sums = [c for c, _ in DAILY_SUMS]
+    number = F.row_number().over(Window.partitionBy(*KEYS).orderBy(*sums)) - 1
+    by_unit = (
+        daily_wide_joins(affected, mixed).distinct().withColumn("VARIANT", number)
+        .join(days.select(*KEYS, "HOURS"), KEYS)
+    )
+    single = days.join(keys, KEYS, "left_anti").withColumn("VARIANT", F.lit(0))
+    return single.unionByName(by_unit)

@@ -34,6 +34,8 @@ def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
     minute or a part, so the joins meet one row per user-day. A day whose series is longer than a
     part has further rows, PART 1 and up, that carry only the rest of the series.
 
+    A metric with several units on a day gives the day one row per unit.
+
     ``days`` may hold ``rollup.user_days`` as a stored table; the history is then taken from it.
     """
     rows = samples_between(samples_df, calendar)
@@ -42,11 +44,12 @@ def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
     week = history.energy_history(energy, calendar, history_days, legacy_labels)
     first_part = F.col("PART") == 0
     wide = (
-        keys.join(days, KEYS, "left")
+        keys.join(rollup.split_units(days, rows), KEYS, "left")
         .join(sleep.sleep_days(sleep_fact(rows)), KEYS, "left")
         .join(week.withColumnRenamed("DATA", "WEEK_CALS_ARR"), KEYS, "left")
         .join(series.day_series(rows, part_items), KEYS, "left")
         .withColumn("PART", F.coalesce("PART", F.lit(0)))
+        .filter((F.col("PART") == 0) | (F.coalesce("VARIANT", F.lit(0)) == 0))
     )
     carried = [c for c in keys.columns if c not in KEYS]
     once = [*_SUMS, "SLEEP", "HOURS", "WEEK_CALS_ARR", "SLEEP_ARR"]
