@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
@@ -27,15 +29,15 @@ def train_grader(graded: DataFrame, diet_name: str | None = None, seed: int = 7,
     rows = rows.select(
         *[F.col(c).cast("double").alias(c) for c in FEATURES],
         F.col("GRADE").cast("int").cast("string").alias("GRADE_TEXT"),
-    )
+    ).dropna()
     indexer = StringIndexer(
         inputCol="GRADE_TEXT", outputCol="label", stringOrderType="alphabetAsc"
     ).fit(rows)
     layers = [len(FEATURES), *HIDDEN_LAYERS, max(2, len(indexer.labels))]
     return Pipeline(
         stages=[
-            indexer.setHandleInvalid("skip"),
-            VectorAssembler(inputCols=FEATURES, outputCol="raw", handleInvalid="skip"),
+            indexer,
+            VectorAssembler(inputCols=FEATURES, outputCol="raw", handleInvalid="keep"),
             StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
             MultilayerPerceptronClassifier(layers=layers, maxIter=max_iterations, seed=seed),
             IndexToString(inputCol="prediction", outputCol="GRADE_NAME", labels=indexer.labels),
@@ -44,13 +46,16 @@ def train_grader(graded: DataFrame, diet_name: str | None = None, seed: int = 7,
 
 
 def predict_grade(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """The input rows with the predicted grade as column GRADE."""
+    """The input rows with the predicted grade as column GRADE; NULL where a feature is missing."""
     kept = [c for c in df.columns if c != "GRADE"]
     typed = df.select(
         F.struct(*kept).alias("ROW"), *[F.col(c).cast("double").alias(c) for c in FEATURES]
     )
     scored = PipelineModel(model.stages[1:]).transform(typed)
-    return scored.select("ROW.*", F.col("GRADE_NAME").cast("int").alias("GRADE"))
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in FEATURES])
+    return scored.select(
+        "ROW.*", F.when(complete, F.col("GRADE_NAME").cast("int")).alias("GRADE")
+    )
 
 
 def with_calorie_difference(df: DataFrame, eaten: Column, burned: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import clock
+from pulsegrid.operators.sizing import spread
 from pulsegrid.sources.dimensions import DEFAULT_CALENDAR, Calendar
 
 PROFILE = ("ID", "AGE", "BLOODTYPE", "GENDER", "LOADTIME")
@@ -34,13 +35,15 @@ def users(population_df: DataFrame) -> DataFrame:
 
 def day_spine(population_df: DataFrame, calendar: Calendar = DEFAULT_CALENDAR) -> DataFrame:
     """Every user on every day. The days are generated in place, per user row: no join."""
-    return users(population_df).select("ID", F.explode(calendar.dates()).alias("DATE"))
+    ids = spread(users(population_df), calendar.days, "ID")
+    return ids.select("ID", F.explode(calendar.dates()).alias("DATE"))
 
 
 def hour_spine(population_df: DataFrame, calendar: Calendar = DEFAULT_CALENDAR) -> DataFrame:
     hours = F.sequence(F.lit(0), F.lit(23))
+    ids = spread(users(population_df), calendar.days * 24, "ID")
     return (
-        day_spine(population_df, calendar)
+        ids.select("ID", F.explode(calendar.dates()).alias("DATE"))
         .select("ID", "DATE", F.explode(hours).alias("H"))
         .select("ID", clock.at_hour(F.col("DATE"), F.col("H")).alias("DATE"))
     )
@@ -48,6 +51,5 @@ def hour_spine(population_df: DataFrame, calendar: Calendar = DEFAULT_CALENDAR)
 
 def profiled_spine(population_df: DataFrame, calendar: Calendar = DEFAULT_CALENDAR) -> DataFrame:
     """The day spine with profile columns carried along instead of joined afterwards."""
-    return population_df.select(
-        "ID", "AGE", "BLOODTYPE", "GENDER", F.explode(calendar.dates()).alias("DATE")
-    )
+    profiles = spread(population_df.select("ID", "AGE", "BLOODTYPE", "GENDER"), calendar.days, "ID")
+    return profiles.select("*", F.explode(calendar.dates()).alias("DATE"))

@@ -1,7 +1,9 @@
-"""Broadcast only what has been counted."""
+"""Plan choices that rest on a count."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +19,18 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint when the count allows it; otherwise the join is left to shuffle."""
     return F.broadcast(df) if is_small(df, rows) else df
+
+
+# Rows a task should make when it multiplies a small table.
+ROWS_PER_TASK = 2_000_000
+
+
+def spread(df: DataFrame, rows_each: int, *keys: str) -> DataFrame:
+    """Partition a small table by what it grows to, before each row becomes ``rows_each`` rows.
+
+    Users fit into a few files, their days do not: without this a handful of tasks would write
+    all of them.
+    """
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(parallel, math.ceil(df.count() * rows_each / ROWS_PER_TASK))
+    return df.repartition(tasks, *keys)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.catalogue import DAILY_SUMS, HOURLY_SUMS, POP_AGG_COLUMNS, RAW_SERIES
 from pulsegrid.operators import history, population, rollup, series, sleep
 from pulsegrid.operators.extract import sleep_fact
+from pulsegrid.sources import tables
 from pulsegrid.sources.dimensions import DEFAULT_CALENDAR, Calendar
 
 KEYS = ["ID", "DATE"]
@@ -73,14 +74,18 @@ def fill_days(days: DataFrame, run_date: Column) -> DataFrame:
 
 def pop_agg(samples_df: DataFrame, population_df: DataFrame,
             calendar: Calendar = DEFAULT_CALENDAR, run_date: Column | None = None,
-            **options) -> DataFrame:
+            clustered: bool = False, **options) -> DataFrame:
     """One row per user and calendar day, 40 columns and PART.
 
     Sums, nights and arrays are NULL on days without samples, hourly arrays always have 24 entries.
-    PART is 0 except on the continuation rows of very long days. ``options`` go to ``wide_days``.
+    PART is 0 except on the continuation rows of very long days. ``clustered`` arranges the rows by
+    date and user for writing, before the empty hours make them large. ``options`` go to
+    ``wide_days``.
     """
     spine = population.profiled_spine(population_df, calendar)
     days = wide_days(samples_df, spine, calendar, **options)
+    if clustered:
+        days = tables.clustered(days, "DATE", "ID")
     return fill_days(days, F.current_timestamp() if run_date is None else run_date)
 
 

@@ -62,9 +62,10 @@ class Workspace:
     def pop_agg(self) -> DataFrame:
         run_date = F.lit(self.calendar.last).cast("timestamp_ntz")
         df = wide.pop_agg(
-            self.samples, self.population, self.calendar, run_date, days=self.user_days
+            self.samples, self.population, self.calendar, run_date, clustered=True,
+            days=self.user_days,
         )
-        return tables.store(tables.clustered(df, "DATE", "ID"), f"{self.root}/pop_agg")
+        return tables.store(df, f"{self.root}/pop_agg")
 
     def fact(self, name: str) -> DataFrame:
         return extract.fact(self.samples, name)

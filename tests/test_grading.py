@@ -30,8 +30,8 @@ def test_train_save_predict(spark, tmp_path):
     assert graded.filter("GRADE is null").count() == 0
 
     model = grading.train_grader(graded, max_iterations=200)
-    scored = grading.predict_grade(model, graded.withColumn("TRUE", F.col("GRADE")))
-    right = scored.filter("GRADE = TRUE").count()
+    scored = grading.predict_grade(model, graded.withColumn("GIVEN", F.col("GRADE")))
+    right = scored.filter("GRADE = GIVEN").count()
     assert right >= 90 and scored.count() == 100
 
     again = grading.train_grader(graded, max_iterations=200)
@@ -57,3 +57,5 @@ def test_only_the_named_diet_is_used_and_grades_may_have_gaps(spark):
     model = grading.train_grader(graded, "X", max_iterations=30)
     grades = {r.GRADE for r in grading.predict_grade(model, graded).collect()}
     assert grades <= {1, 4}
+    gap = graded.limit(1).withColumn("SUGAR", F.lit(None).cast("double"))
+    assert [r.GRADE for r in grading.predict_grade(model, gap).collect()] == [None]
