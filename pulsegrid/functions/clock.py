@@ -48,6 +48,12 @@ def at_hour(date: Column, hour: Column) -> Column:
     return date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour)
 
 
+def hours_of(date: Column) -> Column:
+    """The 24 wall-clock hours of a date, as an array."""
+    midnight = date.cast("timestamp_ntz")
+    return F.sequence(midnight, shift_hours(midnight, 23), F.expr("interval 1 hour"))
+
+
 def minutes_crossed(start: Column, end: Column) -> Column:
     """Number of minute boundaries between two times: 03:59:50 to 04:00:10 is 1."""
     minute_of_day = lambda ts: F.hour(ts) * 60 + F.minute(ts)

@@ -71,22 +71,26 @@ def user_days(samples_df: DataFrame) -> DataFrame:
 def fill_hours(rows: DataFrame) -> DataFrame:
     """HOURS to one 24-entry array per hourly metric, with 0 where an hour has no samples.
 
-    Works row by row, so empty user-days cost no join with an hour spine.
+    Works row by row, so empty user-days cost no join with an hour spine. The array of zeros is
+    made once per row and shared by the metrics without samples, which on most rows is all of them.
     """
-    hour = lambda h: F.struct(
-        clock.at_hour(F.col("DATE"), h).alias("T"), F.try_element_at("HOURS", h).alias("S")
-    )
-    slots = rows.withColumn("SLOTS", F.transform(F.sequence(F.lit(0), F.lit(23)), hour))
+    zero = lambda t: F.struct(t.alias("DATE"), F.lit(0.0).alias("val"))
 
     def series(fact_name: str) -> Column:
-        return F.transform(
-            "SLOTS",
-            lambda s: F.struct(
-                s["T"].alias("DATE"), F.coalesce(s["S"][fact_name], F.lit(0.0)).alias("val")
-            ),
+        sums = lambda hour: F.try_element_at("HOURS", hour)[fact_name]
+        filled = lambda t, hour: F.struct(
+            t.alias("DATE"), F.coalesce(sums(hour), F.lit(0.0)).alias("val")
+        )
+        return F.when(F.col(_COLUMN_OF[fact_name]).isNull(), F.col("ZEROS")).otherwise(
+            F.transform("STARTS", filled)
         )
 
-    return slots.withColumns({c: series(f) for c, f in HOURLY_SUMS}).drop("SLOTS", "HOURS")
+    return (
+        rows.withColumn("STARTS", clock.hours_of(F.col("DATE")))
+        .withColumn("ZEROS", F.transform("STARTS", zero))
+        .withColumns({c: series(f) for c, f in HOURLY_SUMS})
+        .drop("STARTS", "ZEROS", "HOURS")
+    )
 
 
 def hourly_series(fact_df: DataFrame, spine: DataFrame) -> DataFrame:
@@ -94,12 +98,11 @@ def hourly_series(fact_df: DataFrame, spine: DataFrame) -> DataFrame:
     by_day = hourly_sum(fact_df).groupBy("ID", clock.day(F.col("DATE")).alias("DATE")).agg(
         F.map_from_entries(F.collect_list(F.struct(F.hour("DATE"), "VALUE"))).alias("HOURS")
     )
-    filled = lambda h: F.struct(
-        clock.at_hour(F.col("DATE"), h).alias("DATE"),
-        F.coalesce(F.try_element_at("HOURS", h), F.lit(0.0)).alias("val"),
+    filled = lambda t, hour: F.struct(
+        t.alias("DATE"), F.coalesce(F.try_element_at("HOURS", hour), F.lit(0.0)).alias("val")
     )
     return spine.join(by_day, KEYS, "left").select(
-        *KEYS, F.transform(F.sequence(F.lit(0), F.lit(23)), filled).alias("DATA")
+        *KEYS, F.transform(clock.hours_of(F.col("DATE")), filled).alias("DATA")
     )
 
 

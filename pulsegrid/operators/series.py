@@ -120,8 +120,7 @@ def raw_series(samples_df: DataFrame, fact_name: str, part_items: int = PART_ITE
 
 def empty_heart_rate(date) -> F.Column:
     return F.transform(
-        F.sequence(F.lit(0), F.lit(23)),
-        lambda h: F.struct(clock.at_hour(date, h).alias("DATE"), F.lit("").alias("val")),
+        clock.hours_of(date), lambda t: F.struct(t.alias("DATE"), F.lit("").alias("val"))
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Key rows that may be broadcast; 200,000 of them take some tens of megabytes.
@@ -21,8 +21,13 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
-# Rows a task should make when it multiplies a small table.
+# Rows a task should make when a small table is multiplied, and rows of the wide table per file.
 ROWS_PER_TASK = 2_000_000
+WIDE_ROWS_PER_FILE = 500_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_task))
 
 
 def spread(df: DataFrame, rows_each: int, *keys: str) -> DataFrame:
@@ -31,6 +36,4 @@ def spread(df: DataFrame, rows_each: int, *keys: str) -> DataFrame:
     Users fit into a few files, their days do not: without this a handful of tasks would write
     all of them.
     """
-    parallel = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(parallel, math.ceil(df.count() * rows_each / ROWS_PER_TASK))
-    return df.repartition(tasks, *keys)
+    return df.repartition(tasks_for(df.sparkSession, df.count() * rows_each), *keys)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.catalogue import DAILY_SUMS, HOURLY_SUMS, POP_AGG_COLUMNS, RAW_SERIES
 from pulsegrid.operators import history, population, rollup, series, sleep
 from pulsegrid.operators.extract import sleep_fact
+from pulsegrid.operators.sizing import WIDE_ROWS_PER_FILE, tasks_for
 from pulsegrid.sources import tables
 from pulsegrid.sources.dimensions import DEFAULT_CALENDAR, Calendar
 
@@ -79,13 +80,15 @@ def pop_agg(samples_df: DataFrame, population_df: DataFrame,
 
     Sums, nights and arrays are NULL on days without samples, hourly arrays always have 24 entries.
     PART is 0 except on the continuation rows of very long days. ``clustered`` arranges the rows by
-    date and user for writing, before the empty hours make them large. ``options`` go to
-    ``wide_days``.
+    date and user for writing, before the empty hours make them large; the number of files follows
+    from the number of rows, as the size before says little. ``options`` go to ``wide_days``.
     """
     spine = population.profiled_spine(population_df, calendar)
     days = wide_days(samples_df, spine, calendar, **options)
     if clustered:
-        days = tables.clustered(days, "DATE", "ID")
+        rows = population_df.count() * calendar.days
+        files = tasks_for(days.sparkSession, rows, WIDE_ROWS_PER_FILE)
+        days = tables.clustered(days, "DATE", "ID", parts=files)
     return fill_days(days, F.current_timestamp() if run_date is None else run_date)
 
 

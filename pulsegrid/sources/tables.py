@@ -38,12 +38,13 @@ def store(df: DataFrame, path: str, *partitions: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clustered(rows: DataFrame, *columns: str) -> DataFrame:
+def clustered(rows: DataFrame, *columns: str, parts: int | None = None) -> DataFrame:
     """Range-partition and sort, so files cover narrow key ranges and readers can skip them.
 
     All the columns take part in the ranges: a busy user is cut by time, a busy day by metric.
     """
-    return rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    ranges = columns if parts is None else (parts, *columns)
+    return rows.repartitionByRange(*ranges).sortWithinPartitions(*columns)
 
 
 def store_samples(samples_df: DataFrame, path: str) -> DataFrame:
