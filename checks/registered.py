@@ -64,8 +64,7 @@ def _range(w: Workspace) -> tuple[dt.date, dt.date]:
 def steps_daily(w):
     docs = documents.parse_documents(w.landing)
     steps = rollup.daily_sum(extract.extract_metric(docs, "STEPCOUNT"))
-    spine = population.day_spine(population.population(docs), w.calendar)
-    return spine.join(steps, ["ID", "DATE"], "left").select(
+    return w.spine.join(steps, ["ID", "DATE"], "left").select(
         "ID", "DATE", F.col("VALUE").alias("STEPS")
     )
 
@@ -405,7 +404,7 @@ def sql_query(w):
         w.spark,
         "SELECT ID, DATE, STEPS FROM POP_AGG_V "
         "WHERE ID <> :pin AND DATE BETWEEN :first AND :last AND STEPS > :steps",
-        pin="SNOW", first=start, last=end, steps=100.0,
+        pin="NOBODY", first=start, last=end, steps=100.0,
     )
 
 

@@ -114,12 +114,17 @@ def hourly_fill(fact_df: DataFrame, hour_spine: DataFrame) -> DataFrame:
     )
 
 
+def units_per_day(samples_df: DataFrame) -> DataFrame:
+    """Samples per user, day, metric and unit, counted before they are shuffled."""
+    return samples_df.groupBy("ID", _date(), "METRIC", "UNIT").agg(F.count("*").alias("N"))
+
+
 def mixed_units(samples_df: DataFrame) -> DataFrame:
     """User-days on which a summed metric arrives in more than one unit."""
     unit = F.coalesce(F.col("UNIT"), F.lit(""))
     return (
-        samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
-        .groupBy("ID", _date(), "METRIC")
+        units_per_day(samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS)))
+        .groupBy("ID", "DATE", "METRIC")
         .agg(F.min(unit).alias("FIRST_UNIT"), F.max(unit).alias("LAST_UNIT"))
         .filter(F.col("FIRST_UNIT") != F.col("LAST_UNIT"))
     )
@@ -147,12 +152,9 @@ def daily_wide_joins(samples_df: DataFrame, spine: DataFrame) -> DataFrame:
 def split_units(days: DataFrame, samples_df: DataFrame) -> DataFrame:
     """``user_days`` with one row per combination of units where a metric has several on a day.
 
-    Whether there are such days is looked up first. Usually there are none; only they are summed
-    again, unit by unit. VARIANT numbers the rows of a day from 0.
+    Only those days are summed again, unit by unit. VARIANT numbers the rows of a day from 0.
     """
     mixed = mixed_units(samples_df).select(*KEYS).distinct()
-    if mixed.isEmpty():
-        return days.withColumn("VARIANT", F.lit(0))
     keys = broadcast_if_small(mixed)
     affected = samples_df.withColumn("DATE", _date()).join(keys, KEYS, "left_semi").drop("DATE")
     sums = [c for c, _ in DAILY_SUMS]

@@ -99,15 +99,17 @@ def _number(v):
     return v
 
 
-def day_series(samples_df: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
-    """All six series of a user-day in one row per part."""
+def day_series(samples_df: DataFrame, part_items: int | None = PART_ITEMS) -> DataFrame:
+    """All six series of a user-day in one row per part; one part per day without a limit."""
     points = raw_points(samples_df).unionByName(heart_rate_points(samples_df))
     arrays = [
         _ordered_array(F.col("SERIES") == c, text_or_empty if c == HEART_RATE_SERIES else _number)
         .alias(c)
         for c in [HEART_RATE_SERIES, *[c for c, _ in RAW_SERIES]]
     ]
-    return number_parts(points, part_items).groupBy("ID", "DATE", "PART").agg(*arrays)
+    whole = part_items is None
+    parts = points.withColumn("PART", F.lit(0)) if whole else number_parts(points, part_items)
+    return parts.groupBy("ID", "DATE", "PART").agg(*arrays)
 
 
 def raw_series(samples_df: DataFrame, fact_name: str, part_items: int = PART_ITEMS) -> DataFrame:

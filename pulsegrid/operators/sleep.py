@@ -11,6 +11,8 @@ from pulsegrid.functions import clock
 # A night belongs to the day it is in six hours after its start: the day turns at 18:00.
 NIGHT_SHIFT = 6
 NIGHT = ["ID", "DATE"]
+# Minutes a segment is unfolded by at a time.
+STRIP_CHUNK = 1440
 
 
 def _shifted(ts="STARTTIME"):
@@ -133,9 +135,14 @@ def sleep_strip(timeline: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offset = F.coalesce(F.sum(minutes).over(earlier), F.lit(0))
+    chunks = F.sequence(F.lit(0), F.floor((F.col("SLEEP") - 1) / STRIP_CHUNK))
+    low = F.col("CHUNK") * STRIP_CHUNK + 1
+    high = F.least(low + STRIP_CHUNK - 1, F.col("SLEEP"))
     return (
         timeline.withColumn("OFFSET", offset)
         .filter(F.col("SLEEP") > 0)
-        .select("ID", F.explode(F.sequence(F.col("OFFSET") + 1, F.col("OFFSET") + F.col("SLEEP")))
-                .alias("X"), F.col("DAY").alias("Y"), F.col("CYCLE").alias("Cat"))
+        .select("ID", "DAY", "CYCLE", "OFFSET", "SLEEP", F.explode(chunks).alias("CHUNK"))
+        .select("ID", "DAY", "CYCLE", "OFFSET", F.explode(F.sequence(low, high)).alias("MINUTE"))
+        .select("ID", (F.col("OFFSET") + F.col("MINUTE")).alias("X"), F.col("DAY").alias("Y"),
+                F.col("CYCLE").alias("Cat"))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,26 @@ def samples_between(samples_df: DataFrame, calendar: Calendar) -> DataFrame:
     return samples_df.filter(F.col("DAY").between(F.lit(first), F.lit(calendar.last)))
 
 
+class Exceptions(NamedTuple):
+    """What the usual plan does not cover, found out before planning."""
+
+    mixed_units: bool
+    long_days: bool
+
+
+def exceptions(samples_df: DataFrame, part_items: int) -> Exceptions:
+    """One grouping over the sample keys; a single row comes to the driver."""
+    per_metric = rollup.units_per_day(samples_df).groupBy(*KEYS, "METRIC").agg(
+        F.sum("N").alias("N"), F.count("*").alias("UNITS")
+    )
+    summed = F.col("METRIC").isin([f for _, f in DAILY_SUMS])
+    listed = F.col("METRIC").isin("HEARTRATE", *[f for _, f in RAW_SERIES])
+    units, samples = per_metric.agg(
+        F.max(F.when(summed, F.col("UNITS"))), F.max(F.when(listed, F.col("N")))
+    ).first()
+    return Exceptions((units or 0) > 1, (samples or 0) > part_items)
+
+
 def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
               days: DataFrame | None = None, part_items: int = series.PART_ITEMS,
               history_days: int = history.HISTORY_DAYS, legacy_labels: bool = False) -> DataFrame:
@@ -36,7 +57,8 @@ def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
     minute or a part, so the joins meet one row per user-day. A day whose series is longer than a
     part has further rows, PART 1 and up, that carry only the rest of the series.
 
-    A metric with several units on a day gives the day one row per unit.
+    A metric with several units on a day gives the day one row per unit. Both exceptions are looked
+    for first, in one pass over the sample keys, and cost nothing more where there are none.
 
     ``days`` may hold ``rollup.user_days`` as a stored table; the history is then taken from it.
     """
@@ -44,12 +66,17 @@ def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
     energy = history.daily_energy(rows) if days is None else history.energy_of_days(days)
     days = rollup.user_days(rows) if days is None else days
     week = history.energy_history(energy, calendar, history_days, legacy_labels)
+    found = exceptions(rows, part_items)
+    if found.mixed_units:
+        days = rollup.split_units(days, rows)
+    else:
+        days = days.withColumn("VARIANT", F.lit(0))
     first_part = F.col("PART") == 0
     wide = (
-        keys.join(rollup.split_units(days, rows), KEYS, "left")
+        keys.join(days, KEYS, "left")
         .join(sleep.sleep_days(sleep_fact(rows)), KEYS, "left")
         .join(week.withColumnRenamed("DATA", "WEEK_CALS_ARR"), KEYS, "left")
-        .join(series.day_series(rows, part_items), KEYS, "left")
+        .join(series.day_series(rows, part_items if found.long_days else None), KEYS, "left")
         .withColumn("PART", F.coalesce("PART", F.lit(0)))
         .filter((F.col("PART") == 0) | (F.coalesce("VARIANT", F.lit(0)) == 0))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.schema import GRADED_DIET
 
-SAMPLE_ORDER = ("DAY", "METRIC", "ID", "STARTTIME")
+SAMPLE_ORDER = ("DAY", "METRIC", "ID", "STARTTIME", "VALUE", "UUID")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,7 +41,7 @@ def store(df: DataFrame, path: str, *partitions: str) -> DataFrame:
 def clustered(rows: DataFrame, *columns: str, parts: int | None = None) -> DataFrame:
     """Range-partition and sort, so files cover narrow key ranges and readers can skip them.
 
-    All the columns take part in the ranges: a busy user is cut by time, a busy day by metric.
+    All the columns take part in the ranges: a busy user is cut by time, a busy second by sample.
     """
     ranges = columns if parts is None else (parts, *columns)
     return rows.repartitionByRange(*ranges).sortWithinPartitions(*columns)

@@ -25,9 +25,9 @@ def test_samples_are_stored_by_day_in_order(spark, tmp_path):
 
 
 def test_query_binds_values(spark):
-    spark.createDataFrame([("SNOW' OR '1'='1", 1), ("SNOW", 2)], "ID string, N int"
+    spark.createDataFrame([("PIN1' OR '1'='1", 1), ("PIN1", 2)], "ID string, N int"
                           ).createOrReplaceTempView("PINS")
-    got = tables.query(spark, "SELECT N FROM PINS WHERE ID = :pin", pin="SNOW' OR '1'='1")
+    got = tables.query(spark, "SELECT N FROM PINS WHERE ID = :pin", pin="PIN1' OR '1'='1")
     assert [r.N for r in got.collect()] == [1]
     assert tables.column_names(spark, "PINS") == ["ID", "N"]
     assert len(tables.fetch(spark.table("PINS"), 1)) == 1
