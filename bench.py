@@ -12,8 +12,15 @@ import time
 
 from pyspark.sql import SparkSession
 
+from pyspark.sql import functions as F
+
 from checks import registered
-from pulsegrid.plans.workspace import workspace
+from pulsegrid.catalogue import FACTS
+from pulsegrid.operators import extract
+from pulsegrid.plans import refresh
+from pulsegrid.plans.workspace import Workspace, workspace
+from pulsegrid.schema import RECORD
+from pulsegrid.sources import tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -51,6 +58,33 @@ def timed(run) -> float:
     return round(time.perf_counter() - start, 3)
 
 
+def run_out(df) -> None:
+    df.write.format("noop").mode("overwrite").save()
+
+
+def shapes(w: Workspace) -> dict[str, float]:
+    """The same work in two plan shapes, side by side."""
+    documents = w.documents
+    root = tables.new_path(w.spark, "bench")
+    last = F.get_json_object(RECORD, "$.loaddate") >= w.events.agg(
+        F.date_add(F.max("ts").cast("date"), 1).cast("string")
+    ).first()[0]
+
+    def scan_per_fact():
+        for m in FACTS:
+            run_out(extract.extract_metric(documents, m.fact))
+
+    times = {
+        "shape_extract_one_scan": timed(lambda: run_out(extract.samples(documents))),
+        "shape_extract_scan_per_fact": timed(scan_per_fact),
+        "shape_refresh_first_days": timed(
+            lambda: refresh.refresh_batch(w.landing.filter(~last), 0, root, w.calendar)),
+        "shape_refresh_one_more_day": timed(
+            lambda: refresh.refresh_batch(w.landing.filter(last), 1, root, w.calendar)),
+    }
+    return times
+
+
 def main() -> None:
     spark = session()
     w = workspace(spark, SF_DIR)
@@ -60,6 +94,7 @@ def main() -> None:
         times[name] = timed(
             lambda: queries[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
         )
+    times.update(shapes(w))
     print(json.dumps({
         "metric": "total_headline_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),

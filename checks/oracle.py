@@ -28,7 +28,7 @@ def t(expr: str, name: str | None = None) -> str:
 
 
 def n(expr: str, name: str | None = None) -> str:
-    return f"round({expr}, 4) AS {name or expr}"
+    return f"round(round({expr}, 9), 4) AS {name or expr}"
 
 
 def big(expr: str, name: str | None = None) -> str:
@@ -234,8 +234,8 @@ def _stream(part: str) -> str:
 
 _GRADES = """
   , diet AS (
-  SELECT ID, round(coalesce(avg(DIETARY_ENERGY), 0) - coalesce(avg(ACTIVE_ENERGY_BURNED), 0), 4) AS CAL_DIFF,
-    round(coalesce(avg(SUGAR), 0), 4) AS SUGAR
+  SELECT ID, round(round(coalesce(avg(DIETARY_ENERGY), 0) - coalesce(avg(ACTIVE_ENERGY_BURNED), 0), 9), 4) AS CAL_DIFF,
+    round(round(coalesce(avg(SUGAR), 0), 9), 4) AS SUGAR
   FROM sums JOIN days USING (DATE)
   WHERE coalesce(""" + ", ".join(c for c, _ in DAILY_SUMS) + """) IS NOT NULL GROUP BY ID)
   SELECT CAST(GRADE AS BIGINT) AS GRADE, count(*) AS N, CAST(sum(CAST(round(CAL_DIFF) AS INTEGER)) AS BIGINT) AS CAL_DIFF,
@@ -364,8 +364,8 @@ _QUERIES = {
       SELECT ID, strftime(date, '%b %d') AS monthdate, variable,
         round(sum(round_even(round(value / 1000, 9), 1)), 4) AS value
       FROM long GROUP BY ID, strftime(date, '%b %d'), variable""",
-    "chart_ceiling": f"""SELECT ID, round(greatest(max(ACTIVE_ENERGY_BURNED + BASAL_ENERGY_BURNED),
-      max({EV('PROTEIN')} * 4 + {EV('CARBS')} * 4 + {EV('FATTOTAL')} * 9)) / 1000, 4) AS CEILING
+    "chart_ceiling": f"""SELECT ID, round(round(greatest(max(ACTIVE_ENERGY_BURNED + BASAL_ENERGY_BURNED),
+      max({EV('PROTEIN')} * 4 + {EV('CARBS')} * 4 + {EV('FATTOTAL')} * 9)) / 1000, 9), 4) AS CEILING
       FROM tr GROUP BY ID""",
     "weight_domain": f"""SELECT ID, {n('min(BODYMASS)', 'LOW')}, {n('max(BODYMASS)', 'HIGH')}
       FROM tr GROUP BY ID""",

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pulsegrid.catalogue import FOOD, HOURLY_SUMS, MEASURE, RAW_SERIES, SLEEP_TEMPLATE
 from pulsegrid.functions import clock, text
+from pulsegrid.functions.numbers import settled
 from pulsegrid.operators import (
     extract, grading, history, insights, population, rollup, series, sleep,
 )
@@ -31,7 +32,7 @@ def presentable(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
             c = F.date_format(c, STAMP)
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 4)
+            c = F.round(settled(c), 4)
         elif isinstance(f.dataType, (T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         return c.alias(f.name)
@@ -157,7 +158,7 @@ def legacy_weight_text(w):
 
 
 def framed_documents(w):
-    lines = events.framed_uploads(events.event_documents(w.events))
+    lines = events.framed_uploads(w.landing)
     path = tables.new_path(w.spark, "uploads")
     lines.write.option("lineSep", "\n").text(path)
     docs = documents.parse_documents(documents.read_documents(w.spark, path))

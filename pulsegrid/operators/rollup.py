@@ -37,16 +37,20 @@ def hourly_sum(fact_df: DataFrame) -> DataFrame:
     )
 
 
-def _sum_of(fact_name: str) -> Column:
-    return F.sum(F.when(F.col("METRIC") == fact_name, F.col("VALUE")))
+def _sum_of(fact_name: str, total=F.sum) -> Column:
+    return total(F.when(F.col("METRIC") == fact_name, F.col("VALUE")))
 
 
-def daily_totals(samples_df: DataFrame) -> DataFrame:
-    """One row per active user-day with the 18 sums side by side, from one grouping."""
+def daily_totals(samples_df: DataFrame, averaged: tuple[str, ...] = ()) -> DataFrame:
+    """One row per active user-day with the 18 sums side by side, from one grouping.
+
+    Columns named in ``averaged`` (body mass, say) hold the mean of the day instead.
+    """
+    total = lambda c: F.avg if c in averaged else F.sum
     return (
         samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS))
         .groupBy("ID", _date())
-        .agg(*[_sum_of(f).alias(c) for c, f in DAILY_SUMS])
+        .agg(*[_sum_of(f, total(c)).alias(c) for c, f in DAILY_SUMS])
     )
 
 
@@ -130,12 +134,13 @@ def mixed_units(samples_df: DataFrame) -> DataFrame:
     )
 
 
-def daily_wide(samples_df: DataFrame, spine: DataFrame) -> DataFrame:
+def daily_wide(samples_df: DataFrame, spine: DataFrame,
+               averaged: tuple[str, ...] = ()) -> DataFrame:
     """The 18 daily sums beside every spine day: one grouping and one join.
 
     Sums run over all units of a metric; ``daily_wide_joins`` keeps units apart.
     """
-    return spine.join(daily_totals(samples_df), KEYS, "left").select(
+    return spine.join(daily_totals(samples_df, averaged), KEYS, "left").select(
         *KEYS, *[c for c, _ in DAILY_SUMS]
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.catalogue import FACTS, FOOD
 from pulsegrid.functions import clock
+from pulsegrid.functions.numbers import settled
 from pulsegrid.schema import RECORD
 
 UNITS = {
@@ -157,11 +158,11 @@ def framed_uploads(documents: DataFrame) -> DataFrame:
 def graded_diets(user_days: DataFrame) -> DataFrame:
     """Training rows for the diet grader: a user's daily averages and a grade from their balance."""
     mean = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
+    rounded = lambda v: F.round(settled(v), 4)
     features = user_days.groupBy("ID").agg(
-        F.round(
-            mean("DIETARY_ENERGY") - mean("ACTIVE_ENERGY_BURNED"), 4).alias("CAL_DIFF"),
+        rounded(mean("DIETARY_ENERGY") - mean("ACTIVE_ENERGY_BURNED")).alias("CAL_DIFF"),
         *[
-            F.round(mean(source), 4).alias(name)
+            rounded(mean(source)).alias(name)
             for name, source in (("CARBS", "CARBS"), ("FAT", "FATTOTAL"), ("PROTEIN", "PROTEIN"),
                                  ("CHOL", "CHOLESTEROL"), ("SALT", "SODIUM"), ("SUGAR", "SUGAR"))
         ],

@@ -30,8 +30,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def store(df: DataFrame, path: str, *partitions: str) -> DataFrame:
-    """Create or replace a Parquet table and read it back."""
-    writer = df.write.mode("overwrite")
+    """Create or replace a whole Parquet table and read it back."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)

@@ -108,11 +108,12 @@ def test_one_scan_equals_one_scan_per_fact(spark):
     recs = records(spark, document(**arrays))
     docs = parse_documents(recs)
     long = extract.samples(docs)
-    for m in FACTS:
+    assert {r.METRIC: r["count"] for r in long.groupBy("METRIC").count().collect()} == {
+        m.fact: 1 for m in FACTS}
+    for m in FACTS[3::5]:
         one, many = extract.fact(long, m.fact), extract.extract_metric(docs, m.fact)
         assert one.columns == many.columns
         assert one.collect() == many.collect()
-        assert one.count() == 1
     assert extract.facts(long, MEASURE).select("METRIC").distinct().count() == 12
     assert extract.facts(long, FOOD).select("METRIC").distinct().count() == 12
 

@@ -29,12 +29,12 @@ def test_train_save_predict(spark, tmp_path):
     assert graded.columns == COLUMNS and graded.count() == 100
     assert graded.filter("GRADE is null").count() == 0
 
-    model = grading.train_grader(graded, max_iterations=200)
+    model = grading.train_grader(graded, max_iterations=100)
     scored = grading.predict_grade(model, graded.withColumn("GIVEN", F.col("GRADE")))
     right = scored.filter("GRADE = GIVEN").count()
-    assert right >= 90 and scored.count() == 100
+    assert right >= 85 and scored.count() == 100
 
-    again = grading.train_grader(graded, max_iterations=200)
+    again = grading.train_grader(graded, max_iterations=100)
     assert grading.predict_grade(again, graded).collect() == grading.predict_grade(
         model, graded).collect()
 

@@ -92,6 +92,8 @@ def test_two_weighings_are_summed(spark):
         quantity(180, "2024-01-05 12:00:00", unit="lb"),
         quantity(181, "2024-01-05 13:00:00", unit="lb")]))
     assert rollup.daily_sum(extract.fact(s, "BODYMASS")).first().VALUE == 361
+    assert rollup.daily_totals(s).first().BODYMASS == 361
+    assert rollup.daily_totals(s, averaged=("BODYMASS",)).first().BODYMASS == 180.5
 
 
 def test_hourly_forms_agree(spark):
