@@ -129,8 +129,10 @@ def mixed_units(samples_df: DataFrame) -> DataFrame:
     return (
         units_per_day(samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS)))
         .groupBy("ID", "DATE", "METRIC")
-        .agg(F.min(unit).alias("FIRST_UNIT"), F.max(unit).alias("LAST_UNIT"))
-        .filter(F.col("FIRST_UNIT") != F.col("LAST_UNIT"))
+        .agg(F.min(unit).alias("FIRST_UNIT"), F.max(unit).alias("LAST_UNIT"),
+             F.count("*").alias("UNITS"))
+        .filter(F.col("UNITS") > 1)
+        .drop("UNITS")
     )
 
 

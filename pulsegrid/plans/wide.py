@@ -22,9 +22,10 @@ _SERIES = [series.HEART_RATE_SERIES, *[c for c, _ in RAW_SERIES]]
 DAY_COLUMNS = [*KEYS, "PART", *_SUMS, "SLEEP", "HOURS", *_SERIES, "WEEK_CALS_ARR", "SLEEP_ARR"]
 
 
-def samples_between(samples_df: DataFrame, calendar: Calendar) -> DataFrame:
-    """Samples any calendar day can depend on: its history before, its night from the evening."""
-    first = calendar.start - dt.timedelta(days=history.HISTORY_DAYS - 1)
+def samples_between(samples_df: DataFrame, calendar: Calendar,
+                    history_days: int = history.HISTORY_DAYS) -> DataFrame:
+    """Samples any calendar day can depend on: its history, its night from the evening before."""
+    first = calendar.start - dt.timedelta(days=max(history_days - 1, 1))
     return samples_df.filter(F.col("DAY").between(F.lit(first), F.lit(calendar.last)))
 
 
@@ -62,7 +63,7 @@ def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
 
     ``days`` may hold ``rollup.user_days`` as a stored table; the history is then taken from it.
     """
-    rows = samples_between(samples_df, calendar)
+    rows = samples_between(samples_df, calendar, history_days)
     energy = history.daily_energy(rows) if days is None else history.energy_of_days(days)
     days = rollup.user_days(rows) if days is None else days
     week = history.energy_history(energy, calendar, history_days, legacy_labels)

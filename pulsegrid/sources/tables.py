@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pulsegrid.schema import GRADED_DIET
 

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from pulsegrid.sources import documents as D
 from uploads import document, quantity, records
 

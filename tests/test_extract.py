@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from pulsegrid.catalogue import FACTS, FOOD, MEASURE
 from pulsegrid.operators import extract
 from pulsegrid.sources.documents import parse_documents

@@ -1,11 +1,9 @@
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from pulsegrid.plans import refresh
 from pulsegrid.sources import tables
 from pulsegrid.streaming import ingest, rollup as stream_rollup
-from pulsegrid.operators import extract, rollup
+from pulsegrid.operators import rollup
 from test_wide import CAL, RUN, build, rows_of, uploads
 from uploads import document, quantity, records, samples_of, stage
 

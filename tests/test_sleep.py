@@ -3,7 +3,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from pulsegrid.operators import extract, sleep
 from uploads import document, samples_of, stage
