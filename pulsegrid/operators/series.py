@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.catalogue import RAW_SERIES
@@ -31,39 +31,46 @@ def raw_points(samples_df: DataFrame, series=RAW_SERIES) -> DataFrame:
 
 
 def heart_rate_points(samples_df: DataFrame) -> DataFrame:
-    """Distinct heart rates per hour; NULL for the hours without any on an active day."""
-    points = (
+    """Distinct heart rates per hour."""
+    return (
         samples_df.filter((F.col("METRIC") == "HEARTRATE") & F.col("STARTTIME").isNotNull())
         .select("ID", clock.day(F.col("STARTTIME")).alias("DATE"),
                 clock.hour_start(F.col("STARTTIME")).alias("T"), F.col("VALUE").alias("V"))
         .distinct()
+        .select("ID", "DATE", F.lit(HEART_RATE_SERIES).alias("SERIES"), "T", "V",
+                F.xxhash64("V").alias("TIE"))
     )
-    hours = points.groupBy("ID", "DATE").agg(F.collect_set(F.hour("T")).alias("SEEN"))
-    empty = hours.select(
-        "ID", "DATE",
-        F.explode(F.array_except(F.sequence(F.lit(0), F.lit(23)), "SEEN")).alias("H"),
-    ).select("ID", "DATE", clock.at_hour(F.col("DATE"), F.col("H")).alias("T"),
-             F.lit(None).cast("double").alias("V"))
-    return points.unionByName(empty).select(
-        "ID", "DATE", F.lit(HEART_RATE_SERIES).alias("SERIES"), "T", "V",
-        F.xxhash64("V").alias("TIE"),
+
+
+def empty_hours(points: DataFrame) -> DataFrame:
+    """A point without value for every hour a day with points has none in."""
+    seen = points.groupBy(*DAY_SERIES).agg(F.collect_set("T").alias("SEEN"))
+    hours = F.explode(F.array_except(clock.hours_of(F.col("DATE")), "SEEN"))
+    return seen.select(*DAY_SERIES, hours.alias("T")).select(
+        *DAY_SERIES, "T", F.lit(None).cast("double").alias("V"),
+        F.lit(0).cast("bigint").alias("TIE"),
+    )
+
+
+def has_long_day(samples_df: DataFrame, facts, part_items: int = PART_ITEMS) -> bool:
+    """Whether a user-day has more than ``part_items`` samples of one of the facts."""
+    sizes = (
+        samples_df.filter(F.col("METRIC").isin(list(facts)))
+        .groupBy("ID", clock.day(F.col("STARTTIME")), "METRIC").agg(F.count("*").alias("N"))
     )
+    return not sizes.filter(F.col("N") > part_items).isEmpty()
 
 
 def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add PART, so that no (ID, DATE, SERIES, PART) holds many more than ``part_items`` points.
 
-    Days within the limit are PART 0; whether there are others is counted first, on the keys alone.
-    A longer day is cut in time order: points are counted per second (at most 86,400 counts per
+    Days within the limit are PART 0. A longer day is cut in time order: points are counted per second (at most 86,400 counts per
     day), the running count gives the part, and a second that spans parts is spread by TIE.
     Reading the parts in order gives the whole series.
     """
     sizes = points.groupBy(*DAY_SERIES).agg(F.count("*").alias("N"))
     long_days = sizes.filter(F.col("N") > part_items).select(*DAY_SERIES)
-    if long_days.isEmpty():
-        return points.withColumn("PART", F.lit(0))
-
     long_days = broadcast_if_small(long_days, broadcast_rows)
     points = points.withColumn("SECOND", clock.second_start(F.col("T")))
     short = points.join(long_days, DAY_SERIES, "left_anti").withColumn("PART", F.lit(0))
@@ -88,39 +95,68 @@ def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
     return short.select(*columns).unionByName(numbered.select(*columns))
 
 
-def _ordered_array(condition, value):
-    """Array of DATE and val in time order, equal times by value; NULL when there is none."""
-    data = F.sort_array(F.collect_list(F.when(condition, F.struct("T", "V"))))
+def _collected(condition: Column) -> Column:
+    """The points of a group in time order, equal times by value."""
+    return F.sort_array(F.collect_list(F.when(condition, F.struct("T", "V"))))
+
+
+def _shown(data: Column, value=lambda v: v) -> Column:
+    """Array of DATE and val; NULL when it is empty."""
     element = lambda x: F.struct(x["T"].alias("DATE"), value(x["V"]).alias("val"))
     return F.when(F.size(data) > 0, F.transform(data, element))
 
 
-def _number(v):
-    return v
+def _with_empty_hours(data: Column) -> Column:
+    """``empty_hours`` within an array that holds the whole day."""
+    seen = F.transform(data, lambda x: x["T"])
+    missing = F.array_except(clock.hours_of(F.col("DATE")), seen)
+    point = lambda t: F.struct(t.alias("T"), F.lit(None).cast("double").alias("V"))
+    return F.when(F.size(data) > 0, F.sort_array(F.concat(data, F.transform(missing, point))))
+
+
+def _day_arrays(points: DataFrame, columns: list[str]) -> DataFrame:
+    """Days that fit into one array each: grouped by user-day, as the joins that follow need it."""
+    lists = points.groupBy("ID", "DATE").agg(
+        *[_collected(F.col("SERIES") == c).alias(c) for c in columns]
+    )
+    return lists.withColumn("PART", F.lit(0))
+
+
+def _part_arrays(points: DataFrame, columns: list[str], part_items: int) -> DataFrame:
+    return number_parts(points, part_items).groupBy("ID", "DATE", "PART").agg(
+        *[_collected(F.col("SERIES") == c).alias(c) for c in columns]
+    )
 
 
 def day_series(samples_df: DataFrame, part_items: int | None = PART_ITEMS) -> DataFrame:
-    """All six series of a user-day in one row per part; one part per day without a limit."""
-    points = raw_points(samples_df).unionByName(heart_rate_points(samples_df))
-    arrays = [
-        _ordered_array(F.col("SERIES") == c, text_or_empty if c == HEART_RATE_SERIES else _number)
-        .alias(c)
-        for c in [HEART_RATE_SERIES, *[c for c, _ in RAW_SERIES]]
-    ]
-    whole = part_items is None
-    parts = points.withColumn("PART", F.lit(0)) if whole else number_parts(points, part_items)
-    return parts.groupBy("ID", "DATE", "PART").agg(*arrays)
+    """All six series of a user-day in one row per part; one row per day without a limit."""
+    raw = [c for c, _ in RAW_SERIES]
+    columns = [HEART_RATE_SERIES, *raw]
+    heart = heart_rate_points(samples_df)
+    if part_items is None:
+        rows = _day_arrays(raw_points(samples_df).unionByName(heart), columns).withColumn(
+            HEART_RATE_SERIES, _with_empty_hours(F.col(HEART_RATE_SERIES))
+        )
+    else:
+        points = raw_points(samples_df).unionByName(heart).unionByName(empty_hours(heart))
+        rows = _part_arrays(points, columns, part_items)
+    return rows.select(
+        "ID", "DATE", "PART", _shown(F.col(HEART_RATE_SERIES), text_or_empty).alias(HEART_RATE_SERIES),
+        *[_shown(F.col(c)).alias(c) for c in raw],
+    )
 
 
 def raw_series(samples_df: DataFrame, fact_name: str, part_items: int = PART_ITEMS) -> DataFrame:
     """ID, DATE, PART, DATA: the samples of one metric in time order."""
     points = raw_points(samples_df, (("DATA", fact_name),))
-    return number_parts(points, part_items).groupBy("ID", "DATE", "PART").agg(
-        _ordered_array(F.lit(True), _number).alias("DATA")
-    )
+    if has_long_day(samples_df, [fact_name], part_items):
+        rows = _part_arrays(points, ["DATA"], part_items)
+    else:
+        rows = _day_arrays(points, ["DATA"])
+    return rows.select("ID", "DATE", "PART", _shown(F.col("DATA")).alias("DATA"))
 
 
-def empty_heart_rate(date) -> F.Column:
+def empty_heart_rate(date: Column) -> Column:
     return F.transform(
         clock.hours_of(date), lambda t: F.struct(t.alias("DATE"), F.lit("").alias("val"))
     )
@@ -129,9 +165,12 @@ def empty_heart_rate(date) -> F.Column:
 def hourly_distinct(samples_df: DataFrame, spine: DataFrame,
                     part_items: int = PART_ITEMS) -> DataFrame:
     """Distinct heart rates per hour for every user-day of the spine, '' for empty hours."""
-    series = number_parts(heart_rate_points(samples_df), part_items).groupBy(
-        "ID", "DATE", "PART"
-    ).agg(_ordered_array(F.lit(True), text_or_empty).alias("DATA"))
+    name, points = HEART_RATE_SERIES, heart_rate_points(samples_df)
+    if has_long_day(samples_df, ["HEARTRATE"], part_items):
+        rows = _part_arrays(points.unionByName(empty_hours(points)), [name], part_items)
+    else:
+        rows = _day_arrays(points, [name]).withColumn(name, _with_empty_hours(F.col(name)))
+    series = rows.select("ID", "DATE", "PART", _shown(F.col(name), text_or_empty).alias("DATA"))
     return spine.join(series, ["ID", "DATE"], "left").select(
         "ID", "DATE", F.coalesce("PART", F.lit(0)).alias("PART"),
         F.coalesce("DATA", empty_heart_rate(F.col("DATE"))).alias("DATA"),
