@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 def as_wall_clock(text: Column) -> Column:
     """Parse timestamp text; unreadable text gives NULL. A trailing UTC offset is ignored."""
-    return F.regexp_replace(text, r" [+-]\d{4}$", "").try_cast("timestamp_ntz")
+    local = F.substring_index(F.substring_index(text, " +", 1), " -", 1)
+    return local.try_cast("timestamp_ntz")
 
 
 def utc_to_zone(ts: Column, zone: str) -> Column:

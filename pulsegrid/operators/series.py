@@ -24,7 +24,8 @@ def raw_points(samples_df: DataFrame, series=RAW_SERIES) -> DataFrame:
         F.col("METRIC").isin([f for _, f in series])
         & F.col("STARTTIME").isNotNull() & F.col("VALUE").isNotNull()
     ).select(
-        "ID", clock.day(F.col("STARTTIME")).alias("DATE"), F.element_at(name, F.col("METRIC")).alias("SERIES"),
+        "ID", clock.day(F.col("STARTTIME")).alias("DATE"),
+        F.element_at(name, F.col("METRIC")).alias("SERIES"),
         F.col("STARTTIME").alias("T"), F.col("VALUE").alias("V"),
         F.xxhash64("ENDTIME", "UNIT", "UUID", "DEVICE").alias("TIE"),
     )
@@ -65,9 +66,9 @@ def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add PART, so that no (ID, DATE, SERIES, PART) holds many more than ``part_items`` points.
 
-    Days within the limit are PART 0. A longer day is cut in time order: points are counted per second (at most 86,400 counts per
-    day), the running count gives the part, and a second that spans parts is spread by TIE.
-    Reading the parts in order gives the whole series.
+    Days within the limit are PART 0. A longer day is cut in time order: points are counted per
+    second (at most 86,400 counts per day), the running count gives the part, and a second that
+    spans parts is spread by TIE. Reading the parts in order gives the whole series.
     """
     sizes = points.groupBy(*DAY_SERIES).agg(F.count("*").alias("N"))
     long_days = sizes.filter(F.col("N") > part_items).select(*DAY_SERIES)
