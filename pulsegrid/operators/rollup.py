@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrid.catalogue import DAILY_SUMS, HOURLY_SUMS
 from pulsegrid.functions import clock
 from pulsegrid.operators.extract import fact
-from pulsegrid.operators.sizing import broadcast_if_small
+from pulsegrid.operators.sizing import join_counted
 
 KEYS = ["ID", "DATE"]
 _SUMMED_FACTS = [f for _, f in DAILY_SUMS]
@@ -161,14 +161,19 @@ def split_units(days: DataFrame, samples_df: DataFrame) -> DataFrame:
 
     Only those days are summed again, unit by unit. VARIANT numbers the rows of a day from 0.
     """
-    mixed = mixed_units(samples_df).select(*KEYS).distinct()
-    keys = broadcast_if_small(mixed)
-    affected = samples_df.withColumn("DATE", _date()).join(keys, KEYS, "left_semi").drop("DATE")
+    mixed = (
+        units_per_day(samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS)))
+        .groupBy(*KEYS, "METRIC").agg(F.sum("N").alias("N"), F.count("*").alias("UNITS"))
+        .groupBy(*KEYS).agg(F.sum("N").alias("N"), F.max("UNITS").alias("UNITS"))
+        .filter(F.col("UNITS") > 1).select(*KEYS, "N")
+    )
+    dated = samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS)).withColumn("DATE", _date())
+    affected = join_counted(dated, mixed, KEYS).drop("DATE", "N")
     sums = [c for c, _ in DAILY_SUMS]
     number = F.row_number().over(Window.partitionBy(*KEYS).orderBy(*sums)) - 1
     by_unit = (
-        daily_wide_joins(affected, mixed).distinct().withColumn("VARIANT", number)
+        daily_wide_joins(affected, mixed.select(*KEYS)).distinct().withColumn("VARIANT", number)
         .join(days.select(*KEYS, "HOURS"), KEYS)
     )
-    single = days.join(keys, KEYS, "left_anti").withColumn("VARIANT", F.lit(0))
+    single = days.join(mixed.select(*KEYS), KEYS, "left_anti").withColumn("VARIANT", F.lit(0))
     return single.unionByName(by_unit)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrid.catalogue import RAW_SERIES
 from pulsegrid.functions import clock
 from pulsegrid.functions.numbers import text_or_empty
-from pulsegrid.operators.sizing import BROADCAST_ROWS, broadcast_if_small
+from pulsegrid.operators.sizing import BROADCAST_ROWS, join_counted, without_counted
 
 DAY_SERIES = ["ID", "DATE", "SERIES"]
 HEART_RATE_SERIES = "HEART_RATE_ARR"
@@ -71,28 +71,28 @@ def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
     spans parts is spread by TIE. Reading the parts in order gives the whole series.
     """
     sizes = points.groupBy(*DAY_SERIES).agg(F.count("*").alias("N"))
-    long_days = sizes.filter(F.col("N") > part_items).select(*DAY_SERIES)
-    long_days = broadcast_if_small(long_days, broadcast_rows)
+    long_days = sizes.filter(F.col("N") > part_items)
     points = points.withColumn("SECOND", clock.second_start(F.col("T")))
-    short = points.join(long_days, DAY_SERIES, "left_anti").withColumn("PART", F.lit(0))
-    long = points.join(long_days, DAY_SERIES, "left_semi")
+    short = without_counted(points, long_days, DAY_SERIES, broadcast_rows)
+    long = join_counted(points, long_days, DAY_SERIES, broadcast_rows).drop("N")
 
     so_far = Window.partitionBy(*DAY_SERIES).orderBy("SECOND").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    seconds = long.groupBy(*DAY_SERIES, "SECOND").agg(F.count("*").alias("N"))
     part_of = lambda n: F.floor(n / part_items).cast("int")
     before = F.coalesce(F.sum("N").over(so_far), F.lit(0))
-    seconds = seconds.withColumn("BEFORE", before).select(
-        *DAY_SERIES, "SECOND", part_of(F.col("BEFORE")).alias("FIRST"),
-        part_of(F.col("BEFORE") + F.col("N") - 1).alias("LAST"),
+    seconds = (
+        long.groupBy(*DAY_SERIES, "SECOND").agg(F.count("*").alias("N"))
+        .withColumn("BEFORE", before)
+        .select(*DAY_SERIES, "SECOND", "N", part_of(F.col("BEFORE")).alias("FIRST"),
+                part_of(F.col("BEFORE") + F.col("N") - 1).alias("LAST"))
     )
-    seconds = broadcast_if_small(seconds, broadcast_rows)
     spread = F.pmod("TIE", (F.col("LAST") - F.col("FIRST") + 1).cast("bigint"))
-    numbered = long.join(seconds, [*DAY_SERIES, "SECOND"]).withColumn(
+    numbered = join_counted(long, seconds, [*DAY_SERIES, "SECOND"], broadcast_rows).withColumn(
         "PART", (F.col("FIRST") + spread).cast("int")
     )
     columns = [*DAY_SERIES, "T", "V", "PART"]
+    short = short.withColumn("PART", F.lit(0))
     return short.select(*columns).unionByName(numbered.select(*columns))
 
 
