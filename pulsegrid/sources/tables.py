@@ -54,23 +54,35 @@ def append_row(spark: SparkSession, path: str, **values: Column) -> None:
     spark.range(1).select(*[v.alias(k) for k, v in values.items()]).write.mode("append").parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def _complete_versions(spark: SparkSession, root: str) -> list[int]:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, pattern = _file_system(spark, f"{root}/version=*/_SUCCESS")
     found = fs.globStatus(pattern) or []
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
 
 
-def publish(df: DataFrame, root: str, view: str | None = None) -> int:
+def publish(df: DataFrame, root: str, view: str | None = None, keep: int = 2) -> int:
     """Write a new version beside the old one; readers move over once it is complete.
 
     The commit marker Spark writes last is the switch, so a lost driver or a failed write leaves
-    readers on the version before.
+    readers on the version before. Versions older than the last ``keep`` are dropped; the one
+    before stays for queries that still read it.
     """
     spark = df.sparkSession
     versions = _complete_versions(spark, root)
     version = versions[-1] + 1 if versions else 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    (
+        df.write.mode("overwrite")
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        .parquet(f"{root}/version={version}")
+    )
+    for old in [*versions, version][:-keep]:
+        fs, path = _file_system(spark, f"{root}/version={old}")
+        fs.delete(path, True)
     if view:
         current(spark, root).createOrReplaceTempView(view)
     return version

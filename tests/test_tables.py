@@ -33,6 +33,14 @@ def test_query_binds_values(spark):
     assert len(tables.fetch(spark.table("PINS"), 1)) == 1
 
 
+def test_publish_keeps_the_version_before_and_drops_older_ones(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in (1, 2, 3, 4):
+        assert tables.publish(spark.range(n), root) == n
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["version=3", "version=4"]
+    assert tables.current(spark, root).count() == 4
+
+
 def test_current_needs_a_published_version(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tables.current(spark, str(tmp_path / "none"))
