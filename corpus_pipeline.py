@@ -26,15 +26,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group; documents without words are no one's copies and stay."""
+    """The document with the least id of each group. A doc_id names a record: of rows that repeat it, one stays.
+    Rows without words or without an id are no copies, and all stay."""
     on_workers(spark)
     found = jaccard.jaccard_components(docs, "doc_id", "text")
     copies = found.where("key <> component_id").select(F.col("key").alias("doc_id"))
-    # A group's rows with the same least id are repeats of one record: the first stays.
-    kept = docs.join(copies, "doc_id", "left_anti")
-    empty = F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")), F.lit(0)) == 0
-    unique = kept.where(~empty & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return unique.union(kept.where(empty | F.col("doc_id").isNull())).select(COLUMNS)
+    words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
+    record = F.when(words & F.col("doc_id").isNotNull(), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    kept = docs.select(*COLUMNS, record.alias("record")).join(copies, "doc_id", "left_anti")
+    return kept.dropDuplicates(["doc_id", "record"]).select(COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,16 +1,16 @@
 """Quality classifier from weak labels.
 
 Heuristic labellers vote good (1), bad (0) or abstain (-1) on each text by the share of signs among its bytes, of
-capitals among its letters, of words that repeat the word before, of words met before within the same 64 words, of
-its commonest word, of words that end in two signs or more, and of words without a letter or digit. They overlap and
-err. Expectation-maximisation over the counts of vote patterns of all documents estimates each labeller's
-accuracies and the share of good documents without any true label; the number of patterns depends on the
-labellers, not on the input. The posterior of a document's pattern is its soft label, and a linear scorer over
-hashed features is trained on soft labels of a bounded sample. The scorer, not the votes, decides: it also sees
-what no labeller names.
-
-Defined results: null and empty texts have no words, all labellers abstain, and they score the bias of the scorer;
-an empty table trains nothing and gives an empty result.
+capitals among its letters, of words that start with two capitals, of words that repeat the word before, of words
+met before within the same 64 words, of its commonest word, of words that end in two signs or more, and of words
+without a letter or digit. They overlap and err. Expectation-maximisation over the counts of vote patterns of all
+documents estimates each labeller's accuracies and the share of good documents without any true label; the number
+of patterns depends on the labellers, not on the input. The posterior of a document's pattern is its soft label,
+and a linear scorer over hashed features is trained on soft labels of a bounded sample. The scorer, not the votes,
+decides: it also sees what no labeller names.
+
+Defined results: on texts of fewer than LEAST_WORDS words, null and empty ones too, all labellers abstain; they
+are not judged, score the share of good documents, and are kept; an empty table trains nothing and gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,12 +34,15 @@ KEEP = 0.5
 LABELLERS = (
     ("signs", 0.15, 0.05),
     ("capitals", 0.4, 0.15),
+    ("shouting", 0.4, 0.1),
     ("repeats", 0.15, 0.03),
     ("monotony", 0.55, 0.35),
     ("commonest", 0.3, 0.15),
     ("marked", 0.25, 0.03),
     ("bars", 0.1, 0.01),
 )
+#: Shorter texts get no votes and no measures.
+LEAST_WORDS = 5
 #: Words among which repeats are counted for monotony.
 STRETCH = 64
 #: Bins of a measure as a feature.
@@ -70,7 +73,7 @@ def _sums(flags: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 
 def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Texts x labellers; not a number where a text has no words."""
+    """Texts x labellers; not a number where a text has too few words."""
     words = Words(data, offsets)
     hashes = words.hashes(lower=True)
     n = np.diff(words.of)
@@ -80,6 +83,7 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     begins = words.of[:-1][n > 0]
     same[begins] = False
     sign = np.append(_SIGN[data], False)
+    capital = np.append(_CAPITAL[data], False)
     two = sign[words.end - 1] & sign[words.end - 2] & (words.end - words.start > 2)
     signs_in = np.append(0, np.cumsum(_SIGN[data]))
     bare = (signs_in[words.end] - signs_in[words.start]) == words.end - words.start
@@ -96,13 +100,14 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out = np.stack([
         _sums(_SIGN[data], offsets) / np.maximum(np.diff(offsets), 1),
         _sums(_CAPITAL[data], offsets) / np.maximum(_sums(_ALPHA[data], offsets), 1),
+        _sums(capital[words.start] & capital[words.start + 1], words.of) / some,
         _sums(same, words.of) / some,
         _sums(again, words.of) / some,
         np.where(n >= 20, commonest / some, 0.0),
         _sums(two, words.of) / some,
         _sums(bare, words.of) / some,
     ], axis=1)
-    out[n == 0] = np.nan
+    out[n < LEAST_WORDS] = np.nan
     return out
 
 
@@ -133,7 +138,8 @@ class LabelModel:
 def estimate(cast: np.ndarray, counts: np.ndarray) -> LabelModel:
     """Expectation-maximisation over distinct vote patterns and how many documents cast each."""
     labellers = cast.shape[1]
-    m = LabelModel(0.8, np.full(labellers, 0.95), np.full(labellers, 0.4))
+    # Labellers vote bad only far beyond what prose shows: at first, such a vote is taken to be seldom wrong.
+    m = LabelModel(0.8, np.full(labellers, 0.995), np.full(labellers, 0.3))
     if not len(cast):
         return m
     for _ in range(ROUNDS):
@@ -179,7 +185,8 @@ def fit(texts: list[str], soft: np.ndarray, seed: int = 5) -> Scorer:
     for text in texts:
         data, offsets = views(pa.array([text]))
         rows, counts = np.unique(_features(data), return_counts=True)
-        some = [*_bin_features(measures(data, offsets))[0]] if text.strip() else []
+        measured = measures(data, offsets)
+        some = [*_bin_features(measured)[0]] if not np.isnan(measured[0, 0]) else []
         bags.append((np.append(rows, some).astype(np.int64),
                      np.append(counts / max(1, counts.sum()), np.ones(len(some)))))
     steps, step = max(1, EPOCHS * -(-len(bags) // BATCH)), 0
@@ -198,18 +205,19 @@ def fit(texts: list[str], soft: np.ndarray, seed: int = 5) -> Scorer:
     return Scorer(w, bias)
 
 
-def score_batch(scorer: Scorer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Chance of being good, and votes, of each text."""
+def score_batch(scorer: Scorer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chance of being good, votes, and whether it has the words to be judged, of each text."""
     data, offsets = views(texts)
     out = np.full(len(texts), scorer.bias)
     cast = np.full((len(texts), len(LABELLERS)), -1, np.int8)
+    judged = np.zeros(len(texts), bool)
     weights = np.append(scorer.weights, 0.0)
     for first, last in chunks(offsets):
         part, cuts = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         measured = measures(part, cuts)
         cast[first:last] = votes(measured)
-        worded = ~np.isnan(measured[:, 0])
-        out[first:last] += np.where(worded, scorer.weights[_bin_features(measured)].sum(1), 0.0)
+        judged[first:last] = ~np.isnan(measured[:, 0])
+        out[first:last] += np.where(judged[first:last], scorer.weights[_bin_features(measured)].sum(1), 0.0)
         filled = np.flatnonzero(np.diff(cuts))
         if not len(filled):
             continue
@@ -220,7 +228,7 @@ def score_batch(scorer: Scorer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
             rows[np.maximum(ends - back, starts)] = BUCKETS
         grams = np.maximum(ends - starts - 2, 1)
         out[first + filled] += np.add.reduceat(weights[rows], starts) / grams
-    return 1 / (1 + np.exp(-np.clip(out, -30, 30))), cast
+    return 1 / (1 + np.exp(-np.clip(out, -30, 30))), cast, judged
 
 
 def label_model(documents: DataFrame, text: str) -> LabelModel:
@@ -265,10 +273,11 @@ def classify(documents: DataFrame, scorer: Scorer, model: LabelModel, text: str,
     def scored(batches):
         scorer, model = shared.value
         for batch in batches:
-            score, cast = score_batch(scorer, batch["__text"])
+            score, cast, judged = score_batch(scorer, batch["__text"])
+            score = np.where(judged, score, model.good)
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in keep), pa.array(score), pa.array(model.posterior(cast)),
-                 pa.array(score >= threshold)],
+                 pa.array((score >= threshold) | ~judged)],
                 names=[*keep, "score", "posterior", "kept"],
             )
 
