@@ -8,9 +8,9 @@ also starts in a document with a smaller id; windows are judged on the input.
    each shard. The entries travel in packed lists, dealt by hash into buckets of bounded size.
 2. Confirm: a bucket finds the windows that more than one document holds and answers each shard that holds one in a
    later document with the window and its first document.
-3. A shard takes the words of its confirmed windows as phrases, compiles them into an Aho-Corasick automaton over
-   word numbers (so no automaton is larger than its shard), and streams all its documents through it. Every hit
-   whose phrase starts in an earlier document removes the words that it covers.
+3. A shard takes the words of its confirmed windows as phrases, compiles them into Aho-Corasick automata of bounded
+   size over spelled word numbers, and streams all its documents through each. Every hit whose phrase starts in an
+   earlier document removes the words that it covers.
 
 Shards and buckets are numbered from the size of the input. The text moves once: both uses of the shards read one
 shuffle.
@@ -34,13 +34,16 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.arrow import U64, Words, chunks, grams, pack, pack_sorted, unpack, unpack_sorted, views
 
 SIZE = 13
+#: Most phrases in one automaton.
+PHRASES = 50_000
 #: Bytes of text in a shard, and of text whose windows make a bucket.
 SHARD_BYTES, BUCKET_BYTES = 3 << 20, 12 << 20
 _ID_SHIFT = U64(1 << 63)  # ids as unsigned numbers in the same order
 
 
 def _windows(table: pa.Table, size: int) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
-    """For each document of a shard its row, the words around it, its word hashes and window hashes."""
+    """For each document of a shard its row, the words around it, its word hashes and window hashes (with size 0, no
+    windows)."""
     row = 0
     for batch in table.to_batches():
         data, offsets = views(batch["text"])
@@ -49,7 +52,7 @@ def _windows(table: pa.Table, size: int) -> Iterator[tuple[int, Words, np.ndarra
             hashes = words.hashes()
             for i in range(last - first):
                 own = hashes[words.of[i] : words.of[i + 1]]
-                yield row + first + i, (words, i), own, grams(own, size)
+                yield row + first + i, (words, i), own, grams(own, size) if size else own
         row += batch.num_rows
 
 
@@ -117,28 +120,36 @@ def _confirm(table: pa.Table) -> pa.Table:
                     names=["shard", "windows", "first"])
 
 
-def _automaton(table: pa.Table, size: int, confirmed: np.ndarray, first: np.ndarray) -> ahocorasick.Automaton | None:
-    """The confirmed windows as phrases of word numbers, each with the number of its window."""
-    if not len(confirmed):
-        return None
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    done = np.zeros(len(confirmed), bool)
-    for _, _, own, windows in _windows(table, size):
-        at = np.minimum(np.searchsorted(confirmed, windows), len(confirmed) - 1)
-        places = np.flatnonzero((confirmed[at] == windows) & ~done[at])
-        if len(places):
-            numbers = _numbers(own)
-            for place in places.tolist():
-                if not done[at[place]]:
-                    done[at[place]] = True
-                    automaton.add_word(tuple(numbers[place : place + size]), int(at[place]))
-    automaton.make_automaton()
-    return automaton
-
-
-def _numbers(hashes: np.ndarray) -> list[int]:
-    """Words as the numbers that the automata read, 32 bits each."""
-    return (hashes >> U64(32)).tolist()
+def _spelled(words: np.ndarray, vocabulary: np.ndarray, base: int) -> str:
+    """Word hashes as three characters each: the digits of their places in the vocabulary, each digit in an alphabet of
+    its own, so that spellings only match word by word and no node of an automaton has many children. Words outside
+    the vocabulary have a spelling that no phrase holds."""
+    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+    digits = np.stack([at // base**2, at // base % base + base, at % base + 2 * base], axis=1) + 1
+    digits[vocabulary[at] != words] = 0
+    return digits.astype("<u4").tobytes().decode("utf-32-le")
+
+
+def _automata(table: pa.Table, size: int, confirmed: np.ndarray):
+    """Automata over the confirmed windows, PHRASES at most in each: the automaton, its vocabulary and base."""
+    for start in range(0, len(confirmed), PHRASES):
+        part = confirmed[start : start + PHRASES]
+        phrases = np.zeros((len(part), size), U64)
+        for _, _, own, windows in _windows(table, size):
+            at = np.minimum(np.searchsorted(part, windows), len(part) - 1)
+            places = np.flatnonzero(part[at] == windows)
+            if len(places):
+                phrases[at[places]] = own[places[:, None] + np.arange(size)]
+        vocabulary = np.unique(phrases)
+        base = max(1, int(np.ceil(len(vocabulary) ** (1 / 3))))
+        while base**3 < len(vocabulary):
+            base += 1
+        spelled = _spelled(phrases.ravel(), vocabulary, base)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i in range(len(part)):
+            automaton.add_word(spelled[3 * size * i : 3 * size * (i + 1)], start + i)
+        automaton.make_automaton()
+        yield automaton, vocabulary, base
 
 
 def _strip(table: pa.Table, phrases: pa.Table, size: int) -> pa.Table:
@@ -147,26 +158,27 @@ def _strip(table: pa.Table, phrases: pa.Table, size: int) -> pa.Table:
     first = np.concatenate([np.zeros(0, U64), *(unpack(x.as_py()) ^ _ID_SHIFT for x in phrases["first"])])
     order = np.argsort(confirmed)
     confirmed, first = confirmed[order], first[order]
-    automaton = _automaton(table, size, confirmed, first)
+    covered: dict[int, list[np.ndarray]] = {}
+    for automaton, vocabulary, base in _automata(table, size, confirmed):
+        for row, _, own, windows in _windows(table, size):
+            if known[row] and len(windows):
+                hits = list(automaton.iter(_spelled(own, vocabulary, base)))
+                if hits:
+                    ends, which = np.array(hits, np.int64).T
+                    starts = ends // 3 - size + 1
+                    # The spelling holds for the window; its hash must agree as well.
+                    real = (windows[starts] == confirmed[which]) & (first[which] < ids[row])
+                    covered.setdefault(row, []).append(starts[real])
     counts, removed, digests, kept_texts = [], [], [], []
-    for row, (words, i), own, windows in _windows(table, size):
+    for row, (words, i), own, _ in _windows(table, 0):
         gone = np.zeros(len(own) + 1, np.int32)
-        if automaton is not None and known[row] and len(windows):
-            hits = list(automaton.iter(tuple(_numbers(own))))
-            if hits:
-                ends, which = np.array(hits, np.int64).T
-                starts = ends - size + 1
-                # A hit is exact in the automaton's numbers; the window's whole hash must agree as well.
-                real = (windows[starts] == confirmed[which]) & (first[which] < ids[row])
-                np.add.at(gone, starts[real], 1)
-                np.add.at(gone, ends[real] + 1, -1)
-        keep = np.flatnonzero(np.cumsum(gone[:-1]) == 0)
-        a = words.of[i]
-        raw = words.data
-        text = b" ".join([raw[s:e].tobytes() for s, e in zip(words.start[a + keep].tolist(),
-                                                             words.end[a + keep].tolist(), strict=True)])
+        for starts in covered.get(row, ()):
+            np.add.at(gone, starts, 1)
+            np.add.at(gone, starts + size, -1)
+        keep = np.cumsum(gone[:-1]) == 0
+        text = _joined(words, words.of[i], keep)
         counts.append(len(own))
-        removed.append(len(own) - len(keep))
+        removed.append(len(own) - int(keep.sum()))
         digests.append(hashlib.sha256(text).hexdigest())
         kept_texts.append(text)
     return pa.table([table["key"].cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
@@ -174,6 +186,23 @@ def _strip(table: pa.Table, phrases: pa.Table, size: int) -> pa.Table:
                     names=["key", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
+def _joined(words: Words, first: int, keep: np.ndarray) -> bytes:
+    """The kept words of a text, by one blank each."""
+    starts, ends = words.start[first : first + len(keep)][keep], words.end[first : first + len(keep)][keep]
+    if not len(starts):
+        return b""
+    a, b = int(starts[0]), int(ends[-1])
+    use = np.zeros(b - a + 1, np.int8)
+    use[starts - a] += 1
+    use[ends - a] -= 1
+    inside = np.cumsum(use[:-1]) > 0
+    out = words.data[a:b].copy()
+    # One byte behind each word but the last becomes the blank; the words of a text are never adjacent.
+    out[ends[:-1] - a] = 32
+    inside[ends[:-1] - a] = True
+    return out[inside].tobytes()
+
+
 def dedup_phrases(documents: DataFrame, key: str, text: str, size: int = SIZE, shard_bytes: int = SHARD_BYTES,
                   bucket_bytes: int = BUCKET_BYTES, with_text: bool = True) -> DataFrame:
     """key, n_words, n_removed, kept_sha256 and kept_text (kept words joined by one blank) of each document."""
