@@ -9,13 +9,17 @@ intersections; it is computed in blocks, and only where sizes leave a link possi
    documents. Any fixed order is right; this one keeps frequent n-grams out of the way.
 3. For a row of n columns, a partner shares one of the first n - ceil(n * percent / 100) + 1. These prefix entries
    are dealt by column into blocks of the matrix. Columns of a single class drop out.
-4. Dense groups need not be multiplied out to find components. In each block, the entries of a column are paired
-   with the column's first class only (a star). The overlap counts of these pairs are added up over all blocks; each
-   class is compared with the partner of its largest count, and links join classes to components.
+4. Dense groups need not be multiplied out to find components. In each block, the entries of a column are put in
+   order of size and cut where sizes no longer allow a link, and those of a stretch are paired with one class only
+   (a star; its centre is the class whose name hashes lowest, so one class is the centre of a dense group in all
+   columns that it has). The overlap counts of these pairs are added up over all blocks, and pairs below their bound
+   go, unless the centre has DENSE classes or more. Each class is compared with the STARS partners of its largest counts and with the classes that meet it at
+   these partners; links join classes to components.
 5. What is left: columns whose classes lie in different components. There all pairs between components are
    formed whose sizes and positions leave enough common columns, so no link is lost.
-6. Comparing: pairs are dealt into blocks by their left row; the block's members, as a sparse matrix, are multiplied
-   by the left row, and pairs below the size-derived bound ceil(percent * (n + m) / (100 + percent)) go.
+6. Comparing: pairs are dealt into blocks by their left row. The block's members are a sparse matrix, which is
+   multiplied by the left row (and, for stars, by its own transpose); pairs below the size-derived bound
+   ceil(percent * (n + m) / (100 + percent)) go.
 
 A column held by very many documents, as the sketch counts them, is dealt to several blocks and starred in each;
 the stars' centres are starred in turn.
@@ -47,6 +51,10 @@ SLICE = 1 << 16
 BLOCK_BYTES, PACKED = 40 << 20, 1 << 20
 #: A column counted more often is dealt to several blocks, each with about this many entries of it.
 SPLIT = 1 << 16
+#: Star centres that each class is compared with first.
+STARS = 2
+#: Classes around a centre that make a dense group: all of them are compared in blocks.
+DENSE = 32
 #: Pairs compared in one block; classes are marked as wanted in a bitmap of 2**24 bits.
 PAIRS, BITS, PAGE = 512, 1 << 24, 1 << 15
 
@@ -178,8 +186,25 @@ def _dealt(batches, k: int, percent: int, sketch: np.ndarray, blocks: int, split
         yield flush()
 
 
-def _starred(table: pa.Table) -> pa.Table:
-    """Entries of the block's columns that more than one class holds, each with the column's first class."""
+def _centres(starts: np.ndarray, size: np.ndarray, name: np.ndarray, percent: int) -> np.ndarray:
+    """For each entry, in order of column and size, the place of its stretch's centre. Sizes in a stretch may link."""
+    ends = np.append(starts[1:], len(size))
+    wide = np.flatnonzero(100 * size[starts] < percent * size[ends - 1])
+    more = []
+    for start, end in zip(starts[wide].tolist(), ends[wide].tolist(), strict=True):
+        own = size[start:end]
+        at = 0
+        while (at := int(np.searchsorted(own, 100 * own[at] // percent, side="right"))) < len(own):
+            more.append(start + at)
+    starts = np.sort(np.append(starts, np.array(more, np.int64)))
+    lengths = np.diff(np.append(starts, len(size)))
+    stretch = np.repeat(np.arange(len(starts)), lengths)
+    lowest = np.lexsort((mix(name.view(U64)), stretch))[starts]
+    return np.repeat(lowest, lengths)
+
+
+def _starred(table: pa.Table, percent: int) -> pa.Table:
+    """Entries of the block's columns that more than one class holds, each with the centre of its star."""
     parts = []
     for r in table.to_pylist():
         local = unpack(r["local"]).astype(np.int64)
@@ -193,7 +218,7 @@ def _starred(table: pa.Table) -> pa.Table:
     column, name, size, place = column[once], name[once], size[once], place[once]
     starts = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
     lengths = np.diff(np.append(starts, len(column)))
-    first = np.repeat(starts, lengths)
+    first = _centres(starts, size, name, percent)
     held = (np.repeat(lengths, lengths) > 1) | often
     return pa.table([pa.array(x[held]) for x in
                      (column.view(np.int64), name, size, place, name[first], size[first])]
@@ -216,40 +241,49 @@ def _wanted(pairs: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _multiplied(table: pa.Table, percent: int) -> pa.Table:
-    """Linked pairs of a block: each left row times the sparse matrix of its members."""
+def _overlaps(row: np.ndarray, cells: np.ndarray, cuts: np.ndarray, width: int) -> np.ndarray:
+    """Common columns of a row with each row of a sparse matrix."""
+    vector = np.zeros(width, np.int64)
+    vector[row] = 1
+    return np.add.reduceat(vector[cells], cuts)
+
+
+def _multiplied(table: pa.Table, percent: int, among: bool) -> pa.Table:
+    """Linked pairs of a block: each left row times the sparse matrix of its members. With `among`, members are
+    compared with each other as well, and a link of each to one before it tells which belong together."""
     rows: dict[int, np.ndarray] = {}
-    pairs = set()
+    members_of: dict[int, set[int]] = {}
     for r in table.to_pylist():
         if r["class"] not in rows:
             rows[r["class"]] = unpack_sorted(r["columns"])
-        if r["class"] == r["b"]:
-            pairs.add((r["a"], r["b"]))
-    names = list(rows)
-    width, where = np.unique(np.concatenate(list(rows.values())), return_inverse=True)
-    sizes = np.array([len(rows[x]) for x in names])
-    starts = np.append(0, np.cumsum(sizes))
-    index = {name: i for i, name in enumerate(names)}
-    left, right = [], []
-    by_left: dict[int, list[int]] = {}
-    for a, b in pairs:
-        if a in index and b in index:
-            by_left.setdefault(index[a], []).append(index[b])
-    for a, members in by_left.items():
-        vector = np.zeros(len(width), bool)
-        vector[where[starts[a] : starts[a + 1]]] = True
-        members = np.array(sorted(members))
-        cells = np.concatenate([where[starts[b] : starts[b + 1]] for b in members])
-        cuts = np.append(0, np.cumsum(sizes[members]))[:-1]
-        overlap = np.add.reduceat(vector[cells].astype(np.int64), cuts)
-        linked = members[overlap >= least_overlap(sizes[a], sizes[members], percent)]
-        left += [names[a]] * len(linked)
-        right += [names[b] for b in linked]
-    return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
-
-
-def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+        if r["b"] is not None:
+            members_of.setdefault(r["a"], set()).add(r["b"])
+    out = []
+    for a, found in members_of.items():
+        names = [x for x in (a, *sorted(found)) if x in rows]
+        sizes = np.array([len(rows[x]) for x in names])
+        columns, cells = np.unique(np.concatenate([rows[x] for x in names]), return_inverse=True)
+        starts = np.append(0, np.cumsum(sizes))
+        root = list(range(len(names)))
+        for i in range(len(names) - 1 if among else min(1, len(names) - 1)):
+            rest = slice(i + 1, len(names))
+            overlap = _overlaps(cells[starts[i] : starts[i + 1]], cells[starts[i + 1] :],
+                                starts[i + 1 : -1] - starts[i + 1], len(columns))
+            for j in (np.flatnonzero(overlap >= least_overlap(sizes[i], sizes[rest], percent)) + i + 1).tolist():
+                x, y = i, j
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                while root[y] != y:
+                    root[y] = y = root[root[y]]
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((names[i], names[j]))
+    return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: int, among: bool = False) -> DataFrame:
+    """Links that join what the pairs (a, b) of classes join; with `among`, also what links between the partners
+    of a class join, as far as they meet in a block."""
     pairs = stored(pairs.select("a", "b").distinct(), "pairs")
     total = pairs.count()
     if not total:
@@ -280,19 +314,29 @@ def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: i
     roles = roles.withColumn("b", F.when(F.col("class") == F.col("b"), F.col("b"))).distinct()
     rows = _text(documents, text).mapInArrow(wanted_sets, "class long, columns binary")
     return stored(
-        rows.join(roles, "class").groupBy("block").applyInArrow(lambda t: _multiplied(t, percent), "a long, b long"),
+        rows.join(roles, "class").groupBy("block").applyInArrow(
+            lambda t: _multiplied(t, percent, among), "a long, b long"),
         "linked")
 
 
-def _partners(held: DataFrame) -> DataFrame:
-    """For each class the star centre with which it shares most prefix columns."""
-    counted = held.where("class <> centre").groupBy("class", "centre").agg(F.count("*").alias("shared"))
-    best = counted.groupBy("class").agg(F.max_by("centre", F.struct("shared", "centre")).alias("centre"))
+def _partners(held: DataFrame, percent: int) -> DataFrame:
+    """Pairs (centre, class): for each class the centres with which it shares most prefix columns."""
+    n, m = F.col("n"), F.col("centre_n")
+    need = F.ceil(percent * (n + m) / (100 + percent))
+    spare = lambda size: size - F.ceil(size * percent / 100) + 1 - size + need
+    counted = held.where("class <> centre").groupBy("class", "centre").agg(
+        F.count("*").alias("shared"), F.max(F.least(spare(n), spare(m))).alias("least"))
+    # A class has no more centres than prefix columns.
+    ranked = F.sort_array(F.collect_list(F.struct("shared", "centre")), asc=False)
+    spokes = counted.groupBy("centre").agg(F.count("*").alias("spokes"))
+    near = counted.join(spokes, "centre").where((F.col("shared") >= F.col("least")) | (F.col("spokes") >= DENSE))
+    best = near.groupBy("class").agg(F.slice(ranked, 1, STARS).alias("best")).select(
+        F.explode("best.centre").alias("a"), F.col("class").alias("b"))
     centres = held.where("often").select("column", "centre").distinct()
     first = centres.groupBy("column").agg(F.min("centre").alias("first"))
     between = centres.join(first, "column").where("centre <> first").select(
-        F.col("centre").alias("class"), F.col("first").alias("centre")).distinct()
-    return best.union(between).select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b"))
+        F.col("first").alias("a"), F.col("centre").alias("b"))
+    return best.union(between)
 
 
 def _left_over(held: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -328,9 +372,9 @@ def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, pe
     schema = "block long, columns binary, local binary, places binary, classes binary, sizes binary, often boolean"
     held = stored(
         _text(documents, text).mapInArrow(deal, schema).groupBy("block").applyInArrow(
-            _starred, "column long, class long, n long, place long, centre long, centre_n long, often boolean"),
+            lambda table: _starred(table, percent), "column long, class long, n long, place long, centre long, centre_n long, often boolean"),
         "held")
-    links = linked(documents, _partners(held), text, k, percent)
+    links = linked(documents, _partners(held, percent), text, k, percent, among=True)
     known = components(links)
     more = linked(documents, _left_over(held, known, percent), text, k, percent)
     if more.take(1):
