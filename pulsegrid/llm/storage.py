@@ -13,12 +13,12 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir. A local master without one (tests) gets a folder of its own;
     a cluster without one is an error, as executors would write to their own disks."""
-    folder = spark.conf.get(SETTING, None)
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"{SETTING} names no shared folder")
         folder = tempfile.mkdtemp(prefix="pulsegrid-llm-")
-        spark.conf.set(SETTING, folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
