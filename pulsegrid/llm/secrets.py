@@ -33,18 +33,23 @@ class Kind:
     pattern: str
     group: int  # of the value
     least: int  # characters of the value
+    guard: str = ""  # a cheaper pattern that every text with a match has
 
 
 #: Kinds in the order in which spans that start together are listed. Runs that are too short for `access` and `hex`
-#: match nothing, which is the same as dropping them, since both patterns take whole runs.
+#: match nothing, which is the same as dropping them, since both patterns take whole runs. A look back keeps the
+#: search from trying a run again from each of its characters.
 BASE = (
     Kind("assign",
          r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"""
          r"""|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    Kind("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
-    Kind("hex", r"[0-9a-f]{16,}", 0, 16),
+    Kind("access", r"AKIA[A-Z0-9]{14,}", 0, 18, "AKIA"),
+    Kind("hex", r"(?<![0-9a-f])[0-9a-f]{16,}", 0, 16),
 )
-WORD = Kind("word", r"[A-Za-z0-9+/_.=-]{12,}", 0, 12)
+#: Whole runs of key characters with a digit and a letter among them.
+WORD_RUN = r"[A-Za-z0-9+/_.=-]{12,}"
+WORD = Kind("word", r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z])" + WORD_RUN, 0, 12)
+FOUND = "array<struct<start:int,end:int,value:string>>"
 ADDED = "owned"
 #: A value held by this many owners or more is a copied example; with fewer, owner-specific.
 EXAMPLE_OWNERS = 2
@@ -61,24 +66,23 @@ def live_looking(value: Column) -> Column:
 
 
 def spans(text: Column, kind: Kind) -> Column:
-    """array<struct<start, end, value>> of the matches whose value is long enough."""
+    """array<struct<start, end, value>> of the matches whose value is long enough. A text without a match is read
+    once, by the guard."""
+    # Matches, their values and the gaps before them, side by side; behind the last match there is one more gap.
     whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)) if kind.group else whole
-    gaps = F.split(text, kind.pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found"))
+    values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
+    pieces = F.arrays_zip(whole.alias("match"), values.alias("value"), F.split(text, kind.pattern, -1).alias("gap"))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + piece["gap"]
+        start = state["at"] + F.length(piece["gap"])
         end = start + F.length(piece["match"])
         found = F.struct(start.alias("start"), end.alias("end"), piece["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
+        kept = F.when(F.length(piece["value"]) >= kind.least, F.array(found)).otherwise(F.array().cast(FOUND))
+        return F.struct(F.coalesce(end, start).alias("at"), F.concat(state["found"], kept).alias("found"))
 
-    pieces = F.transform(
-        whole,
-        lambda m, i: F.struct(m.alias("match"), F.get(values, i).alias("value"), F.length(F.get(gaps, i)).alias("gap")),
-    )
-    all_found = F.aggregate(pieces, zero, step, lambda state: state["found"])
-    return F.filter(all_found, lambda s: F.length(s["value"]) >= kind.least)
+    found = F.aggregate(pieces, zero, step, lambda state: state["found"])
+    return F.when(text.rlike(kind.guard or kind.pattern), found).otherwise(F.array().cast(FOUND))
 
 
 def _hashed(found: Column, number: int) -> Column:

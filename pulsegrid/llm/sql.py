@@ -2,13 +2,16 @@
 
 from pulsegrid.llm.jaccard import K, PERCENT
 from pulsegrid.llm.phrases import SIZE
-from pulsegrid.llm.secrets import BASE, EXAMPLE_OWNERS, LEAST_DISTINCT, WORD
+from pulsegrid.llm.secrets import BASE, EXAMPLE_OWNERS, LEAST_DISTINCT, WORD, WORD_RUN
 
 _WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
 def _kind(number: int, kind) -> str:
-    pattern = kind.pattern.replace("'", "''")
+    # DuckDB knows no look-around. Without it the same runs are found, and words without a digit or a letter, which
+    # are no live-looking values.
+    plain = WORD_RUN if kind is WORD else kind.pattern.replace("(?<![0-9a-f])", "")
+    pattern = plain.replace("'", "''")
     return rf"""
     SELECT rid, {number} AS kind, generate_subscripts(m, 1) AS i, unnest(m) AS match, unnest(v) AS value,
            unnest(list_slice(g, 1, len(m))) AS gap
