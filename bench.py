@@ -87,6 +87,7 @@ def shapes(w: Workspace) -> dict[str, float]:
 
 def main() -> None:
     spark = session()
+    tables.local_folder(spark)
     w = workspace(spark, SF_DIR)
     times = {f"build_{name}": timed(lambda: getattr(w, name)) for name in BUILDS}
     queries = registered.queries()

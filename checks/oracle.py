@@ -253,14 +253,23 @@ _QUERIES = {
         round(coalesce(TOTAL, 0), 4) AS TOTAL
       FROM dim LEFT JOIN (SELECT DATE, count(*) AS N, sum(VALUE) AS TOTAL FROM sd GROUP BY DATE) x
         ON x.DATE = dim.DATE""",
-    "hour_dim": f""", dim AS (SELECT DATE + to_hours(CAST(h AS INTEGER)) AS DATE FROM days, range(24) r(h)),
+    "date_dim_long": f""", dim AS (SELECT CAST(unnest(generate_series(DATE '2015-01-01', DATE '2015-01-01' + 9999,
+        INTERVAL 1 DAY)) AS DATE) AS DATE)
+      SELECT {d('dim.DATE', 'DATE')}, {_DIM.replace('DATE)', 'dim.DATE)').replace('DATE,', 'dim.DATE,')},
+        {_DIM_END.replace('(DATE)', '(dim.DATE)')}, coalesce(N, 0) AS N
+      FROM dim LEFT JOIN (SELECT DATE, count(*) AS N FROM sd GROUP BY DATE) x ON x.DATE = dim.DATE""",
+    "hour_dim": f""", dim AS (SELECT unnest(generate_series(TIMESTAMP '2020-01-01', TIMESTAMP '2025-01-03 23:00:00',
+        INTERVAL 1 HOUR)) AS DATE),
       x AS (SELECT date_trunc('hour', STARTTIME) AS T, count(*) AS N FROM s GROUP BY ALL)
       SELECT {t('DATE')}, {_DIM}, hour(DATE) AS HOUR, {_DIM_END}, coalesce(N, 0) AS N
       FROM dim LEFT JOIN x ON x.T = dim.DATE""",
     "population_latest": f"SELECT ID, {big('AGE')}, BLOODTYPE, GENDER, {t('LOADTIME')} FROM pop",
     "dated_pop": f"""SELECT ID, {d('DATE')} FROM pop, (SELECT CAST(unnest(generate_series(
       DATE '2020-01-01', DATE '2025-01-03', INTERVAL 1 DAY)) AS DATE) AS DATE)""",
-    "hours_pop": f"SELECT ID, {t('T', 'DATE')} FROM hrs",
+    "hours_pop": """SELECT ID, strftime(D, '%Y-%m-%d') AS DAY, CAST(24 AS BIGINT) AS HOURS,
+      strftime(D, '%Y-%m-%d 00:00:00') AS FIRST, strftime(D, '%Y-%m-%d 23:00:00') AS LAST
+      FROM (SELECT DISTINCT ID FROM pop), (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2025-01-03',
+        INTERVAL 1 DAY)) AS D)""",
     "extract_measure": f"""SELECT METRIC, ID, {t('STARTTIME')}, {t('ENDTIME')}, {n('VALUE')}, UNIT,
       UUID, DEVICE FROM s WHERE METRIC IN {_list(_MEASURES)}""",
     "extract_food": f"""SELECT METRIC, ID, {n('VALUE')}, UNIT, UUID, DEVICE, {t('STARTTIME')},
@@ -337,6 +346,12 @@ _QUERIES = {
     "pop_agg": _POP_AGG,
     "full_refresh": _POP_AGG,
     "incremental_refresh": _POP_AGG,
+    "upload_stream_refresh": _POP_AGG,
+    "refresh_restarted_checkpoint": _POP_AGG,
+    "pop_agg_in_parts": _POP_AGG,
+    "macro_calories_in_parts": f"SELECT ID, {d('date')}, Protein, Carbs, Fat FROM macros",
+    "trend_user": f"""SELECT ID, {d('DATE')}, {big('AGE')}, {n('STEPS')}, {dbl('SLEEP')}, {n('CARBS')}
+      FROM tr WHERE ID = (SELECT min(ID) FROM pop)""",
     "trend_slice": f"""SELECT ID, {d('DATE')}, {big('AGE')}, GENDER, BLOODTYPE, {n('STEPS')},
       {dbl('SLEEP')}, {n('CARBS')} FROM tr""",
     "kpi_averages": f"""SELECT ID, {dbl('min_by(AGE, DATE)', 'AGE')}, min(GENDER) AS GENDER,
@@ -380,6 +395,9 @@ _QUERIES = {
     "heart_points": f"""SELECT DISTINCT ID, {d('DATE + 1', 'DATE')}, CAST(round(round(VALUE, 9)) AS BIGINT) AS HR
       FROM sd, rng WHERE METRIC = 'HEARTRATE' AND STARTTIME BETWEEN r1 AND r2""",
     "heart_domain": """SELECT ID, CAST(min(round(round(VALUE, 9))) AS BIGINT) AS LOW,
+      CAST(max(round(round(VALUE, 9))) AS BIGINT) AS HIGH
+      FROM sd, rng WHERE METRIC = 'HEARTRATE' AND STARTTIME BETWEEN r1 AND r2 GROUP BY ID""",
+    "heart_domain_end_day": """SELECT ID, CAST(min(round(round(VALUE, 9))) AS BIGINT) AS LOW,
       CAST(max(round(round(VALUE, 9))) AS BIGINT) AS HIGH
       FROM sd, rng WHERE METRIC = 'HEARTRATE' AND DATE BETWEEN r1 AND r2 GROUP BY ID""",
     "meal_calories": f"""SELECT ID, {d('DATE')}, strftime(STARTTIME, '%H:%M:%S') AS TIME,
@@ -398,6 +416,13 @@ _QUERIES = {
     "published_versions": f"""SELECT ID, {d('DATE')}, UNIT, {n('sum(VALUE)', 'VALUE')} FROM sd
       WHERE METRIC = 'STEPCOUNT' GROUP BY ID, DATE, UNIT""",
     "graded_csv": _GRADES,
+    "diet_grade_predict": _GRADES[: _GRADES.index("  SELECT CAST(GRADE")] + """
+  SELECT CASE WHEN SUGAR > 50 THEN 'SWEET' ELSE 'NEUTRAL' END AS DIET_NAME, count(*) AS N,
+    count(DISTINCT CASE WHEN CAL_DIFF < -40 THEN 1 WHEN CAL_DIFF < -10 THEN 2 WHEN CAL_DIFF < 10 THEN 3
+      WHEN CAL_DIFF < 40 THEN 4 ELSE 5 END) AS GRADES,
+    round(sum(CAL_DIFF), 2) AS CAL_DIFF, true AS KNOWN, true AS ACCURATE, true AS SAME
+  FROM diet GROUP BY SUGAR > 50""",
+    "stream_late_totals": _stream("day"),
     "stream_daily_totals": _stream("day"),
     "stream_hourly_totals": _stream("hour"),
     "stream_dedupe": f"SELECT METRIC, count(*) AS KEPT, {n('sum(VALUE)', 'TOTAL')} FROM s GROUP BY METRIC",

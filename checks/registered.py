@@ -4,6 +4,7 @@ results compare by value."""
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +16,20 @@ from pulsegrid.functions.numbers import settled
 from pulsegrid.operators import (
     extract, grading, history, insights, population, rollup, series, sleep,
 )
-from pulsegrid.plans import refresh
+from pulsegrid.plans import refresh, wide
 from pulsegrid.plans.workspace import Workspace, workspace
 from pulsegrid.schema import RECORD
 from pulsegrid.sources import dimensions, documents, events, tables
+from pulsegrid.streaming import ingest
 from pulsegrid.streaming import rollup as stream_rollup
 
-STAMP = "yyyy-MM-dd HH:mm:ss"
-
-
 def presentable(df: DataFrame) -> DataFrame:
     def shown(f: T.StructField) -> Column:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            c = F.date_format(c, STAMP)
+            c = clock.stamp(c.cast("timestamp_ntz"))
         elif isinstance(f.dataType, T.DoubleType):
             c = F.round(settled(c), 4)
         elif isinstance(f.dataType, (T.ShortType, T.IntegerType, T.LongType)):
@@ -40,10 +39,15 @@ def presentable(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def _exploded(df: DataFrame, array: str = "DATA") -> DataFrame:
-    """Array rows to element rows with their position."""
+def _exploded(df: DataFrame, array: str = "DATA", outer: bool = False) -> DataFrame:
+    """Array rows to element rows with their position.
+
+    ``outer`` is for arrays that always have elements: the plain form also asks whether they do, which
+    computes a derived array once more.
+    """
     kept = [c for c in df.columns if c != array]
-    rows = df.select(*kept, F.posexplode(array).alias("POS", "E"))
+    explode = F.posexplode_outer if outer else F.posexplode
+    rows = df.select(*kept, explode(array).alias("POS", "E"))
     element = df.schema[array].dataType.elementType
     return rows.select(
         *kept, "POS", *[F.col(f"E.{f.name}").alias("T" if f.name == "DATE" else f.name)
@@ -80,11 +84,17 @@ def date_dim(w):
     )
 
 
+def date_dim_long(w):
+    per_day = w.samples.groupBy(F.col("DAY").alias("DATE")).agg(F.count("*").alias("N"))
+    dim = dimensions.date_dim(w.spark, dimensions.LONG_CALENDAR)
+    return dim.join(per_day, "DATE", "left").withColumn("N", F.coalesce("N", F.lit(0)))
+
+
 def hour_dim(w):
     per_hour = w.samples.groupBy(clock.hour_start(F.col("STARTTIME")).alias("DATE")).agg(
         F.count("*").alias("N")
     )
-    dim = dimensions.hour_dim(w.spark, w.calendar)
+    dim = dimensions.hour_dim(w.spark)
     return dim.join(per_hour, "DATE", "left").withColumn("N", F.coalesce("N", F.lit(0)))
 
 
@@ -97,7 +107,11 @@ def dated_pop(w):
 
 
 def hours_pop(w):
-    return population.hour_spine(w.population, w.calendar)
+    """The whole spine of 43,920 hours a user, told by its days."""
+    hours = population.hour_spine(w.population)
+    return hours.groupBy("ID", clock.day(F.col("DATE")).alias("DAY")).agg(
+        F.count("*").alias("HOURS"), F.min("DATE").alias("FIRST"), F.max("DATE").alias("LAST")
+    )
 
 
 # --- extraction ----------------------------------------------------------------------------------
@@ -211,7 +225,7 @@ def hourly_zero_fill(w):
 
 
 def hourly_array(w):
-    return _exploded(rollup.hourly_series(w.fact("BASALENERGYBURNED"), w.spine))
+    return _exploded(rollup.hourly_series(w.fact("BASALENERGYBURNED"), w.spine), outer=True)
 
 
 def raw_series_array(w):
@@ -239,12 +253,19 @@ def sleep_hour_keep_tail(w):
     return _exploded(sleep.normalise_sleep(sleep.sleep_segments(w.sleep), keep_tail=True))
 
 
+def _timeline(w):
+    """A night begins on the evening before: only the days of the range and that one are read."""
+    start, end = _range(w)
+    stages = extract.fact(w.samples, "SLEEP", first_day=start - dt.timedelta(days=1), last_day=end)
+    return sleep.sleep_timeline(stages, start, end)
+
+
 def sleep_timeline(w):
-    return sleep.sleep_timeline(w.sleep, *_range(w))
+    return _timeline(w)
 
 
 def sleep_minute_strip(w):
-    return sleep.sleep_strip(sleep.sleep_timeline(w.sleep, *_range(w)))
+    return sleep.sleep_strip(_timeline(w))
 
 
 def energy_daily(w):
@@ -271,7 +292,7 @@ def _cents(v: Column) -> Column:
 
 
 def _pop_agg_text(df: DataFrame) -> DataFrame:
-    stamp = lambda x: F.date_format(x["DATE"], STAMP)
+    stamp = lambda x: clock.stamp(x["DATE"])
 
     def joined(column: str, element) -> Column:
         return F.array_join(F.transform(column, element), ";").alias(column)
@@ -301,7 +322,7 @@ def pop_agg(w):
 def full_refresh(w):
     root = tables.new_path(w.spark, "refresh")
     refresh.full_refresh(w.landing, root, w.calendar, F.lit(w.calendar.last).cast("timestamp_ntz"))
-    return _pop_agg_text(tables.current(w.spark, f"{root}/pop_agg"))
+    return _pop_agg_text(tables.current(w.spark, root, "pop_agg"))
 
 
 def incremental_refresh(w):
@@ -314,6 +335,54 @@ def incremental_refresh(w):
     return _pop_agg_text(refresh.stored_pop_agg(w.spark, root, w.calendar))
 
 
+def _upload_files(w, path: str) -> None:
+    events.framed_uploads(w.landing).write.option("lineSep", "\n").text(path)
+
+
+def upload_stream_refresh(w):
+    """The upload stream, from files to the wide table."""
+    uploads, root, progress = (tables.new_path(w.spark, n) for n in ("inbox", "live", "progress"))
+    _upload_files(w, uploads)
+    ingest.start_refresh(w.spark, uploads, root, progress, once=True).awaitTermination()
+    refresh.compact(w.spark, root)
+    return _pop_agg_text(refresh.stored_pop_agg(w.spark, root, w.calendar))
+
+
+def refresh_restarted_checkpoint(w):
+    """Two uploads by streams that both count their batches from 0, as after the loss of a checkpoint."""
+    root = tables.new_path(w.spark, "restarted")
+    middle = (w.calendar.start + dt.timedelta(days=16)).isoformat()
+    early = F.get_json_object(RECORD, "$.loaddate") < middle
+    for part in (w.landing.filter(~early), w.landing.filter(early)):
+        uploads, progress = tables.new_path(w.spark, "inbox"), tables.new_path(w.spark, "progress")
+        events.framed_uploads(part).write.option("lineSep", "\n").text(uploads)
+        ingest.start_refresh(w.spark, uploads, root, progress, once=True).awaitTermination()
+    return _pop_agg_text(refresh.stored_pop_agg(w.spark, root, w.calendar))
+
+
+def _in_parts(w):
+    """The wide table cut into parts of three samples."""
+    run_date = F.lit(w.calendar.last).cast("timestamp_ntz")
+    return wide.pop_agg(w.samples, w.population, w.calendar, run_date, days=w.user_days, part_items=3)
+
+
+def pop_agg_in_parts(w):
+    """Parts of a user-day put together again are the user-day."""
+    text = _pop_agg_text(_in_parts(w).withColumn("RUN_DATE", F.lit(None)))
+    series = [c for c, _ in RAW_SERIES] + ["HEART_RATE_ARR"]
+    put = [
+        F.nullif(F.array_join(F.transform(
+            F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("PART", c)))), lambda x: x[c]
+        ), ";"), F.lit("")).alias(c) if c in series else F.max(F.when(F.col("PART") == 0, F.col(c))).alias(c)
+        for c in text.columns if c not in ("ID", "DATE", "PART")
+    ]
+    return text.groupBy("ID", "DATE").agg(*put).withColumn("PART", F.lit(0)).select(*text.columns)
+
+
+def macro_calories_in_parts(w):
+    return insights.macro_calories(insights.trend(_in_parts(w), *_range(w)))
+
+
 # --- dashboard -----------------------------------------------------------------------------------
 
 def _trend(w):
@@ -327,6 +396,13 @@ def trend_slice(w):
     )
 
 
+def trend_user(w):
+    """One user's range in order of date, as the dashboard asks for it."""
+    user = w.population.agg(F.min("ID")).first()[0]
+    rows = insights.trend(w.pop_agg, *_range(w), id=user)
+    return _doubles(rows.select("ID", "DATE", "AGE", "STEPS", "SLEEP", "CARBS"), "SLEEP")
+
+
 def kpi_averages(w):
     k = insights.kpis(_trend(w))
     return _doubles(k, *[c for c in k.columns if c not in ("ID", "GENDER", "BLOODTYPE")])
@@ -373,13 +449,22 @@ def heart_kpis(w):
     return _doubles(k, *k.columns[1:])
 
 
+def _heart_points(w, include_end_day: bool = False):
+    start, end = _range(w)
+    rates = extract.fact(w.samples, "HEARTRATE", first_day=start, last_day=end)
+    return insights.heart_points(rates, start, end, include_end_day)
+
+
 def heart_points(w):
-    return insights.heart_points(w.fact("HEARTRATE"), *_range(w))
+    return _heart_points(w)
 
 
 def heart_domain(w):
-    points = insights.heart_points(w.fact("HEARTRATE"), *_range(w), include_end_day=True)
-    return insights.value_range(points, "HR", "ID")
+    return insights.value_range(_heart_points(w), "HR", "ID")
+
+
+def heart_domain_end_day(w):
+    return insights.value_range(_heart_points(w, include_end_day=True), "HR", "ID")
 
 
 def meal_calories(w):
@@ -434,8 +519,41 @@ def graded_csv(w):
 
 def diet_grade_predict(w):
     diets = tables.store(events.graded_diets(w.user_days), tables.new_path(w.spark, "diets"))
-    model = grading.train_grader(diets, max_iterations=60)
-    return grading.predict_grade(model, diets).select("ID", "DIET_NAME", *grading.FEATURES, "GRADE")
+    root = tables.new_path(w.spark, "models")
+    names = sorted(r[0] for r in diets.select("DIET_NAME").distinct().collect())
+    found = []
+    for name in names:
+        grading.register_model(w.spark, grading.train_grader(diets, name), root, name)
+        model, rows = grading.load_model(root, name), diets.filter(F.col("DIET_NAME") == name)
+        graded = grading.predict_grade(model, rows.withColumn("GIVEN", F.col("GRADE")))
+        eaten = grading.with_calorie_difference(
+            rows.select("ID", (F.col("CAL_DIFF") + 2000).alias("EATEN"), F.lit(2000.0).alias("BURNED"),
+                        *grading.FEATURES[1:]), F.col("EATEN"), F.col("BURNED"))
+        again = grading.predict_grade(model, eaten).select("ID", F.col("GRADE").alias("AGAIN"))
+        found.append(graded.join(again, "ID").groupBy("DIET_NAME").agg(
+            F.count("*").alias("N"), F.countDistinct("GIVEN").alias("GRADES"),
+            F.round(F.sum("CAL_DIFF"), 2).alias("CAL_DIFF"),
+            (F.size(F.array_except(F.collect_set("GRADE"), F.collect_set("GIVEN"))) == 0).alias("KNOWN"),
+            (F.avg((F.col("GRADE") == F.col("GIVEN")).cast("double")) >= ACCURACY).alias("ACCURATE"),
+            (F.avg((F.col("GRADE") == F.col("AGAIN")).cast("double")) >= 0.95).alias("SAME"),
+        ))
+    listed = w.spark.read.parquet(f"{root}/model_list").select(F.col("MODEL_NAME").alias("DIET_NAME"))
+    return reduce(DataFrame.unionByName, found).join(listed, "DIET_NAME")
+
+
+#: Least share of training rows that a diet's model grades as given.
+ACCURACY = 0.8
+
+
+def stream_late_totals(w):
+    """Exact totals when the later half of the days arrives first, by two streams that start afresh."""
+    root, middle = tables.new_path(w.spark, "late"), w.calendar.start + dt.timedelta(days=16)
+    for days in (F.col("DAY") > middle, F.col("DAY") <= middle):
+        part, progress = tables.new_path(w.spark, "part"), tables.new_path(w.spark, "progress")
+        w.samples.filter(days).write.parquet(part)
+        stream = w.spark.readStream.schema(w.samples.schema).parquet(part)
+        stream_rollup.start_totals(stream, root, progress).awaitTermination()
+    return stream_rollup.totals(w.spark, f"{root}/totals")
 
 
 def _sample_stream(w):
@@ -485,7 +603,7 @@ def stream_dedupe(w):
 
 
 QUERIES = (
-    steps_daily, date_dim, hour_dim, population_latest, dated_pop, hours_pop,
+    steps_daily, date_dim, date_dim_long, hour_dim, population_latest, dated_pop, hours_pop,
     extract_measure, extract_food, extract_sleep, food_legacy_positions, heart_rate_unit_norm,
     samples_long, dedupe_samples, tz_convert, sleep_minutes, device_filter, legacy_weight_text,
     framed_documents, device_side_split, calendar_age,
@@ -493,17 +611,19 @@ QUERIES = (
     raw_series_array, hr_hourly_distinct, sleep_nightly, sleep_segments, sleep_hour_normalised,
     sleep_hour_keep_tail, sleep_timeline, sleep_minute_strip, energy_daily, energy_history_10d,
     energy_history_legacy, energy_history_window,
-    pop_agg, full_refresh, incremental_refresh,
-    trend_slice, kpi_averages, kpi_nutrition, macro_calories, burned_calories, melt_macros,
+    pop_agg, full_refresh, incremental_refresh, upload_stream_refresh, refresh_restarted_checkpoint,
+    pop_agg_in_parts, macro_calories_in_parts,
+    trend_slice, trend_user, kpi_averages, kpi_nutrition, macro_calories, burned_calories, melt_macros,
     calories_long, chart_ceiling, weight_domain, calorie_balance, heart_kpis, heart_points,
-    heart_domain, meal_calories, meal_calories_top, today_total, latest_sample, sql_query,
+    heart_domain, heart_domain_end_day, meal_calories, meal_calories_top, today_total, latest_sample, sql_query,
     published_versions, graded_csv, diet_grade_predict,
-    stream_daily_totals, stream_hourly_totals, stream_dedupe,
+    stream_daily_totals, stream_hourly_totals, stream_dedupe, stream_late_totals,
 )
 
 
 def _registered(build):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables.local_folder(spark)
         return presentable(build(workspace(spark, sf_dir)))
 
     return run

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 
 def as_wall_clock(text: Column) -> Column:
-    """Parse timestamp text; unreadable text gives NULL. A trailing UTC offset is ignored."""
-    local = F.substring_index(F.substring_index(text, " +", 1), " -", 1)
-    return local.try_cast("timestamp_ntz")
+    """Parse timestamp text as UTC; unreadable text gives NULL. A trailing offset is applied."""
+    local = F.substring_index(F.substring_index(text, " +", 1), " -", 1).try_cast("timestamp_ntz")
+    part = lambda group: F.regexp_extract(text, r" ([+-])(\d\d):?(\d\d)", group)
+    minutes = part(2).try_cast("int") * 60 + part(3).try_cast("int")
+    ahead = F.coalesce(F.when(part(1) == "-", -minutes).otherwise(minutes), F.lit(0))
+    return local - F.make_dt_interval(F.lit(0), F.lit(0), ahead)
 
 
 def utc_to_zone(ts: Column, zone: str) -> Column:
@@ -66,7 +69,13 @@ def month_day(date: Column) -> Column:
 
 
 def time_of_day(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss")
+    part = lambda value: F.lpad(value.cast("string"), 2, "0")
+    return F.concat_ws(":", part(F.hour(ts)), part(F.minute(ts)), part(F.second(ts)))
+
+
+def stamp(ts: Column) -> Column:
+    """A zone-less time as text to the second; NULL for NULL."""
+    return F.concat(day(ts).cast("string"), F.lit(" "), time_of_day(ts))
 
 
 def age_on(birth: Column, as_of: Column) -> Column:

@@ -32,9 +32,5 @@ def floor_div(dividend: Column, divisor: Column) -> Column:
     return F.floor(dividend / F.nullif(divisor, F.lit(0)))
 
 
-def larger(a: Column, b: Column) -> Column:
-    return F.greatest(a, b)
-
-
 def text_or_empty(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))

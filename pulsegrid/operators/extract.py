@@ -92,9 +92,14 @@ def extract_metric(documents: DataFrame, fact_name: str) -> DataFrame:
     return _table(samples(documents, (metric,)), metric)
 
 
-def fact(samples_df: DataFrame, fact_name: str, legacy_positions: bool = False) -> DataFrame:
+def fact(samples_df: DataFrame, fact_name: str, legacy_positions: bool = False,
+         first_day=None, last_day=None) -> DataFrame:
+    """One fact table; with days named, only their partitions of stored samples are read."""
     metric = BY_FACT[fact_name]
-    return _table(samples_df.filter(F.col("METRIC") == fact_name), metric, legacy_positions)
+    rows = samples_df.filter(F.col("METRIC") == fact_name)
+    if first_day is not None:
+        rows = rows.filter(F.col("DAY").between(F.lit(first_day), F.lit(last_day)))
+    return _table(rows, metric, legacy_positions)
 
 
 def facts(samples_df: DataFrame, template: str) -> DataFrame:

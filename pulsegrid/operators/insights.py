@@ -1,7 +1,7 @@
 """Dashboard figures, for all users at once.
 
-``trend`` rows are wide-table rows. Continuation rows (PART above 0) hold no sums, so averages and
-totals pass over them.
+``trend`` rows are wide-table rows, one per user and day. The continuation rows of very long days (PART
+above 0) hold series only and come where ``series`` asks for them.
 """
 
 from __future__ import annotations
@@ -13,49 +13,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import clock
-from pulsegrid.functions.numbers import floor_div, half_even, larger, nearest_int, truncate
+from pulsegrid.functions.numbers import floor_div, half_even, nearest_int, truncate
 
+# Calories per pound of body mass; column and calories per gram of each macro-nutrient.
 CALORIES_PER_POUND = 3500
 MACROS = {"Protein": ("PROTEIN", 4), "Carbs": ("CARBS", 4), "Fat": ("FATTOTAL", 9)}
 
 
-def trend(pop_agg: DataFrame, start, end, id: str | None = None) -> DataFrame:
-    """Wide-table rows of a date range (both ends included), of one user or all."""
+def trend(pop_agg: DataFrame, start, end, id: str | None = None, series: bool = False) -> DataFrame:
+    """Wide-table rows of a date range (both ends included): of all users, or of one in order of date."""
     rows = pop_agg.filter(F.col("DATE").between(F.lit(start), F.lit(end)))
-    return rows if id is None else rows.filter(F.col("ID") == id)
-
-
-def _mean(column) -> Column:
-    return F.avg(column)
+    if not series:
+        rows = rows.filter(F.col("PART") == 0)
+    return rows if id is None else rows.filter(F.col("ID") == id).orderBy("DATE", "PART")
 
 
 def kpis(trend_df: DataFrame) -> DataFrame:
     """Profile on the first day and averages over the range, one row per user."""
     burned = F.col("ACTIVE_ENERGY_BURNED") + F.col("BASAL_ENERGY_BURNED")
     first = lambda c: F.min_by(c, "DATE").alias(c)
-    whole = lambda c, name: truncate(_mean(c)).alias(name)
+    whole = lambda c, name: truncate(F.avg(c)).alias(name)
     return trend_df.groupBy("ID").agg(
         first("AGE"), first("GENDER"), first("BLOODTYPE"),
         whole("BODYMASS", "WEIGHT"),
         whole("STEPS", "STEPS"),
         whole("EXERCISE_TIME", "EXERCISE_MINS"),
-        truncate(_mean("APPLE_STAND_TIME") / 60).alias("STAND_MINS"),
+        truncate(F.avg("APPLE_STAND_TIME") / 60).alias("STAND_MINS"),
         whole("FLIGHTSCLIMBED", "FLIGHTS"),
         whole("ACTIVE_ENERGY_BURNED", "ACTIVE_ENERGY"),
         whole("BASAL_ENERGY_BURNED", "BASAL_ENERGY"),
-        truncate(_mean(burned)).alias("CALS_BURNED"),
+        truncate(F.avg(burned)).alias("CALS_BURNED"),
         whole("DIETARY_ENERGY", "CALS_CONSUMED"),
-        half_even(_mean("SLEEP") / 60, 2).alias("SLEEP_HOURS"),
+        half_even(F.avg("SLEEP") / 60, 2).alias("SLEEP_HOURS"),
     )
 
 
 def nutrition_kpis(trend_df: DataFrame) -> DataFrame:
     return trend_df.groupBy("ID").agg(
-        truncate(_mean("CARBS")).alias("CARBS_G"),
-        truncate(_mean("PROTEIN")).alias("PROTEIN_G"),
-        truncate(_mean("FATTOTAL")).alias("FAT_G"),
-        truncate(_mean("SODIUM") * 1000).alias("SODIUM_MG"),
-        truncate(_mean("SUGAR")).alias("SUGAR_G"),
+        truncate(F.avg("CARBS")).alias("CARBS_G"),
+        truncate(F.avg("PROTEIN")).alias("PROTEIN_G"),
+        truncate(F.avg("FATTOTAL")).alias("FAT_G"),
+        truncate(F.avg("SODIUM") * 1000).alias("SODIUM_MG"),
+        truncate(F.avg("SUGAR")).alias("SUGAR_G"),
     )
 
 
@@ -103,7 +102,7 @@ def chart_ceiling(trend_df: DataFrame) -> DataFrame:
     burned = F.col("ACTIVE_ENERGY_BURNED") + F.col("BASAL_ENERGY_BURNED")
     eaten = reduce(lambda a, b: a + b, [_macro(n) for n in MACROS])
     return trend_df.groupBy("ID").agg(
-        (larger(F.max(burned), F.max(eaten)) / 1000).alias("CEILING")
+        (F.greatest(F.max(burned), F.max(eaten)) / 1000).alias("CEILING")
     )
 
 

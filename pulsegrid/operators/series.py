@@ -22,7 +22,7 @@ def raw_points(samples_df: DataFrame, series=RAW_SERIES) -> DataFrame:
     name = F.create_map(*[F.lit(x) for column, fact in series for x in (fact, column)])
     return samples_df.filter(
         F.col("METRIC").isin([f for _, f in series])
-        & F.col("STARTTIME").isNotNull() & F.col("VALUE").isNotNull()
+        & F.col("ID").isNotNull() & F.col("STARTTIME").isNotNull() & F.col("VALUE").isNotNull()
     ).select(
         "ID", clock.day(F.col("STARTTIME")).alias("DATE"),
         F.element_at(name, F.col("METRIC")).alias("SERIES"),
@@ -34,7 +34,8 @@ def raw_points(samples_df: DataFrame, series=RAW_SERIES) -> DataFrame:
 def heart_rate_points(samples_df: DataFrame) -> DataFrame:
     """Distinct heart rates per hour."""
     return (
-        samples_df.filter((F.col("METRIC") == "HEARTRATE") & F.col("STARTTIME").isNotNull())
+        samples_df.filter((F.col("METRIC") == "HEARTRATE") & F.col("ID").isNotNull()
+                          & F.col("STARTTIME").isNotNull())
         .select("ID", clock.day(F.col("STARTTIME")).alias("DATE"),
                 clock.hour_start(F.col("STARTTIME")).alias("T"), F.col("VALUE").alias("V"))
         .distinct()

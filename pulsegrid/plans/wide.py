@@ -24,9 +24,14 @@ DAY_COLUMNS = [*KEYS, "PART", *_SUMS, "SLEEP", "HOURS", *_SERIES, "WEEK_CALS_ARR
 
 def samples_between(samples_df: DataFrame, calendar: Calendar,
                     history_days: int = history.HISTORY_DAYS) -> DataFrame:
-    """Samples any calendar day can depend on: its history, its night from the evening before."""
+    """Samples any calendar day can depend on: its history, its night from the evening before.
+
+    Samples of documents without identifier belong to no user-day.
+    """
     first = calendar.start - dt.timedelta(days=max(history_days - 1, 1))
-    return samples_df.filter(F.col("DAY").between(F.lit(first), F.lit(calendar.last)))
+    return samples_df.filter(
+        F.col("ID").isNotNull() & F.col("DAY").between(F.lit(first), F.lit(calendar.last))
+    )
 
 
 class Exceptions(NamedTuple):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,17 +14,20 @@ SAMPLE_ORDER = ("DAY", "METRIC", "ID", "STARTTIME", "VALUE", "UUID")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    A local one is made only where the cluster names none, as in tests.
-    """
+    """The folder every executor can reach, as the cluster names it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="pulsegrid-")
-        spark.sparkContext.setCheckpointDir(named)
+        raise ValueError("no shared folder: set spark.checkpoint.dir")
     return named.rstrip("/")
 
 
+def local_folder(spark: SparkSession) -> None:
+    """Name a folder of this machine as the shared one, where the master is local and none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-"))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/pulsegrid-{name}-{uuid.uuid4().hex[:12]}"
 
@@ -59,40 +63,62 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _complete_versions(spark: SparkSession, root: str) -> list[int]:
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, found = _file_system(spark, path)
+    return fs.exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, found = _file_system(spark, path)
+    fs.delete(found, True)
+
+
+def _complete_versions(spark: SparkSession, root: str) -> list[str]:
+    """Folder names of finished versions, oldest first."""
     fs, pattern = _file_system(spark, f"{root}/version=*/_SUCCESS")
-    found = fs.globStatus(pattern) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+    names = [x.getPath().getParent().getName() for x in fs.globStatus(pattern) or []]
+    return sorted(names, key=lambda n: (int(re.match(r"version=(\d+)", n)[1]), n))
 
 
-def publish(df: DataFrame, root: str, view: str | None = None, keep: int = 2) -> int:
-    """Write a new version beside the old one; readers move over once it is complete.
+def new_version(spark: SparkSession, root: str) -> str:
+    """A folder of its own for the next version, whoever else writes one at the same time."""
+    versions = _complete_versions(spark, root)
+    number = int(re.match(r"version=(\d+)", versions[-1])[1]) + 1 if versions else 1
+    return f"{root}/version={number}-{uuid.uuid4().hex[:8]}"
+
+
+def complete(spark: SparkSession, version: str) -> None:
+    """Readers move over to the version from here on."""
+    fs, marker = _file_system(spark, f"{version}/_SUCCESS")
+    fs.create(marker).close()
+
+
+def publish(df: DataFrame, root: str, view: str | None = None) -> str:
+    """Write a new version beside the older ones; readers move over once it is complete.
 
     The commit marker Spark writes last is the switch, so a lost driver or a failed write leaves
-    readers on the version before. Versions older than the last ``keep`` are dropped; the one
-    before stays for queries that still read it.
+    readers on the version before. Older versions stay, since views and running queries may read
+    them; ``expire`` drops them.
     """
-    spark = df.sparkSession
-    versions = _complete_versions(spark, root)
-    version = versions[-1] + 1 if versions else 1
-    (
-        df.write.mode("overwrite")
-        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-        .parquet(f"{root}/version={version}")
-    )
-    for old in [*versions, version][:-keep]:
-        fs, path = _file_system(spark, f"{root}/version={old}")
-        fs.delete(path, True)
+    version = new_version(df.sparkSession, root)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(version)
     if view:
-        current(spark, root).createOrReplaceTempView(view)
+        current(df.sparkSession, root).createOrReplaceTempView(view)
     return version
 
 
-def current(spark: SparkSession, root: str) -> DataFrame:
+def expire(spark: SparkSession, root: str, keep: int) -> None:
+    """Drop all versions but the last ``keep``. Views on dropped versions can't be read any more."""
+    for name in _complete_versions(spark, root)[:-keep]:
+        remove(spark, f"{root}/{name}")
+
+
+def current(spark: SparkSession, root: str, table: str = "") -> DataFrame:
+    """The newest version, or one table of it."""
     versions = _complete_versions(spark, root)
     if not versions:
         raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.parquet(f"{root}/version={versions[-1]}")
+    return spark.read.parquet(f"{root}/{versions[-1]}/{table}".rstrip("/"))
 
 
 def share(tables: dict[str, DataFrame]) -> None:

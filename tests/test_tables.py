@@ -33,12 +33,44 @@ def test_query_binds_values(spark):
     assert len(tables.fetch(spark.table("PINS"), 1)) == 1
 
 
-def test_publish_keeps_the_version_before_and_drops_older_ones(spark, tmp_path):
+class Unnamed:
+    """A session in which no shared folder is named."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_shared_folder_must_be_named():
+    for master in ("spark://host:7077", "local[2]"):
+        with pytest.raises(ValueError):
+            tables.shared_folder(Unnamed(master))
+    cluster, local = Unnamed("spark://host:7077"), Unnamed("local[2]")
+    tables.local_folder(cluster)
+    tables.local_folder(local)
+    assert cluster.folder is None and tables.shared_folder(local) == local.folder
+
+
+def test_views_survive_publishes_until_versions_expire(spark, tmp_path):
     root = str(tmp_path / "t")
-    for n in (1, 2, 3, 4):
-        assert tables.publish(spark.range(n), root) == n
-    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["version=3", "version=4"]
+    tables.publish(spark.range(1), root, view="FIRST")
+    names = [tables.publish(spark.range(n), root).split("/")[-1] for n in (2, 3, 4)]
+    assert spark.table("FIRST").count() == 1
     assert tables.current(spark, root).count() == 4
+    # two writers that start together take the same number and different folders
+    a, b = tables.new_version(spark, root), tables.new_version(spark, root)
+    assert a != b and "/version=5-" in a and "/version=5-" in b
+    tables.expire(spark, root, keep=2)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == sorted(names[1:])
 
 
 def test_current_needs_a_published_version(spark, tmp_path):
