@@ -168,12 +168,17 @@ def split_units(days: DataFrame, samples_df: DataFrame) -> DataFrame:
         .filter(F.col("UNITS") > 1).select(*KEYS, "N")
     )
     dated = samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS)).withColumn("DATE", _date())
-    affected = join_counted(dated, mixed, KEYS).drop("DATE", "N")
+    affected = join_counted(dated, mixed, KEYS)
+    per_unit = affected.groupBy(*KEYS, "METRIC", "UNIT").agg(F.sum("VALUE").alias("VALUE"))
     sums = [c for c, _ in DAILY_SUMS]
+    rows = per_unit.groupBy(*KEYS).agg(*[
+        F.collect_list(F.when(F.col("METRIC") == f, F.struct("VALUE"))).alias(c) for c, f in DAILY_SUMS
+    ])
+    for c in sums:  # a row per unit, one metric after the other; nothing is joined or read again
+        rows = rows.withColumn(c, F.explode_outer(c)).withColumn(c, F.col(f"{c}.VALUE"))
     number = F.row_number().over(Window.partitionBy(*KEYS).orderBy(*sums)) - 1
     by_unit = (
-        daily_wide_joins(affected, mixed.select(*KEYS)).distinct().withColumn("VARIANT", number)
-        .join(days.select(*KEYS, "HOURS"), KEYS)
+        rows.distinct().withColumn("VARIANT", number).join(days.select(*KEYS, "HOURS"), KEYS)
     )
     single = days.join(mixed.select(*KEYS), KEYS, "left_anti").withColumn("VARIANT", F.lit(0))
     return single.unionByName(by_unit)

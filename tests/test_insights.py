@@ -9,14 +9,14 @@ from uploads import document, quantity, samples_of
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 8)
 SCHEMA = "ID string, DATE date, AGE int, GENDER string, BLOODTYPE string, SLEEP bigint, " + ", ".join(
-    f"{c} double" for c, _ in DAILY_SUMS)
+    f"{c} double" for c, _ in DAILY_SUMS) + ", PART int"
 
 
 def trend(spark, *days):
     rows = []
     for user, date, values in days:
         rows.append((user, date, values.get("AGE", 34), "Female", "O+", values.get("SLEEP"),
-                     *[values.get(c) for c, _ in DAILY_SUMS]))
+                     *[values.get(c) for c, _ in DAILY_SUMS], 0))
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -129,3 +129,42 @@ def test_scalar_functions(spark):
     assert one(clock.minutes_crossed(stamp("2024-01-05 23:59:50"), stamp("2024-01-06 00:00:10"))) == 1
     assert one(clock.minute_start(stamp("2024-01-05 23:59:50"))) == dt.datetime(2024, 1, 5, 23, 59)
     assert one(clock.second_start(stamp("2024-01-05 23:59:50.7"))) == dt.datetime(2024, 1, 5, 23, 59, 50)
+
+
+def test_range_questions_read_only_their_days(spark, tmp_path):
+    from pulsegrid.operators import extract, sleep
+    from pulsegrid.sources import tables
+    from uploads import document, quantity, samples_of, stage
+
+    rows = samples_of(spark, document(
+        "A", HeartRate=[quantity(60, f"2024-01-0{d} 12:00:00", unit="count/min", uuid=str(d)) for d in range(1, 7)],
+        SleepAnalysis=[stage(4, f"2024-01-0{d} 23:30:00", f"2024-01-0{d} 23:55:00", f"s{d}") for d in range(1, 7)]))
+    stored = tables.store_samples(rows, str(tmp_path / "s"))
+    start, end = dt.date(2024, 1, 3), dt.date(2024, 1, 4)
+    rates = extract.fact(stored, "HEARTRATE", first_day=start, last_day=end)
+    nights = extract.fact(stored, "SLEEP", first_day=start - dt.timedelta(days=1), last_day=end)
+    for df, whole in (
+        (insights.heart_points(rates, start, end), insights.heart_points(extract.fact(rows, "HEARTRATE"), start, end)),
+        (sleep.sleep_timeline(nights, start, end), sleep.sleep_timeline(extract.fact(rows, "SLEEP"), start, end)),
+    ):
+        assert "PartitionFilters: [isnotnull(DAY" in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(df.collect()) == sorted(whole.collect()) and df.count()
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    gap = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-31 02:30:05' AS T")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        row = gap.select(clock.time_of_day(gap.T).alias("A"), clock.stamp(gap.T).alias("B")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == ("02:30:05", "2024-03-31 02:30:05")
+
+
+def test_trend_has_one_row_a_day_unless_series_are_asked_for(spark):
+    rows = spark.createDataFrame([("A", dt.date(2024, 1, 2), 0), ("A", dt.date(2024, 1, 1), 0),
+                                  ("A", dt.date(2024, 1, 1), 1)], "ID string, DATE date, PART int")
+    days = lambda **o: [(r.DATE.day, r.PART) for r in insights.trend(
+        rows, dt.date(2024, 1, 1), dt.date(2024, 1, 2), id="A", **o).collect()]
+    assert days() == [(1, 0), (2, 0)] and days(series=True) == [(1, 0), (1, 1), (2, 0)]

@@ -154,7 +154,7 @@ def test_samples_are_read_by_day_range(spark, tmp_path):
     cal = Calendar(dt.date(2024, 1, 4), 2)
     plan = rollup.user_days(wide.samples_between(stored, cal))._jdf.queryExecution().executedPlan()
     text = plan.toString()
-    assert "PartitionFilters: [isnotnull(DAY" in text and "PushedFilters: [In(METRIC" in text
+    assert "PartitionFilters: [isnotnull(DAY" in text and "PushedFilters: [IsNotNull(ID), In(METRIC" in text
     for unused in ("UUID", "ENDTIME", "FOODTYPE"):
         assert unused not in text.split("ReadSchema")[1]
     assert "BatchEvalPython" not in text and "CartesianProduct" not in text
