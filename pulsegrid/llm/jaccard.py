@@ -16,7 +16,8 @@ intersections; it is computed in blocks, and only where sizes leave a link possi
    go, unless the centre has DENSE classes or more. Each class is compared with the STARS partners of its largest counts and with the classes that meet it at
    these partners; links join classes to components.
 5. What is left: columns whose classes lie in different components. There all pairs between components are
-   formed whose sizes and positions leave enough common columns, so no link is lost.
+   formed whose sizes and positions leave enough common columns and whose prefixes share as many as a linked pair
+   must, so no link is lost.
 6. Comparing: pairs are dealt into blocks by their left row. The block's members are a sparse matrix, which is
    multiplied by the left row (and, for stars, by its own transpose); pairs below the size-derived bound
    ceil(percent * (n + m) / (100 + percent)) go.
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.arrow import U64, Words, chunks, grams, mix, pack, pack_sorted, unpack, unpack_sorted, views
@@ -319,13 +320,19 @@ def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: i
         "linked")
 
 
+def _least_shared(n: Column, m: Column, percent: int) -> Column:
+    """Fewest prefix columns that a linked pair shares. Of n columns at most n - need are not common; those may all
+    come before the common ones, the rest of the prefix is common."""
+    need = F.ceil(percent * (n + m) / (100 + percent))
+    spare = lambda size: need - F.ceil(size * percent / 100) + 1
+    return F.least(spare(n), spare(m))
+
+
 def _partners(held: DataFrame, percent: int) -> DataFrame:
     """Pairs (centre, class): for each class the centres with which it shares most prefix columns."""
-    n, m = F.col("n"), F.col("centre_n")
-    need = F.ceil(percent * (n + m) / (100 + percent))
-    spare = lambda size: size - F.ceil(size * percent / 100) + 1 - size + need
     counted = held.where("class <> centre").groupBy("class", "centre").agg(
-        F.count("*").alias("shared"), F.max(F.least(spare(n), spare(m))).alias("least"))
+        F.count("*").alias("shared"),
+        F.max(_least_shared(F.col("n"), F.col("centre_n"), percent)).alias("least"))
     # A class has no more centres than prefix columns.
     ranked = F.sort_array(F.collect_list(F.struct("shared", "centre")), asc=False)
     spokes = counted.groupBy("centre").agg(F.count("*").alias("spokes"))
@@ -347,14 +354,21 @@ def _left_over(held: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     mixed = rows.groupBy("column").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rows = rows.join(mixed.where("low <> high").select("column"), "column")
     a, b = rows.alias("a"), rows.alias("b")
-    need = F.ceil(F.lit(percent) * (F.col("a.n") + F.col("b.n")) / (100 + percent))
-    return a.join(
+    need = F.ceil(percent * (F.col("a.n") + F.col("b.n")) / (100 + percent))
+    pairs = a.join(
         b,
         (F.col("a.column") == F.col("b.column")) & (F.col("a.class") < F.col("b.class"))
         & (F.col("a.component") != F.col("b.component"))
         & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
         & (F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place")) >= need),
-    ).select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
+    ).select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
+    # Prefix columns that two classes share are held by two: all of them are here.
+    prefixes = held.groupBy("class").agg(F.collect_set("column").alias("columns"), F.max("n").alias("n"))
+    side = lambda name: prefixes.select(
+        F.col("class").alias(name), F.col("columns").alias(f"{name}_columns"), F.col("n").alias(f"{name}_n"))
+    shared = F.size(F.array_intersect("a_columns", "b_columns"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(
+        shared >= _least_shared(F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
 
 
 def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, percent: int = PERCENT,
