@@ -5,10 +5,40 @@ It states what the results are, without documents, extraction or stored tables.
 
 from __future__ import annotations
 
-from pulsegrid.catalogue import (
-    DAILY_SUMS, FACTS, FOOD, HOURLY_SUMS, MEASURE, RAW_SERIES, SLEEP_STAGES,
+from pulsegrid.sources.events import BLOOD_TYPES, MEALS, METRIC_SLOTS
+
+# Fixed values, written out here and not taken from the engine, so that a wrong mapping there shows: fact table, unit
+# in the event documents, food columns or not, in the order of the facts.
+_FACTS = (
+    ("ACTIVE_ENERGY_BURNED", "Cal", False), ("APPLESTANDTIME", "s", False), ("BASALENERGYBURNED", "Cal", False),
+    ("BODYMASS", "lb", False), ("CARBS", "g", True), ("CHOLESTEROL", "g", True), ("DIETARYENERGY", "Cal", True),
+    ("ENVIRONMENTAUDIO", "dBASPL", False), ("EXERCISETIME", "min", False), ("FATMONO", "g", True),
+    ("FATPOLY", "g", True), ("FATSAT", "g", True), ("FATTOTAL", "g", True), ("FLIGHTSCLIMBED", "count", False),
+    ("HEAPHONEAUDIO", "dBASPL", False), ("HEARTRATE", "g", False), ("HEARTRATESDNN", "ms", False),
+    ("PROTEIN", "g", True), ("RESTINGHEARTRATE", "count/s", False), ("SLEEP", "g", None), ("SODIUM", "g", True),
+    ("STEPCOUNT", "count", False), ("SUGAR", "g", True), ("WALKINGHEARTAVG", "count/s", True),
+    ("WALKRUNDISTANCE", "mi", True),
 )
-from pulsegrid.sources.events import BLOOD_TYPES, MEALS, METRIC_SLOTS, UNITS
+# Column of the wide table and the fact it sums: daily, hourly and as a series.
+DAILY_SUMS = (
+    ("ACTIVE_ENERGY_BURNED", "ACTIVE_ENERGY_BURNED"), ("APPLE_STAND_TIME", "APPLESTANDTIME"),
+    ("BASAL_ENERGY_BURNED", "BASALENERGYBURNED"), ("CARBS", "CARBS"), ("CHOLESTEROL", "CHOLESTEROL"),
+    ("DIETARY_ENERGY", "DIETARYENERGY"), ("FATMONO", "FATMONO"), ("FATPOLY", "FATPOLY"), ("FATSAT", "FATSAT"),
+    ("FATTOTAL", "FATTOTAL"), ("FLIGHTSCLIMBED", "FLIGHTSCLIMBED"), ("PROTEIN", "PROTEIN"), ("SODIUM", "SODIUM"),
+    ("STEPS", "STEPCOUNT"), ("SUGAR", "SUGAR"), ("WALK_RUN", "WALKRUNDISTANCE"), ("EXERCISE_TIME", "EXERCISETIME"),
+    ("BODYMASS", "BODYMASS"),
+)
+HOURLY_SUMS = (
+    ("STAND_TIME_ARR", "APPLESTANDTIME"), ("FLIGHTS_ARR", "FLIGHTSCLIMBED"), ("WALK_RUN_ARR", "WALKRUNDISTANCE"),
+    ("STEPS_ARR", "STEPCOUNT"), ("ACTIVE_ENERGY_ARR", "ACTIVE_ENERGY_BURNED"), ("BASAL_ARR", "BASALENERGYBURNED"),
+    ("EXERCISE_TIME_ARR", "EXERCISETIME"),
+)
+RAW_SERIES = (
+    ("REST_HEART_RATE_ARR", "RESTINGHEARTRATE"), ("SDNN_HEART_RATE_ARR", "HEARTRATESDNN"),
+    ("WALK_HEART_RATE_ARR", "WALKINGHEARTAVG"), ("ENVIRONMENT_AUDIO_ARR", "ENVIRONMENTAUDIO"),
+    ("HEADPHONE_AUDIO_ARR", "HEAPHONEAUDIO"),
+)
+SLEEP_STAGES = ((0, "InBed"), (1, "Unknown"), (2, "awake"), (3, "Core"), (4, "Deep"), (5, "REM"))
 
 
 def _list(values) -> str:
@@ -43,9 +73,9 @@ def EV(expr: str) -> str:
     return f"round_even(round({expr}, 9), 0)"
 
 
-_FOODS = [m.fact for m in FACTS if m.template == FOOD]
-_MEASURES = [m.fact for m in FACTS if m.template == MEASURE]
-_UNIT_OF = {m.fact: UNITS.get(m.key, "g") for m in FACTS}
+_FOODS = [f for f, _, food in _FACTS if food]
+_MEASURES = [f for f, _, food in _FACTS if food is False]
+_UNIT_OF = {f: unit for f, unit, _ in _FACTS}
 _UNIT_CASE = " ".join(f"WHEN '{f}' THEN '{u}'" for f, u in _UNIT_OF.items())
 _STAGE_CASE = " ".join(f"WHEN {v} THEN '{s}'" for v, s in SLEEP_STAGES)
 _NY = "(({0} AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')"
@@ -55,8 +85,8 @@ WITH ev AS (
   SELECT event_id, user_id, value, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          date_trunc('second', ts) AS st,
          date_trunc('second', ts) + to_seconds(CAST(floor(value * 60) AS BIGINT)) AS en,
-         CASE WHEN event_id % {METRIC_SLOTS} < {len(FACTS)}
-              THEN ({_array([m.fact for m in FACTS])})[CAST(event_id % {METRIC_SLOTS} AS INTEGER) + 1]
+         CASE WHEN event_id % {METRIC_SLOTS} < {len(_FACTS)}
+              THEN ({_array([f for f, _, _ in _FACTS])})[CAST(event_id % {METRIC_SLOTS} AS INTEGER) + 1]
               ELSE 'SLEEP' END AS METRIC
   FROM events),
 sent AS (
