@@ -42,8 +42,7 @@ _ID_SHIFT = U64(1 << 63)  # ids as unsigned numbers in the same order
 
 
 def _windows(table: pa.Table, size: int) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
-    """For each document of a shard its row, the words around it, its word hashes and window hashes (with size 0, no
-    windows)."""
+    """For each document of a shard its row, the words around it, its word hashes and window hashes."""
     row = 0
     for batch in table.to_batches():
         data, offsets = views(batch["text"])
@@ -52,7 +51,7 @@ def _windows(table: pa.Table, size: int) -> Iterator[tuple[int, Words, np.ndarra
             hashes = words.hashes()
             for i in range(last - first):
                 own = hashes[words.of[i] : words.of[i + 1]]
-                yield row + first + i, (words, i), own, grams(own, size) if size else own
+                yield row + first + i, (words, i), own, grams(own, size)
         row += batch.num_rows
 
 
@@ -121,33 +120,32 @@ def _confirm(table: pa.Table) -> pa.Table:
 
 
 def _spelled(words: np.ndarray, vocabulary: np.ndarray, base: int) -> str:
-    """Word hashes as three characters each: the digits of their places in the vocabulary, each digit in an alphabet of
-    its own, so that spellings only match word by word and no node of an automaton has many children. Words outside
-    the vocabulary have a spelling that no phrase holds."""
+    """Word hashes as two characters each: the digits of their places in the vocabulary, each digit in an alphabet of
+    its own, so that spellings only match word by word and no node of an automaton has very many children. Words
+    outside the vocabulary have a spelling that no phrase holds."""
     at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    digits = np.stack([at // base**2, at // base % base + base, at % base + 2 * base], axis=1) + 1
+    digits = np.empty((len(words), 2), "<u4")
+    digits[:, 0], digits[:, 1] = at // base + 1, at % base + base + 1
     digits[vocabulary[at] != words] = 0
-    return digits.astype("<u4").tobytes().decode("utf-32-le")
+    return digits.tobytes().decode("utf-32-le")
 
 
-def _automata(table: pa.Table, size: int, confirmed: np.ndarray):
+def _automata(documents: list, size: int, confirmed: np.ndarray):
     """Automata over the confirmed windows, PHRASES at most in each: the automaton, its vocabulary and base."""
     for start in range(0, len(confirmed), PHRASES):
         part = confirmed[start : start + PHRASES]
         phrases = np.zeros((len(part), size), U64)
-        for _, _, own, windows in _windows(table, size):
+        for _, _, own, windows in documents:
             at = np.minimum(np.searchsorted(part, windows), len(part) - 1)
             places = np.flatnonzero(part[at] == windows)
             if len(places):
                 phrases[at[places]] = own[places[:, None] + np.arange(size)]
         vocabulary = np.unique(phrases)
-        base = max(1, int(np.ceil(len(vocabulary) ** (1 / 3))))
-        while base**3 < len(vocabulary):
-            base += 1
+        base = int(np.ceil(np.sqrt(len(vocabulary))))
         spelled = _spelled(phrases.ravel(), vocabulary, base)
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i in range(len(part)):
-            automaton.add_word(spelled[3 * size * i : 3 * size * (i + 1)], start + i)
+            automaton.add_word(spelled[2 * size * i : 2 * size * (i + 1)], start + i)
         automaton.make_automaton()
         yield automaton, vocabulary, base
 
@@ -159,18 +157,19 @@ def _strip(table: pa.Table, phrases: pa.Table, size: int) -> pa.Table:
     order = np.argsort(confirmed)
     confirmed, first = confirmed[order], first[order]
     covered: dict[int, list[np.ndarray]] = {}
-    for automaton, vocabulary, base in _automata(table, size, confirmed):
-        for row, _, own, windows in _windows(table, size):
+    documents = list(_windows(table, size))
+    for automaton, vocabulary, base in _automata(documents, size, confirmed):
+        for row, _, own, windows in documents:
             if known[row] and len(windows):
                 hits = list(automaton.iter(_spelled(own, vocabulary, base)))
                 if hits:
                     ends, which = np.array(hits, np.int64).T
-                    starts = ends // 3 - size + 1
+                    starts = ends // 2 - size + 1
                     # The spelling holds for the window; its hash must agree as well.
                     real = (windows[starts] == confirmed[which]) & (first[which] < ids[row])
                     covered.setdefault(row, []).append(starts[real])
     counts, removed, digests, kept_texts = [], [], [], []
-    for row, (words, i), own, _ in _windows(table, 0):
+    for row, (words, i), own, _ in documents:
         gone = np.zeros(len(own) + 1, np.int32)
         for starts in covered.get(row, ()):
             np.add.at(gone, starts, 1)
