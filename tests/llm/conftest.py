@@ -1,18 +1,15 @@
-import re
-
 import pytest
 from pyspark.sql import types as T
 
 from pulsegrid.llm.queries import on_workers
 
-#: Documents with clashing extra columns; null in any column, empty, long and repeated texts.
+#: Documents with extra columns that clash with the operators' own names.
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("n_chars", T.LongType()),
     *(T.StructField(c, T.StringType()) for c in ("key", "row", "shard", "block", "score", "class", "matches", "ids")),
 ])
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 @pytest.fixture(scope="session")
@@ -29,17 +26,3 @@ def make(session):
         return session.createDataFrame(full, SCHEMA)
 
     return documents
-
-
-def odd_rows(rng):
-    """Rows that every operator has to bear."""
-    words = ["alpha", "beta", "Gamma", "delta", "épsilon", "zeta,", "漢字", "\U0001F600"]
-    text = lambda n: " ".join(rng.choice(words) + rng.choice(["", ".", "\n"]) for _ in range(n))
-    long = text(30_000)
-    base = text(60)
-    return [
-        (1, base, "en", "a"), (2, base, "en", "b"), (2, base, "en", "b"), (3, None, None, None), (4, "", "de", "a"),
-        (5, " \n\t ", "de", None), (None, base, "en", "a"), (6, long, "fr", "a"), (7, long + " end", "fr", "c"),
-        (8, "one", None, "a"), (9, "x" * 50_000, "en", "a"), (10, base.upper(), "en", "a"), (11, text(13), "en", "a"),
-        (-5, base + " more", "en", "a"), (12, " ".join(["the"] * 400), "en", "a"),
-    ]

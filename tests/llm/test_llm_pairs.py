@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 import pytest
-from conftest import WORDS, odd_rows
+from corpus_rows import WORDS, odd_rows
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontaminate, jaccard, neighbours, phrases, secrets

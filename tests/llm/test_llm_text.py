@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import tiktoken
-from conftest import odd_rows
+from corpus_rows import odd_rows
 from pyspark.sql import functions as F
 
 import public_tokenizers
