@@ -23,7 +23,7 @@ UNITS = {
     "WalkingHeartRateAverage": "count/s", "DistanceWalkingRunning": "mi",
 }
 METRIC_SLOTS = 40  # slots past the fact list are sleep samples
-BLOCK = 4096  # events per document at most
+BLOCK = 4096  # consecutive event ids per document at most
 BLOOD_TYPES = ("A+", "A-", "B+", "B-", "AB+", "AB-", "O+", "O-")
 MEALS = ("Breakfast", "Lunch", "Dinner", "Snacks")
 
@@ -107,18 +107,19 @@ def _profile(date: Column, hour: Column) -> list[Column]:
     ]
 
 
-def event_documents(events: DataFrame) -> DataFrame:
-    """Upload documents as JSON text, per user, day and block of events.
+def event_documents(events: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Upload documents as JSON text, per user, day and ``block`` consecutive event ids.
 
-    The block bounds a document: however busy a user is, no more than ``BLOCK`` samples meet in
-    one row.
+    A phone sends one document per user and day. An event table has no such bound, so a day's document is
+    cut: however busy a user is, no more than ``block`` samples meet in one row. Only the number of
+    documents depends on it, no sample.
     """
     arrays = [
         F.collect_list(F.when(F.col("key") == m.key, F.col("element"))).alias(m.key) for m in FACTS
     ]
-    block = F.floor(F.col("event_id") / BLOCK).alias("block")
+    cut = F.floor(F.col("event_id") / block).alias("block")
     documents = (
-        event_samples(events).groupBy("user_id", "date", block).agg(*arrays)
+        event_samples(events).groupBy("user_id", "date", cut).agg(*arrays)
         .withColumn("hour", F.explode(_copies(F.col("user_id"))))
     )
     present = [
