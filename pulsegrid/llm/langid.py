@@ -27,6 +27,8 @@ from pulsegrid.llm.arrow import chunks, views
 
 UNDETERMINED = "und"
 BUCKETS, DIMENSIONS, EPOCHS, BATCH, RATE = 1 << 15, 16, 4, 64, 0.5
+#: Least number of steps: small samples are passed over more often.
+LEAST_STEPS = 200
 #: Most rows that training reads (those with the smallest hash of their id).
 SAMPLE_ROWS = 4000
 #: Bytes that are scored at a time.
@@ -90,8 +92,10 @@ def fit(texts: list[str], languages: list[str], seed: int = 7, tolerance: float
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = rng.normal(0, 0.1, (DIMENSIONS, len(names))).astype(np.float32)
     bias = np.zeros(len(names), np.float32)
-    steps, step = max(1, EPOCHS * -(-len(learned) // BATCH)), 0
-    for _ in range(EPOCHS):
+    batches = max(1, -(-len(learned) // BATCH))
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    steps, step = epochs * batches, 0
+    for _ in range(epochs):
         learned = rng.permutation(learned)
         for at in range(0, len(learned), BATCH):
             rows = learned[at : at + BATCH]

@@ -27,6 +27,8 @@ from pulsegrid.llm.arrow import Words, chunks, mix, views
 #: Most rows that train the scorer (those whose text hashes lowest).
 SAMPLE_ROWS = 8000
 BUCKETS, EPOCHS, BATCH, RATE, DECAY = 1 << 14, 12, 64, 0.3, 1e-5
+#: Least number of steps: small samples are passed over more often.
+LEAST_STEPS = 300
 ROUNDS = 200
 #: Documents with a lower chance of being good are rejected.
 KEEP = 0.5
@@ -189,8 +191,10 @@ def fit(texts: list[str], soft: np.ndarray, seed: int = 5) -> Scorer:
         some = [*_bin_features(measured)[0]] if not np.isnan(measured[0, 0]) else []
         bags.append((np.append(rows, some).astype(np.int64),
                      np.append(counts / max(1, counts.sum()), np.ones(len(some)))))
-    steps, step = max(1, EPOCHS * -(-len(bags) // BATCH)), 0
-    for _ in range(EPOCHS if bags else 0):
+    batches = max(1, -(-len(bags) // BATCH))
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    steps, step = epochs * batches, 0
+    for _ in range(epochs if bags else 0):
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             part = order[at : at + BATCH]
