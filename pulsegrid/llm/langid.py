@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.arrow import chunks, views
+from pulsegrid.llm.sample import drawn
 
 UNDETERMINED = "und"
 BUCKETS, DIMENSIONS, EPOCHS, BATCH, RATE = 1 << 15, 16, 4, 64, 0.5
@@ -156,12 +157,9 @@ def score_batch(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def train(documents: DataFrame, text: str, lang: str, key: str, limit: int = SAMPLE_ROWS) -> Model:
     """Fit on at most `limit` labelled rows, those whose key and text hash lowest."""
-    rows = (
-        documents.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-        .select(F.col(text).alias("text"), F.col(lang).alias("lang"),
-                F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("order"))
-        .orderBy("order", "lang").limit(limit).collect()
-    )
+    labelled = documents.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = drawn(labelled, limit, "key", "text", "lang").collect()
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

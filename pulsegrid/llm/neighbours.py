@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.sample import drawn
+
 #: Centroids of each half, most vectors in the sample that they are fitted on, and passes over it.
 CELLS, SAMPLE, PASSES = 32, 20_000, 15
 #: Share of the index that a query's walk covers, and the least number of entries.
@@ -162,7 +164,7 @@ def _best(block: pa.Table, queries: pa.Table, dimensions: int, top: int) -> pa.T
 
 def build(vectors: DataFrame, cells: int = CELLS, sample: int = SAMPLE) -> tuple[Codebooks | None, DataFrame]:
     """Codebooks fitted on the `sample` vectors whose ids hash lowest, and the entries that have their length."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    rows = drawn(vectors, sample, "id").collect()
     if not rows:
         return None, vectors
     lengths = [len(r["vector"]) for r in rows]

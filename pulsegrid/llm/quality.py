@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.arrow import Words, chunks, mix, views
+from pulsegrid.llm.sample import drawn
 
-#: Most rows that train the scorer (those whose text hashes lowest).
+#: Most rows that train the scorer (those whose key and text hash lowest).
 SAMPLE_ROWS = 8000
 BUCKETS, EPOCHS, BATCH, RATE, DECAY = 1 << 14, 12, 64, 0.3, 1e-5
 #: Least number of steps: small samples are passed over more often.
@@ -255,11 +256,11 @@ def label_model(documents: DataFrame, text: str) -> LabelModel:
 
 def train(documents: DataFrame, text: str, key: str, limit: int = SAMPLE_ROWS) -> tuple[Scorer, LabelModel]:
     model = label_model(documents, text)
-    rows = (
-        documents.where(F.col(text).isNotNull())
-        .select(F.col(text).cast("string").alias("text"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("o"))
-        .orderBy("o").limit(limit).collect()
-    )
+    rows = drawn(
+        documents.where(F.col(text).isNotNull()).select(
+            F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")),
+        limit, "key", "text",
+    ).collect()
     texts = [r["text"] for r in rows]
     cast = [votes(measures(*views(pa.array([t]))))[0] for t in texts]
     soft = model.posterior(np.array(cast).reshape(-1, len(LABELLERS)))

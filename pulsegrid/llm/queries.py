@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm import (
     bpe, decontaminate, jaccard, langid, neighbours, phrases, quality, secrets, sharding, toxicity,
 )
+from pulsegrid.llm.sample import drawn
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 OWNER, REPOSITORY = "source", "doc_id"
@@ -51,8 +52,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _remainder("doc_id", 4) == 2
     limit = toxicity.SAMPLE_ROWS
     # Labelled ids are drawn before their texts are looked up, so that only the sample's texts are joined.
-    drawn = labels.where(~held_out).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(limit)
-    machine = toxicity.train(documents.join(F.broadcast(drawn), "doc_id"), "text", "toxic", "doc_id", limit)
+    known = drawn(labels.where(~held_out), limit, "doc_id", "toxic")
+    machine = toxicity.train(documents.join(F.broadcast(known), "doc_id"), "text", "toxic", "doc_id", limit)
     scored = toxicity.score(documents.select("doc_id", held_out.alias("held_out"), "text"), machine, "text",
                             ["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_AT).cast("int"))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.arrow import Words, chunks, views
+from pulsegrid.llm.sample import drawn
 
 #: Most labelled rows that training reads, and most terms that get weights.
 SAMPLE_ROWS, TERMS = 8000, 1024
@@ -152,12 +153,9 @@ def bags_of(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def train(labelled: DataFrame, text: str, label: str, key: str, limit: int = SAMPLE_ROWS) -> Machine:
     """Fit on at most `limit` labelled rows, those whose key and text hash lowest."""
-    rows = (
-        labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull())
-        .select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"),
-                F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("order"))
-        .orderBy("order", "label").limit(limit).collect()
-    )
+    known = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
+    rows = drawn(known, limit, "key", "text", "label").collect()
     return fit(bags_of([r["text"] for r in rows]), np.array([min(1, max(0, r["label"])) for r in rows]))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from pulsegrid.llm import bpe, langid, quality, sharding, toxicity
 from pulsegrid.llm.arrow import Words, grams, pack, pack_sorted, unpack, unpack_sorted, views
+from pulsegrid.llm.sample import drawn
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -199,3 +200,11 @@ def test_sharding(make):
     assert sharding.shard_records(make([]), "doc_id", "text", weights).count() == 0
     with pytest.raises(ValueError):
         sharding.winner(F.lit("x"), [1.0, 0.0])
+
+
+def test_samples_are_bounded_and_repeatable(session):
+    rows = session.range(50_000).repartition(16)
+    first = {r.id for r in drawn(rows, 500, "id").collect()}
+    again = {r.id for r in drawn(rows.repartition(3), 500, "id").collect()}
+    assert len(first) == 500 and first == again
+    assert drawn(session.range(10), 500, "id").count() == 10 and drawn(session.range(0), 5, "id").count() == 0
