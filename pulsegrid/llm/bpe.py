@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable
 from functools import cache
 
 import numpy as np

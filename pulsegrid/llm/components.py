@@ -19,7 +19,6 @@ def _both(links: DataFrame) -> DataFrame:
     return links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least reachable node) for the nodes of links (a, b)."""
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

@@ -13,8 +13,8 @@ intersections; it is computed in blocks, and only where sizes leave a link possi
    order of size and cut where sizes no longer allow a link, and those of a stretch are paired with one class only
    (a star; its centre is the class whose name hashes lowest, so one class is the centre of a dense group in all
    columns that it has). The overlap counts of these pairs are added up over all blocks, and pairs below their bound
-   go, unless the centre has DENSE classes or more. Each class is compared with the STARS partners of its largest counts and with the classes that meet it at
-   these partners; links join classes to components.
+   go, unless the centre has DENSE classes or more. Each class is compared with the STARS partners of its largest
+   counts and with the classes that meet it at these partners; links join classes to components.
 5. What is left: columns whose classes lie in different components. There all pairs between components are
    formed whose sizes and positions leave enough common columns and whose prefixes share as many as a linked pair
    must, so no link is lost.
@@ -386,7 +386,8 @@ def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, pe
     schema = "block long, columns binary, local binary, places binary, classes binary, sizes binary, often boolean"
     held = stored(
         _text(documents, text).mapInArrow(deal, schema).groupBy("block").applyInArrow(
-            lambda table: _starred(table, percent), "column long, class long, n long, place long, centre long, centre_n long, often boolean"),
+            lambda table: _starred(table, percent),
+            "column long, class long, n long, place long, centre long, centre_n long, often boolean"),
         "held")
     links = linked(documents, _partners(held, percent), text, k, percent, among=True)
     known = components(links)

@@ -9,8 +9,9 @@ of patterns depends on the labellers, not on the input. The posterior of a docum
 and a linear scorer over hashed features is trained on soft labels of a bounded sample. The scorer, not the votes,
 decides: it also sees what no labeller names.
 
-Defined results: on texts of fewer than LEAST_WORDS words, null and empty ones too, all labellers abstain; they
-are not judged, score the share of good documents, and are kept; an empty table trains nothing and gives an empty result.
+Defined results: on texts of fewer than LEAST_WORDS words, null and empty ones too, all labellers abstain; they are
+not judged, score the share of good documents, and are kept; an empty table trains nothing and gives an empty
+result.
 """
 
 from __future__ import annotations

@@ -6,6 +6,8 @@ from pulsegrid.llm.secrets import BASE, EXAMPLE_OWNERS, LEAST_DISTINCT, WORD, WO
 
 _WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 
 def _kind(number: int, kind) -> str:
     # DuckDB knows no look-around. Without it the same runs are found, and words without a digit or a letter, which
@@ -80,7 +82,7 @@ FROM docs LEFT JOIN kept USING (rid)
 
 JACCARD = rf"""
 WITH RECURSIVE docs AS MATERIALIZED (
-  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  SELECT doc_id, {_WORDS.format(_LOWER)} AS w
   FROM documents
 ), grams AS MATERIALIZED (
   SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {K - 1}), ' ') AS g
