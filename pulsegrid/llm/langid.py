@@ -63,7 +63,7 @@ def mean_vector_counts(text: bytes, buckets: int = BUCKETS) -> tuple[np.ndarray,
     """Buckets of one text and the weight of each in the mean."""
     found = np.concatenate(list(gram_buckets(np.frombuffer(text, np.uint8), buckets)))
     rows, counts = np.unique(found, return_counts=True)
-    return rows.astype(np.int64), (counts / max(1, counts.sum())).astype(np.float32)
+    return rows.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
 @dataclass

@@ -191,8 +191,8 @@ def fit(texts: list[str], soft: np.ndarray, seed: int = 5) -> Scorer:
         rows, counts = np.unique(_features(data), return_counts=True)
         measured = measures(data, offsets)
         some = [*_bin_features(measured)[0]] if not np.isnan(measured[0, 0]) else []
-        bags.append((np.append(rows, some).astype(np.int64),
-                     np.append(counts / max(1, counts.sum()), np.ones(len(some)))))
+        bags.append((np.append(rows, some).astype(np.int32),
+                     np.append(counts / max(1, counts.sum()), np.ones(len(some))).astype(np.float32)))
     batches = max(1, -(-len(bags) // BATCH))
     epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
     steps, step = epochs * batches, 0
