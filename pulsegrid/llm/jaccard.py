@@ -9,18 +9,22 @@ intersections; it is computed in blocks, and only where sizes leave a link possi
    documents. Any fixed order is right; this one keeps frequent n-grams out of the way.
 3. For a row of n columns, a partner shares one of the first n - ceil(n * percent / 100) + 1. These prefix entries
    are dealt by column into blocks of the matrix. Columns of a single class drop out.
-4. Dense groups need not be multiplied out to find components. In each block, the entries of a column are put in
+4. Groups come first, links after them: a link never leaves its group. In each block, the entries of a column are put in
    order of size and cut where sizes no longer allow a link, and those of a stretch are paired with one class only
    (a star; its centre is the class whose name hashes lowest, so one class is the centre of a dense group in all
    columns that it has). The overlap counts of these pairs are added up over all blocks, and pairs below their bound
    go, unless the centre has DENSE classes or more. Each class is compared with the STARS partners of its largest
-   counts and with the classes that meet it at these partners; links join classes to components.
-5. What is left: columns whose classes lie in different components. There all pairs between components are
+   counts and with the classes that meet it at these partners; links join classes to groups.
+5. What is left: columns whose classes lie in different groups. There all pairs between groups are
    formed whose sizes and positions leave enough common columns and whose prefixes share as many as a linked pair
    must, so no link is lost.
 6. Comparing: pairs are dealt into blocks by their left row. The block's members are a sparse matrix, which is
    multiplied by the left row (and, for stars, by its own transpose); pairs below the size-derived bound
    ceil(percent * (n + m) / (100 + percent)) go.
+7. The join: each group is multiplied by its own transpose, which gives all links in it with their overlaps. A group
+   of more than TILE classes is cut by size and class into parts; two parts meet in one tile where sizes allow a link,
+   so a tile is bounded whatever the group. A tile gives a row for each class, with its links in arrays.
+   Components come from these links.
 
 A column held by very many documents, as the sketch counts them, is dealt to several blocks and starred in each;
 the stars' centres are starred in turn.
@@ -34,6 +38,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +63,18 @@ STARS = 2
 DENSE = 32
 #: Pairs compared in one block; classes are marked as wanted in a bitmap of 2**24 bits.
 PAIRS, BITS, PAGE = 512, 1 << 24, 1 << 15
+#: Classes in a part of a group; two parts at most are multiplied in one tile.
+TILE = 512
+
+
+@dataclass(frozen=True)
+class Join:
+    """Links hold between classes: documents of one class have equal sets, and all of them link with each other and
+    with the documents of the linked classes."""
+
+    documents: DataFrame  # key, n_shingles, class (null for empty sets), component_id
+    links: DataFrame  # a, b (classes, each pair once), a_n, b_n, shared
+    link_counts: DataFrame  # class, n_documents, n_links: other documents that each document of the class links with
 
 
 def sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -282,15 +299,9 @@ def _multiplied(table: pa.Table, percent: int, among: bool) -> pa.Table:
     return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: int, among: bool = False) -> DataFrame:
-    """Links that join what the pairs (a, b) of classes join; with `among`, also what links between the partners
-    of a class join, as far as they meet in a block."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    total = pairs.count()
-    if not total:
-        return pairs
-    spark = documents.sparkSession
-    wanted = spark.sparkContext.broadcast(_wanted(pairs))
+def _sets_of(documents: DataFrame, pairs: DataFrame, text: str, k: int) -> DataFrame:
+    """class, columns (packed) of the classes in pairs; others may come as well, and a class several times."""
+    wanted = documents.sparkSession.sparkContext.broadcast(_wanted(pairs))
 
     def wanted_sets(batches):
         bits = wanted.value
@@ -306,6 +317,16 @@ def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: i
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())],
                                              names=["class", "columns"])
 
+    return _text(documents, text).mapInArrow(wanted_sets, "class long, columns binary")
+
+
+def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: int, among: bool = False) -> DataFrame:
+    """Links that join what the pairs (a, b) of classes join; with `among`, also what links between the partners
+    of a class join, as far as they meet in a block."""
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    total = pairs.count()
+    if not total:
+        return pairs
     blocks = total // PAIRS + 1
     # A left row with many partners is split by partner; rows with few go to one block.
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).cast("long").alias("shares"))
@@ -313,9 +334,8 @@ def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: i
     dealt = pairs.join(many, "a").select("a", "b", block.alias("block"))
     roles = dealt.select("block", "a", "b", F.explode(F.array("a", "b")).alias("class"))
     roles = roles.withColumn("b", F.when(F.col("class") == F.col("b"), F.col("b"))).distinct()
-    rows = _text(documents, text).mapInArrow(wanted_sets, "class long, columns binary")
     return stored(
-        rows.join(roles, "class").groupBy("block").applyInArrow(
+        _sets_of(documents, pairs, text, k).join(roles, "class").groupBy("block").applyInArrow(
             lambda t: _multiplied(t, percent, among), "a long, b long"),
         "linked")
 
@@ -371,9 +391,103 @@ def _left_over(held: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         shared >= _least_shared(F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
 
 
-def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, percent: int = PERCENT,
-                       block_bytes: int = BLOCK_BYTES, split: int = SPLIT) -> DataFrame:
-    """key, n_shingles, component_id (least key reachable by links) of each document."""
+def _tiles(members: DataFrame, percent: int, tile: int) -> DataFrame:
+    """block, component, left, right, part, class, copies: a row for each tile that a class takes part in. Groups of
+    up to `tile` classes are one tile, and share blocks. In larger ones a part holds sizes of one range, so wide that
+    linked sizes lie in the same range or in neighbouring ones."""
+    width = max(math.log(100 / percent), 0.01) * (1 + 1e-9)
+    sized = members.withColumn("range", F.floor(F.log("n") / width))
+    counted = sized.groupBy("component", "range").agg(F.count("*").alias("classes"))
+    entry = F.struct("range", F.ceil(F.col("classes") / tile).alias("parts"))
+    large = counted.groupBy("component").agg(
+        F.sum("classes").alias("classes"), F.map_from_entries(F.collect_list(entry)).alias("parts"),
+    ).where(F.col("classes") > tile).drop("classes")
+    number = lambda size, place: size * F.lit(1 << 24) + place
+    parts = lambda size: F.coalesce(F.try_element_at("parts", size), F.lit(0).cast("long"))
+    own = number(F.col("range"), F.pmod(F.xxhash64("class"), parts(F.col("range"))))
+    others = F.flatten(F.transform(
+        F.array(*(F.col("range") + i for i in (-1, 0, 1))),
+        lambda size: F.when(parts(size) > 0, F.transform(
+            F.sequence(F.lit(0).cast("long"), parts(size) - 1), lambda place: number(size, place),
+        )).otherwise(F.array().cast("array<bigint>"))))
+    # Few groups are large: there is one for each `tile` classes at most.
+    dealt = sized.join(F.broadcast(large), "component", "left")
+    none = F.lit(0).cast("long")
+    dealt = dealt.select(
+        "component", "class", "copies", F.col("parts").isNotNull().alias("large"),
+        F.when(F.col("parts").isNull(), none).otherwise(own).alias("part"),
+        F.explode(F.when(F.col("parts").isNull(), F.array(none)).otherwise(others)).alias("other"))
+    blocks = members.count() // tile + 1
+    return dealt.select(
+        F.when(F.col("large"), F.xxhash64("component", F.least("part", "other"), F.greatest("part", "other")))
+        .otherwise(F.pmod(F.xxhash64("component"), F.lit(blocks))).alias("block"),
+        "component", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part",
+        "class", "copies")
+
+
+def _tile_links(rows: dict[int, tuple[np.ndarray, int, int]], left: int, right: int, percent: int) -> Iterator[tuple]:
+    """Of a tile's classes, with columns, copies and part: class, size, the linked classes behind it, their sizes and
+    overlaps, those of them that join what links before have not joined, and the documents that it links with."""
+    names = sorted(rows, key=lambda x: (rows[x][2], x))
+    sizes = np.array([len(rows[x][0]) for x in names])
+    copies = np.array([rows[x][1] for x in names])
+    first = sum(rows[x][2] == left for x in names)
+    columns, cells = np.unique(np.concatenate([rows[x][0] for x in names]), return_inverse=True)
+    starts = np.append(0, np.cumsum(sizes))
+    met = np.zeros(len(names), np.int64)
+    group = np.arange(len(names))
+    found = []
+    for i in range(len(names)):
+        begin = i + 1 if left == right else max(i + 1, first)
+        hits = np.zeros(0, np.int64)
+        overlap = hits
+        if i < first and begin < len(names):
+            overlap = _overlaps(cells[starts[i] : starts[i + 1]], cells[starts[begin] :],
+                                starts[begin:-1] - starts[begin], len(columns))
+            hits = np.flatnonzero(overlap >= least_overlap(sizes[i], sizes[begin:], percent))
+            overlap, hits = overlap[hits], hits + begin
+        met[i] += copies[hits].sum()
+        met[hits] += copies[i]
+        fresh, one = np.unique(group[hits], return_index=True)
+        one = one[fresh != group[i]]
+        if len(one):
+            group[np.isin(group, fresh)] = group[i]
+        found.append((hits, overlap, hits[one]))
+    ids = np.array(names, np.int64)
+    for i, (hits, overlap, joins) in enumerate(found):
+        if met[i]:
+            yield names[i], sizes[i], ids[hits], sizes[hits], overlap, ids[joins], met[i]
+
+
+LINKS = "class long, n long, b array<long>, b_n array<long>, shared array<long>, joins array<long>, met long"
+
+
+def _all_links(documents: DataFrame, members: DataFrame, text: str, k: int, percent: int, tile: int) -> DataFrame:
+    """All links between the classes of each group, a row for each class and tile (LINKS)."""
+
+    def multiply(table: pa.Table) -> pa.Table:
+        tiles: dict[tuple, dict] = {}
+        blobs: dict[int, np.ndarray] = {}
+        for r in table.to_pylist():
+            if r["class"] not in blobs:
+                blobs[r["class"]] = unpack_sorted(r["columns"])
+            tiles.setdefault((r["component"], r["left"], r["right"]), {})[r["class"]] = (
+                blobs[r["class"]], r["copies"], r["part"])
+        out = [x for (_, left, right), rows in tiles.items() for x in _tile_links(rows, left, right, percent)]
+        names = ["class", "n", "b", "b_n", "shared", "joins", "met"]
+        kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 4, pa.int64()]
+        return pa.table([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=names)
+
+    pairs = members.select(F.col("class").alias("a"), F.col("class").alias("b"))
+    return stored(
+        _sets_of(documents, pairs, text, k).join(_tiles(members, percent, tile), "class")
+        .groupBy("block").applyInArrow(multiply, LINKS),
+        "joined")
+
+
+def jaccard_join(documents: DataFrame, key: str, text: str, k: int = K, percent: int = PERCENT,
+                 block_bytes: int = BLOCK_BYTES, split: int = SPLIT, tile: int = TILE) -> Join:
+    """All links, and the components that they make."""
     spark = documents.sparkSession
     profiles = _profiles(documents, key, text, k)
     total = documents.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
@@ -395,11 +509,29 @@ def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, pe
     if more.take(1):
         known = components(links.union(more))
     rows = profiles.where("slice is null")
-    classes = rows.where("class is not null").groupBy("class").agg(F.min("key").alias("least"))
-    classes = classes.join(known.withColumnRenamed("node", "class"), "class", "left").withColumn(
+    classes = rows.where("class is not null").groupBy("class").agg(
+        F.min("key").alias("least"), F.max("n").alias("n"), F.count("*").alias("copies"))
+    members = stored(classes.join(known.withColumnRenamed("node", "class"), "class"), "members")
+    links = _all_links(documents, members, text, k, percent, tile)
+    joined = components(links.select(F.col("class").alias("a"), F.explode("joins").alias("b")))
+    classes = classes.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "component").select("class", "component_id")
-    return rows.join(named, "class", "left").select(
-        "key", F.col("n").alias("n_shingles"),
-        F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+    each = links.select("class", "n", F.explode(F.arrays_zip("b", "b_n", "shared")).alias("link"))
+    met = links.groupBy("class").agg(F.sum("met").alias("met"))
+    return Join(
+        rows.join(named, "class", "left").select(
+            "key", F.col("n").alias("n_shingles"), "class",
+            F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id")),
+        each.select(F.col("class").alias("a"), "link.b", F.col("n").alias("a_n"), "link.b_n", "link.shared"),
+        classes.join(met, "class", "left").select(
+            "class", F.col("copies").alias("n_documents"),
+            (F.col("copies") - 1 + F.coalesce("met", F.lit(0))).alias("n_links")))
+
+
+def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, percent: int = PERCENT,
+                       block_bytes: int = BLOCK_BYTES, split: int = SPLIT) -> DataFrame:
+    """key, n_shingles, component_id (least key reachable by links) of each document."""
+    found = jaccard_join(documents, key, text, k, percent, block_bytes, split)
+    return found.documents.select("key", "n_shingles", "component_id")

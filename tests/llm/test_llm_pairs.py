@@ -150,6 +150,43 @@ def test_jaccard(make, options):
     assert Counter(tuple(r) for r in got.collect()) == linked_components(rows)
 
 
+@pytest.mark.parametrize("options", [{}, {"tile": 7, "block_bytes": 3000}])
+def test_jaccard_gives_all_links(make, options):
+    rng = random.Random(14)
+    words = ["w%d" % i for i in range(300)]
+    rows = []
+    for _ in range(4):  # dense groups of different near copies, some of them repeated
+        text = [rng.choice(words) for _ in range(120)]
+        for _ in range(40):
+            own = list(text[: rng.choice([120, 112, 100, 95])])
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows += [(len(rows), " ".join(own))] * rng.choice([1, 1, 2])
+    rows += [(r[0], r[1]) for r in odd_rows(rng)]
+    rows = [(10**6 + i, r[1]) for i, r in enumerate(rows)]
+    sets = dict(zip((r[0] for r in rows), shingle_sets(rows), strict=True))
+    want, degree = {}, Counter()
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and both and 100 * both >= 75 * len(sets[a] | sets[b]):
+                degree.update((a, b))
+                if sets[a] != sets[b]:
+                    want[frozenset((frozenset(sets[a]), frozenset(sets[b])))] = both
+    join = jaccard.jaccard_join(make(rows), "doc_id", "text", **options)
+    documents = join.documents.collect()
+    of = {r["class"]: frozenset(sets[r.key]) for r in documents if r["class"] is not None}
+    assert len(of) == len({frozenset(x) for x in sets.values() if x})
+    links = join.links.collect()
+    got = {frozenset((of[r.a], of[r.b])): r.shared for r in links}
+    assert got == want and len(links) == len(want) > 600
+    assert all((r.a_n, r.b_n) == (len(of[r.a]), len(of[r.b])) for r in links)
+    counts = {r["class"]: r.n_links for r in join.link_counts.collect()}
+    assert {r.key: counts[r["class"]] for r in documents if r["class"] is not None} == {
+        d: degree[d] for d in sets if sets[d]}
+    assert Counter((r.key, r.n_shingles, r.component_id) for r in documents) == linked_components(rows)
+
+
 def test_jaccard_of_nothing(make):
     assert jaccard.jaccard_components(make([]), "doc_id", "text").count() == 0
     got = jaccard.jaccard_components(make([(1, None), (2, ""), (2, "")]), "doc_id", "text").collect()
