@@ -12,13 +12,13 @@ sum over both halves is minus the inner product with the quantised vector.
 Spark holds the entries in blocks of about `block`: pairs of centroids lie end to end in the order of their numbers
 and are cut by their entry counts, so small pairs share a block and a large one is split. A query goes once to each
 block that holds pairs of its walk, with their numbers. Blocks and groups of queries meet in one matrix product, of
-which each query keeps its `top` best, and these are merged by query. The table of entry counts by pair is broadcast:
+which each query keeps its `top` best ids, and these are merged by query. The table of entry counts by pair is broadcast:
 cells * cells numbers.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part.
 Defined results: ties go to the smaller id; a query with fewer than `top` candidates gets all of them; vectors with
-a null id are no queries and no candidates; repeated ids are one candidate each; an empty table gives an empty
-result.
+a null id are no queries and no candidates; a repeated id is one candidate, with the best score of its vectors; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.sample import drawn
+from pulsegrid.llm.storage import stored
 
 #: Centroids of each half, most vectors in the sample that they are fitted on, and passes over it.
 CELLS, SAMPLE, PASSES = 32, 20_000, 15
@@ -126,8 +127,11 @@ class Layout:
         self.first = begin // block
         self.parts = np.maximum(begin + counts - 1, begin) // block - self.first + 1
 
-    def block_of(self, cells: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+    def block_of(self, cells: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Rows of one id in a cell are dealt by their vectors."""
+        odd = np.arange(vectors.shape[1], dtype=np.uint64) * np.uint64(0xD1342543DE82EF96) + np.uint64(1)
+        bits = (np.ascontiguousarray(vectors, np.float64).view(np.uint64) * odd).sum(1, dtype=np.uint64)
+        mixed = (ids.astype(np.uint64) ^ bits ^ bits >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
         return self.first[cells] + (mixed % self.parts[cells].astype(np.uint64)).astype(np.int64)
 
     def visits(self, cells: list[int]) -> dict[int, list[int]]:
@@ -140,10 +144,11 @@ class Layout:
 
 
 def _best(block: pa.Table, queries: pa.Table, dimensions: int, top: int) -> pa.Table:
-    """The best entries of the block for each query, among the cells that it visits."""
+    """The best ids of the block for each query, among the cells that it visits."""
     names = ["query_id", "vec_id", "score"]
     out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     if block.num_rows and queries.num_rows:
+        block = block.sort_by("id")  # the entries of an id lie side by side
         ids, cells = block["id"].to_numpy(), block["cell"].to_numpy()
         known, cells = np.unique(cells, return_inverse=True)
         entries, asked = _matrix(block["vector"], dimensions), _matrix(queries["vector"], dimensions)
@@ -153,11 +158,14 @@ def _best(block: pa.Table, queries: pa.Table, dimensions: int, top: int) -> pa.T
             places = np.flatnonzero(there)
             line = rough[row][places]
             if len(line) > top:
+                own = ids[places]
+                of_id = np.maximum.reduceat(line, np.flatnonzero(np.append(True, own[1:] != own[:-1])))
                 # The product's last digits depend on its shape: keep whatever may belong to the best.
-                limit = np.partition(line, len(line) - top)[len(line) - top]
+                limit = np.partition(of_id, len(of_id) - top)[len(of_id) - top] if len(of_id) > top else of_id.min()
                 places = places[line >= limit - 1e-9 * max(1.0, abs(limit))]
             exact = (asked[row] * entries[places]).sum(1)
-            order = np.lexsort((ids[places], -exact))[:top]
+            order = np.lexsort((ids[places], -exact))
+            order = order[np.sort(np.unique(ids[places[order]], return_index=True)[1])][:top]
             out.append((np.full(len(order), query), ids[places[order]], exact[order]))
     return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], names=names)
 
@@ -180,7 +188,9 @@ def search(vectors: DataFrame, key: str, vector: str, is_query: str, top: int =
     """query_id, rank, vec_id, score: the `top` nearest entries found for each row that meets `is_query`, a condition
     on the column `id`."""
     spark = vectors.sparkSession
-    books, entries = build(usable(vectors, key, vector), cells)
+    # Copies of a row meet in the task before they are sent; one entry stays.
+    rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("vector")).where("id is not null")
+    books, entries = build(usable(stored(rows.dropDuplicates(), "vectors"), "id", "vector"), cells)
     if books is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(books)
@@ -204,7 +214,8 @@ def search(vectors: DataFrame, key: str, vector: str, is_query: str, top: int =
 
     def placed(batches):
         for batch in batches:
-            blocks = layout.value.block_of(batch["cell"].to_numpy(), batch["id"].to_numpy())
+            vectors = _matrix(batch["vector"], shared.value.dimensions)
+            blocks = layout.value.block_of(batch["cell"].to_numpy(), batch["id"].to_numpy(), vectors)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], names=[*batch.schema.names, "block"])
 
     def visits(batches):
@@ -229,5 +240,6 @@ def search(vectors: DataFrame, key: str, vector: str, is_query: str, top: int =
         lambda entries, queries: _best(entries, queries, dimensions, top),
         "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.distinct().withColumn("rank", rank).where(F.col("rank") <= top).select(
+    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return best.withColumn("rank", rank).where(F.col("rank") <= top).select(
         "query_id", "rank", "vec_id", "score")

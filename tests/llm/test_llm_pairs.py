@@ -269,6 +269,27 @@ def test_neighbours(session):
     assert neighbours.search(few.limit(0), "vec_id", "embedding", "id % 20 = 0").count() == 0
 
 
+def test_neighbours_of_repeated_rows(session):
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(120, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v) for i, v in enumerate(x) for _ in range(25)]
+    rows += [(7, v / np.linalg.norm(v)) for v in rng.normal(size=(60, 8))]  # an id of many vectors
+    table = session.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.search(table, "vec_id", "embedding", "id % 20 = 0").orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 120, 20))
+    for query, found in got.items():
+        score = {}
+        for i, v in rows:
+            if i != query:
+                score[i] = max(score.get(i, -9.0), float(x[query] @ v))
+        want = sorted(score.items(), key=lambda e: -e[1])[:20]
+        assert [i for i, _ in found] == [i for i, _ in want]
+        assert [s for _, s in found] == pytest.approx([s for _, s in want], abs=1e-12)
+
+
 def edits(a, b):
     """Least distance of a to any stretch of b."""
     row = [0] * (len(b) + 1)
