@@ -46,7 +46,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked."""
-    found = secrets.scan(docs, "text", OWNER, REPOSITORY, {c: c for c in COLUMNS})
+    found = secrets.scan(docs, "text", OWNER, REPOSITORY, {c: c for c in COLUMNS}, masking=True)
     masked = secrets.redacted(F.col("text"), F.concat("base", "owned"))
     return found.withColumn("text", masked).withColumn(
         "n_chars", F.length("text").cast("long")).select(COLUMNS)

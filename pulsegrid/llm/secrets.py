@@ -55,6 +55,10 @@ ADDED = "owned"
 EXAMPLE_OWNERS = 2
 #: Different characters of a live-looking value.
 LEAST_DISTINCT = 8
+#: With `masking`: a value given to a password-like name by this many owners, in this many repositories, is widely copied.
+WIDELY = 5
+#: Ends of a bare run that belong to the sentence or path around it.
+ENDS = "+/_.=-"
 #: Shares of the rows that hold one value, each joined with the value's verdict by itself.
 SHARES = 8
 MASK = "[SECRET]"
@@ -85,19 +89,33 @@ def spans(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.guard or kind.pattern), found).otherwise(F.array().cast(FOUND))
 
 
-def _hashed(found: Column, number: int) -> Column:
+def _hashed(found: Column, number: int, masking: bool) -> Column:
+    name = (lambda value: F.regexp_replace(value, rf"^[{ENDS}]+|[{ENDS}]+$", "")) if masking else (lambda value: value)
     return F.transform(found, lambda s: F.struct(
         s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"),
-        F.sha2(s["value"], 256).alias("hash"), live_looking(s["value"]).alias("live"),
+        F.sha2(name(s["value"]), 256).alias("hash"), live_looking(s["value"]).alias("live"),
     ))
 
 
-def candidates(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str]) -> DataFrame:
+def _trimmed(found: Column) -> Column:
+    """Spans of bare runs without the punctuation at their ends."""
+    def cut(s: Column) -> Column:
+        value = F.regexp_replace(s["value"], rf"^[{ENDS}]+|[{ENDS}]+$", "")
+        start = s["start"] + F.length(s["value"]) - F.length(F.regexp_replace(s["value"], rf"^[{ENDS}]+", ""))
+        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
+
+    return F.filter(F.transform(found, cut), lambda s: F.length(s["value"]) >= WORD.least)
+
+
+def candidates(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str],
+               masking: bool = False) -> DataFrame:
     """A stored row for each record: its number, owner, repository, the kept columns under new names, `base` spans
-    and bare `words`, with hashes in place of values."""
+    and bare `words`, with hashes in place of values. With `masking`, words and hashes are without punctuation at the
+    ends."""
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    base = F.concat(*(_hashed(spans(content, k), i) for i, k in enumerate(BASE)))
-    words = F.filter(_hashed(spans(content, WORD), len(BASE)), lambda s: s["live"])
+    base = F.concat(*(_hashed(spans(content, k), i, masking) for i, k in enumerate(BASE)))
+    runs = _trimmed(spans(content, WORD)) if masking else spans(content, WORD)
+    words = F.filter(_hashed(runs, len(BASE), masking), lambda s: s["live"])
     found = documents.select(
         F.monotonically_increasing_id().alias("row"),
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
@@ -108,11 +126,12 @@ def candidates(documents: DataFrame, text: str, owner: str, repository: str, kee
     return stored(found, "secrets")
 
 
-def ownership(found: DataFrame) -> DataFrame:
-    """hash, owners, repositories, assigned: the holders of each value. Summed before each shuffle, so a value that
+def ownership(found: DataFrame, masking: bool = False) -> DataFrame:
+    """hash, owners, repositories, assigned: the holders of each value; with `masking`, those of base spans, so that
+    a bare occurrence does not count against itself. Summed before each shuffle, so a value that
     many rows hold arrives as a row for each task."""
     each = found.select(
-        "owner", "repository", F.explode(F.concat("base", "words")).alias("s")
+        "owner", "repository", F.explode("base" if masking else F.concat("base", "words")).alias("s")
     ).select("owner", "repository", F.col("s.hash").alias("hash"), (F.col("s.kind") == 0).alias("assigned"))
     held = each.groupBy("hash", "owner", "repository").agg(F.max("assigned").alias("assigned"))
     owned = held.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.max("assigned").alias("assigned"))
@@ -126,15 +145,16 @@ def _overlaps(span: Column, base: Column) -> Column:
     return F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
 
 
-def judged(found: DataFrame) -> DataFrame:
+def judged(found: DataFrame, masking: bool = False) -> DataFrame:
     """row, owned (spans to add), n_live and n_example (base spans of owner-specific and of copied values), for the
     rows that have any candidate."""
-    verdicts = ownership(found).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    verdicts = ownership(found, masking).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
     bare = F.filter("words", lambda w: ~_overlaps(w, F.col("base")))
     each = found.select("row", F.pmod("row", F.lit(SHARES)).cast("int").alias("share"),
                         F.explode(F.concat("base", bare)).alias("s"))
     each = each.select("row", "share", "s", F.col("s.hash").alias("hash")).join(verdicts, ["hash", "share"])
-    example, word = F.col("owners") >= EXAMPLE_OWNERS, F.col("s.kind") == len(BASE)
+    widely = (F.col("owners") >= WIDELY) & (F.col("repositories") >= WIDELY)
+    example, word = widely if masking else F.col("owners") >= EXAMPLE_OWNERS, F.col("s.kind") == len(BASE)
     added = word & F.col("assigned") & ~example
     span = F.struct("s.start", "s.kind", "s.end")
     return each.groupBy("row").agg(
@@ -144,13 +164,15 @@ def judged(found: DataFrame) -> DataFrame:
     )
 
 
-def scan(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str]) -> DataFrame:
-    """The kept columns, base and owned (arrays of start, kind, end), n_live, n_example."""
-    found = candidates(documents, text, owner, repository, keep)
+def scan(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str],
+         masking: bool = False) -> DataFrame:
+    """The kept columns, base and owned (arrays of start, kind, end), n_live, n_example. `masking` is the stricter
+    rule for texts to be published: only a widely copied value is an example."""
+    found = candidates(documents, text, owner, repository, keep, masking)
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"),
                                                   s["end"].alias("end")))
-    return found.drop("words", "owner", "repository").join(judged(found), "row", "left").select(
+    return found.drop("words", "owner", "repository").join(judged(found, masking), "row", "left").select(
         *keep.values(), base.alias("base"), F.coalesce("owned", empty).alias("owned"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"),
     )

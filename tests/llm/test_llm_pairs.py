@@ -60,6 +60,18 @@ def test_secrets(make):
     assert secrets.scan(make([]), "text", "source", "doc_id", {"doc_id": "doc_id"}).count() == 0
 
 
+def test_masking_of_leaked_secrets(session, make):
+    second, wide = "Zk4Wn9Bt2Hs6Jc1F", "Wd3Kx8Pq1Ls5Vn7G"
+    rows = [(1, f"password={KEY}", "en", "me"), (2, f"seen {KEY} here", "en", "other"),
+            (3, f"It is {KEY}. End", "en", "third"), (4, f"secret: {second}.", "en", "one"),
+            (5, f"token={second}", "en", "two"), (6, f"(/{second}/)", "en", "two"), (7, "plain words", "en", "one")]
+    rows += [(10 + i, f"api_key={wide}", "en", f"s{i}") for i in range(secrets.WIDELY)] + [(20, f"use {wide}", "en", "x")]
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_secrets(session, make(rows), "").collect()}
+    assert got[2] == "seen [SECRET] here" and got[3] == "It is [SECRET]. End" and got[6] == "(/[SECRET]/)"
+    assert not any(KEY in t or second in t for t in got.values())
+    assert got[7] == "plain words" and got[20] == f"use {wide}"  # widely copied: an example
+
+
 def stripped(rows, size):
     """Words kept of each row, by the plain definition."""
     words = [WORDS.findall(t or "") for _, t, *_ in rows]
