@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import (
-    bpe, decontaminate, jaccard, langid, neighbours, phrases, quality, secrets, sharding, toxicity,
+    bpe, chat, decontaminate, hard_negatives, jaccard, langid, neighbours, phrases, prefix_trie, quality, secrets,
+    sharding, toxicity,
 )
 from pulsegrid.llm.sample import drawn
 
@@ -123,14 +124,39 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.items(_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    conv = F.col("conv")
+    taken = F.crc32(conv.cast("string").cast("binary")) % 9
+    return prefix_trie.nodes(prefix_trie.rebuilt(turns, conv - conv % 5, taken, 8))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding", "id % 100 = 0")
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    said = said.unionByName(spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], said.schema))
+    turns = said.withColumn("parts", chat.text_part(F.coalesce("text", F.lit(""))))
+    return chat.digests(chat.read_back(chat.formatted(turns, "conv_id", "turn", "role", "parts")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_bpe, op3_secrets, op4_sharding, op5_phrases, op6_quality, op7_jaccard, op8_neighbours,
-        op9_langid, op10_decontaminate,
+        op9_langid, op10_decontaminate, op11_prefix_trie, op12_hard_negatives, op13_chat_format,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    from pulsegrid.llm import sql
+    from pulsegrid.llm import conversation_sql, sql
 
-    return {"op3_secrets": sql.SECRETS, "op5_phrases": sql.PHRASES, "op7_jaccard": sql.JACCARD}
+    return {
+        "op3_secrets": sql.SECRETS, "op5_phrases": sql.PHRASES, "op7_jaccard": sql.JACCARD,
+        "op11_prefix_trie": conversation_sql.TRIE, "op12_hard_negatives": conversation_sql.HARD_NEGATIVES,
+        "op13_chat_format": conversation_sql.CHATS,
+    }
