@@ -376,6 +376,7 @@ _QUERIES = {
     "pop_agg": _POP_AGG,
     "full_refresh": _POP_AGG,
     "incremental_refresh": _POP_AGG,
+    "many_small_batches": _POP_AGG,
     "upload_stream_refresh": _POP_AGG,
     "refresh_restarted_checkpoint": _POP_AGG,
     "pop_agg_in_parts": _POP_AGG,
@@ -453,6 +454,7 @@ _QUERIES = {
     round(sum(CAL_DIFF), 2) AS CAL_DIFF, true AS KNOWN, true AS ACCURATE, true AS SAME
   FROM diet GROUP BY SUGAR > 50""",
     "stream_late_totals": _stream("day"),
+    "stream_restarted_totals": _stream("day"),
     "stream_daily_totals": _stream("day"),
     "stream_hourly_totals": _stream("hour"),
     "stream_dedupe": f"SELECT METRIC, count(*) AS KEPT, {n('sum(VALUE)', 'TOTAL')} FROM s GROUP BY METRIC",

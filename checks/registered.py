@@ -310,7 +310,7 @@ def _pop_agg_text(df: DataFrame) -> DataFrame:
         "HEART_RATE_ARR": heart, "SLEEP_ARR": night, "WEEK_CALS_ARR": week,
     }
     shown = df.select(
-        *[joined(c, arrays[c]) if c in arrays else F.col(c) for c in df.columns if c != "RUN_DATE"]
+        *[joined(c, arrays[c]) if c in arrays else F.col(c) for c in df.columns if c not in ("RUN_DATE", "MONTH")]
     )
     return _doubles(shown, "SLEEP")
 
@@ -360,10 +360,23 @@ def refresh_restarted_checkpoint(w):
     return _pop_agg_text(refresh.stored_pop_agg(w.spark, root, w.calendar))
 
 
+def many_small_batches(w):
+    """Uploads in eight batches, merged after every second one; levels of two, so older runs are merged again."""
+    root, parts = tables.new_path(w.spark, "small"), 8
+    for part in range(parts):
+        refresh.refresh_batch(
+            w.landing.filter(F.pmod(F.xxhash64(RECORD), F.lit(parts)) == part), None, root, w.calendar)
+        if part % 2:
+            refresh.compact(w.spark, root, fanout=2)
+    return _pop_agg_text(refresh.stored_pop_agg(w.spark, root, w.calendar))
+
+
 def _in_parts(w):
     """The wide table cut into parts of three samples."""
     run_date = F.lit(w.calendar.last).cast("timestamp_ntz")
-    return wide.pop_agg(w.samples, w.population, w.calendar, run_date, days=w.user_days, part_items=3)
+    exceptional = wide.exceptional_days(wide.samples_between(w.samples, w.calendar), 3)
+    return wide.pop_agg(w.samples, w.population, w.calendar, run_date, days=w.user_days, part_items=3,
+                        exceptional=exceptional)
 
 
 def pop_agg_in_parts(w):
@@ -545,15 +558,33 @@ def diet_grade_predict(w):
 ACCURACY = 0.8
 
 
+def _totals_in_two(w, name: str, parts, **options) -> str:
+    """Exact totals by two streams, each with a checkpoint of its own."""
+    root = tables.new_path(w.spark, name)
+    for part in parts:
+        inbox, progress = tables.new_path(w.spark, "part"), tables.new_path(w.spark, "progress")
+        part.write.parquet(inbox)
+        stream = w.spark.readStream.schema(part.schema).parquet(inbox)
+        stream_rollup.start_totals(stream, root, progress, **options).awaitTermination()
+    return root
+
+
 def stream_late_totals(w):
     """Exact totals when the later half of the days arrives first, by two streams that start afresh."""
-    root, middle = tables.new_path(w.spark, "late"), w.calendar.start + dt.timedelta(days=16)
-    for days in (F.col("DAY") > middle, F.col("DAY") <= middle):
-        part, progress = tables.new_path(w.spark, "part"), tables.new_path(w.spark, "progress")
-        w.samples.filter(days).write.parquet(part)
-        stream = w.spark.readStream.schema(w.samples.schema).parquet(part)
-        stream_rollup.start_totals(stream, root, progress).awaitTermination()
-    return stream_rollup.totals(w.spark, f"{root}/totals")
+    middle = w.calendar.start + dt.timedelta(days=16)
+    days = (F.col("DAY") > middle, F.col("DAY") <= middle)
+    root = _totals_in_two(w, "late", [w.samples.filter(d) for d in days])
+    return stream_rollup.totals(w.spark, root)
+
+
+def stream_restarted_totals(w):
+    """Two streams over mixed days, the second with repeats of the first and rows far behind; the side table is merged
+    and the batches are gathered before the totals are read."""
+    half = F.pmod(F.xxhash64("UUID", "STARTTIME"), F.lit(3))
+    root = _totals_in_two(w, "restart", [w.samples.filter(half < 2), w.samples.filter(half > 0)])
+    stream_rollup.merge_late(w.spark, root)
+    stream_rollup.compact_totals(w.spark, root)
+    return stream_rollup.totals(w.spark, root)
 
 
 def _sample_stream(w):
@@ -585,12 +616,12 @@ def _run(w, stream, name: str) -> str:
 
 def stream_daily_totals(w):
     root = _run(w, stream_rollup.windowed_totals(_sample_stream(w), "1 day"), "daily")
-    return stream_rollup.totals(w.spark, root)
+    return stream_rollup.windows(w.spark, root)
 
 
 def stream_hourly_totals(w):
     root = _run(w, stream_rollup.windowed_totals(_sample_stream(w), "1 hour"), "hourly")
-    return stream_rollup.totals(w.spark, root)
+    return stream_rollup.windows(w.spark, root)
 
 
 def stream_dedupe(w):
@@ -611,13 +642,14 @@ QUERIES = (
     raw_series_array, hr_hourly_distinct, sleep_nightly, sleep_segments, sleep_hour_normalised,
     sleep_hour_keep_tail, sleep_timeline, sleep_minute_strip, energy_daily, energy_history_10d,
     energy_history_legacy, energy_history_window,
-    pop_agg, full_refresh, incremental_refresh, upload_stream_refresh, refresh_restarted_checkpoint,
+    pop_agg, full_refresh, incremental_refresh, many_small_batches, upload_stream_refresh, refresh_restarted_checkpoint,
     pop_agg_in_parts, macro_calories_in_parts,
     trend_slice, trend_user, kpi_averages, kpi_nutrition, macro_calories, burned_calories, melt_macros,
     calories_long, chart_ceiling, weight_domain, calorie_balance, heart_kpis, heart_points,
     heart_domain, heart_domain_end_day, meal_calories, meal_calories_top, today_total, latest_sample, sql_query,
     published_versions, graded_csv, diet_grade_predict,
     stream_daily_totals, stream_hourly_totals, stream_dedupe, stream_late_totals,
+    stream_restarted_totals,
 )
 
 

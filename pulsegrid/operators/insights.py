@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import clock
 from pulsegrid.functions.numbers import floor_div, half_even, nearest_int, truncate
+from pulsegrid.sources.months import month_range
 
 # Calories per pound of body mass; column and calories per gram of each macro-nutrient.
 CALORIES_PER_POUND = 3500
@@ -21,8 +22,11 @@ MACROS = {"Protein": ("PROTEIN", 4), "Carbs": ("CARBS", 4), "Fat": ("FATTOTAL",
 
 
 def trend(pop_agg: DataFrame, start, end, id: str | None = None, series: bool = False) -> DataFrame:
-    """Wide-table rows of a date range (both ends included): of all users, or of one in order of date."""
-    rows = pop_agg.filter(F.col("DATE").between(F.lit(start), F.lit(end)))
+    """Wide-table rows of a date range (both ends included): of all users, or of one in order of date.
+
+    Of a table that is parted by MONTH, the months of the range are read and no others.
+    """
+    rows = month_range(pop_agg, start, end).drop("MONTH")
     if not series:
         rows = rows.filter(F.col("PART") == 0)
     return rows if id is None else rows.filter(F.col("ID") == id).orderBy("DATE", "PART")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.catalogue import DAILY_SUMS, HOURLY_SUMS
 from pulsegrid.functions import clock
 from pulsegrid.operators.extract import fact
-from pulsegrid.operators.sizing import join_counted
 
 KEYS = ["ID", "DATE"]
 _SUMMED_FACTS = [f for _, f in DAILY_SUMS]
@@ -156,29 +155,28 @@ def daily_wide_joins(samples_df: DataFrame, spine: DataFrame) -> DataFrame:
     return wide
 
 
-def split_units(days: DataFrame, samples_df: DataFrame) -> DataFrame:
+def split_units(days: DataFrame, samples_df: DataFrame, mixed: DataFrame) -> DataFrame:
     """``user_days`` with one row per combination of units where a metric has several on a day.
 
-    Only those days are summed again, unit by unit. VARIANT numbers the rows of a day from 0.
+    ``mixed`` names the user-days (ID, DATE) where that may be so. Only these are summed again, unit by unit.
+    VARIANT numbers the rows of a day from 0. A day with many units makes many rows; half of the
+    metrics are multiplied out first, then the rows are dealt anew, so that no task makes all of them.
     """
-    mixed = (
-        units_per_day(samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS)))
-        .groupBy(*KEYS, "METRIC").agg(F.sum("N").alias("N"), F.count("*").alias("UNITS"))
-        .groupBy(*KEYS).agg(F.sum("N").alias("N"), F.max("UNITS").alias("UNITS"))
-        .filter(F.col("UNITS") > 1).select(*KEYS, "N")
-    )
     dated = samples_df.filter(F.col("METRIC").isin(_SUMMED_FACTS)).withColumn("DATE", _date())
-    affected = join_counted(dated, mixed, KEYS)
-    per_unit = affected.groupBy(*KEYS, "METRIC", "UNIT").agg(F.sum("VALUE").alias("VALUE"))
+    per_unit = dated.join(mixed.select(*KEYS), KEYS, "left_semi").groupBy(*KEYS, "METRIC", "UNIT").agg(
+        F.sum("VALUE").alias("VALUE"))
     sums = [c for c, _ in DAILY_SUMS]
-    rows = per_unit.groupBy(*KEYS).agg(*[
-        F.collect_list(F.when(F.col("METRIC") == f, F.struct("VALUE"))).alias(c) for c, f in DAILY_SUMS
-    ])
-    for c in sums:  # a row per unit, one metric after the other; nothing is joined or read again
-        rows = rows.withColumn(c, F.explode_outer(c)).withColumn(c, F.col(f"{c}.VALUE"))
-    number = F.row_number().over(Window.partitionBy(*KEYS).orderBy(*sums)) - 1
-    by_unit = (
-        rows.distinct().withColumn("VARIANT", number).join(days.select(*KEYS, "HOURS"), KEYS)
-    )
-    single = days.join(mixed.select(*KEYS), KEYS, "left_anti").withColumn("VARIANT", F.lit(0))
+    listed = lambda f: F.collect_list(F.when(F.col("METRIC") == f, F.struct("VALUE")))
+    rows = per_unit.groupBy(*KEYS).agg(
+        *[F.sort_array(F.array_distinct(listed(f))).alias(c) for c, f in DAILY_SUMS]
+    ).withColumn("VARIANT", F.lit(0).cast("bigint"))
+    for i, c in enumerate(sums):  # a row per unit, one metric after the other; nothing is joined or read again
+        if i == len(sums) // 2:
+            rows = rows.hint("rebalance")
+        kept = [x for x in rows.columns if x not in (c, "VARIANT")]
+        number = F.col("VARIANT") * F.greatest(F.size(c), F.lit(1)) + F.coalesce("AT", F.lit(0))
+        rows = rows.select("*", F.posexplode_outer(c).alias("AT", "E")).select(
+            *kept, F.col("E.VALUE").alias(c), number.alias("VARIANT"))
+    by_unit = rows.join(days.select(*KEYS, "HOURS"), KEYS)
+    single = days.join(mixed.select(*KEYS), KEYS, "left_anti").withColumn("VARIANT", F.lit(0).cast("bigint"))
     return single.unionByName(by_unit)

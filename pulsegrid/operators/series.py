@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pulsegrid.catalogue import RAW_SERIES
 from pulsegrid.functions import clock
 from pulsegrid.functions.numbers import text_or_empty
-from pulsegrid.operators.sizing import BROADCAST_ROWS, join_counted, without_counted
 
 DAY_SERIES = ["ID", "DATE", "SERIES"]
 HEART_RATE_SERIES = "HEART_RATE_ARR"
@@ -54,47 +53,35 @@ def empty_hours(points: DataFrame) -> DataFrame:
     )
 
 
-def has_long_day(samples_df: DataFrame, facts, part_items: int = PART_ITEMS) -> bool:
-    """Whether a user-day has more than ``part_items`` samples of one of the facts."""
-    sizes = (
-        samples_df.filter(F.col("METRIC").isin(list(facts)))
-        .groupBy("ID", clock.day(F.col("STARTTIME")), "METRIC").agg(F.count("*").alias("N"))
-    )
-    return not sizes.filter(F.col("N") > part_items).isEmpty()
+def long_days(points: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
+    """User-days (ID, DATE) with more than ``part_items`` points of one series."""
+    sizes = points.groupBy(*DAY_SERIES).agg(F.count("*").alias("N"))
+    return sizes.filter(F.col("N") > part_items).select("ID", "DATE").distinct()
 
 
-def number_parts(points: DataFrame, part_items: int = PART_ITEMS,
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def number_parts(points: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
     """Add PART, so that no (ID, DATE, SERIES, PART) holds many more than ``part_items`` points.
 
-    Days within the limit are PART 0. A longer day is cut in time order: points are counted per
-    second (at most 86,400 counts per day), the running count gives the part, and a second that
-    spans parts is spread by TIE. Reading the parts in order gives the whole series.
+    A day is cut in time order: points are counted per second (at most 86,400 counts per day), the running
+    count gives the part, and a second that spans parts is spread by TIE. Reading the parts in order
+    gives the whole series.
     """
-    sizes = points.groupBy(*DAY_SERIES).agg(F.count("*").alias("N"))
-    long_days = sizes.filter(F.col("N") > part_items)
     points = points.withColumn("SECOND", clock.second_start(F.col("T")))
-    short = without_counted(points, long_days, DAY_SERIES, broadcast_rows)
-    long = join_counted(points, long_days, DAY_SERIES, broadcast_rows).drop("N")
-
     so_far = Window.partitionBy(*DAY_SERIES).orderBy("SECOND").rowsBetween(
         Window.unboundedPreceding, -1
     )
     part_of = lambda n: F.floor(n / part_items).cast("int")
     before = F.coalesce(F.sum("N").over(so_far), F.lit(0))
     seconds = (
-        long.groupBy(*DAY_SERIES, "SECOND").agg(F.count("*").alias("N"))
+        points.groupBy(*DAY_SERIES, "SECOND").agg(F.count("*").alias("N"))
         .withColumn("BEFORE", before)
-        .select(*DAY_SERIES, "SECOND", "N", part_of(F.col("BEFORE")).alias("FIRST"),
+        .select(*DAY_SERIES, "SECOND", part_of(F.col("BEFORE")).alias("FIRST"),
                 part_of(F.col("BEFORE") + F.col("N") - 1).alias("LAST"))
     )
     spread = F.pmod("TIE", (F.col("LAST") - F.col("FIRST") + 1).cast("bigint"))
-    numbered = join_counted(long, seconds, [*DAY_SERIES, "SECOND"], broadcast_rows).withColumn(
-        "PART", (F.col("FIRST") + spread).cast("int")
+    return points.join(seconds, [*DAY_SERIES, "SECOND"]).select(
+        *DAY_SERIES, "T", "V", (F.col("FIRST") + spread).cast("int").alias("PART")
     )
-    columns = [*DAY_SERIES, "T", "V", "PART"]
-    short = short.withColumn("PART", F.lit(0))
-    return short.select(*columns).unionByName(numbered.select(*columns))
 
 
 def _collected(condition: Column) -> Column:
@@ -130,19 +117,28 @@ def _part_arrays(points: DataFrame, columns: list[str], part_items: int) -> Data
     )
 
 
-def day_series(samples_df: DataFrame, part_items: int | None = PART_ITEMS) -> DataFrame:
-    """All six series of a user-day in one row per part; one row per day without a limit."""
+def _arrays(points: DataFrame, columns: list[str], part_items: int, long: DataFrame | None) -> DataFrame:
+    """One row per user-day, and one per part of the days named in ``long``.
+
+    Both kinds are in every plan. Long days are few or none: the table of them is broadcast, and where it is
+    empty their branch is gone before it starts.
+    """
+    long = (long_days(points, part_items) if long is None else long).select("ID", "DATE")
+    hearted = HEART_RATE_SERIES in columns
+    whole = _day_arrays(points.join(long, ["ID", "DATE"], "left_anti"), columns)
+    cut = points.join(long, ["ID", "DATE"], "left_semi")
+    if hearted:
+        heart = F.col(HEART_RATE_SERIES)
+        whole = whole.withColumn(HEART_RATE_SERIES, _with_empty_hours(heart))
+        cut = cut.unionByName(empty_hours(cut.filter(F.col("SERIES") == HEART_RATE_SERIES)))
+    return whole.unionByName(_part_arrays(cut, columns, part_items))
+
+
+def day_series(samples_df: DataFrame, part_items: int = PART_ITEMS, long: DataFrame | None = None) -> DataFrame:
+    """All six series of a user-day in one row per part. ``long`` may name the days with more than a part."""
     raw = [c for c, _ in RAW_SERIES]
-    columns = [HEART_RATE_SERIES, *raw]
-    heart = heart_rate_points(samples_df)
-    if part_items is None:
-        rows = _day_arrays(raw_points(samples_df).unionByName(heart), columns).withColumn(
-            HEART_RATE_SERIES, _with_empty_hours(F.col(HEART_RATE_SERIES))
-        )
-    else:
-        points = raw_points(samples_df).unionByName(heart).unionByName(empty_hours(heart))
-        rows = _part_arrays(points, columns, part_items)
-    return rows.select(
+    points = raw_points(samples_df).unionByName(heart_rate_points(samples_df))
+    return _arrays(points, [HEART_RATE_SERIES, *raw], part_items, long).select(
         "ID", "DATE", "PART", _shown(F.col(HEART_RATE_SERIES), text_or_empty).alias(HEART_RATE_SERIES),
         *[_shown(F.col(c)).alias(c) for c in raw],
     )
@@ -150,11 +146,7 @@ def day_series(samples_df: DataFrame, part_items: int | None = PART_ITEMS) -> Da
 
 def raw_series(samples_df: DataFrame, fact_name: str, part_items: int = PART_ITEMS) -> DataFrame:
     """ID, DATE, PART, DATA: the samples of one metric in time order."""
-    points = raw_points(samples_df, (("DATA", fact_name),))
-    if has_long_day(samples_df, [fact_name], part_items):
-        rows = _part_arrays(points, ["DATA"], part_items)
-    else:
-        rows = _day_arrays(points, ["DATA"])
+    rows = _arrays(raw_points(samples_df, (("DATA", fact_name),)), ["DATA"], part_items, None)
     return rows.select("ID", "DATE", "PART", _shown(F.col("DATA")).alias("DATA"))
 
 
@@ -168,10 +160,7 @@ def hourly_distinct(samples_df: DataFrame, spine: DataFrame,
                     part_items: int = PART_ITEMS) -> DataFrame:
     """Distinct heart rates per hour for every user-day of the spine, '' for empty hours."""
     name, points = HEART_RATE_SERIES, heart_rate_points(samples_df)
-    if has_long_day(samples_df, ["HEARTRATE"], part_items):
-        rows = _part_arrays(points.unionByName(empty_hours(points)), [name], part_items)
-    else:
-        rows = _day_arrays(points, [name]).withColumn(name, _with_empty_hours(F.col(name)))
+    rows = _arrays(points, [name], part_items, None)
     series = rows.select("ID", "DATE", "PART", _shown(F.col(name), text_or_empty).alias("DATA"))
     return spine.join(series, ["ID", "DATE"], "left").select(
         "ID", "DATE", F.coalesce("PART", F.lit(0)).alias("PART"),

@@ -21,39 +21,6 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
-# A key met by more rows than this is kept out of shuffles. A trillion rows hold at most 200,000 such.
-HOT_ROWS = 5_000_000
-
-
-def _hot_and_rest(keyed: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    hot = broadcast_if_small(keyed.filter(F.col("N") > HOT_ROWS), limit)
-    return hot, keyed.filter(F.col("N") <= HOT_ROWS)
-
-
-def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str],
-                 limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Inner join with a table of distinct keys and N, the rows that meet each.
-
-    A small table is broadcast. Of a large one only the hot keys are, and their rows stay where
-    they are; the others meet their keys by a shuffle that has no hot key left.
-    """
-    if is_small(keyed, limit):
-        return rows.join(F.broadcast(keyed), on)
-    hot, rest = _hot_and_rest(keyed, limit)
-    cool_rows = rows.join(hot.select(*on), on, "left_anti")
-    return rows.join(hot, on).unionByName(cool_rows.join(rest, on))
-
-
-def without_counted(rows: DataFrame, keyed: DataFrame, on: list[str],
-                    limit: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows ``join_counted`` leaves out."""
-    if is_small(keyed, limit):
-        return rows.join(F.broadcast(keyed.select(*on)), on, "left_anti")
-    hot, rest = _hot_and_rest(keyed, limit)
-    cool_rows = rows.join(hot.select(*on), on, "left_anti")
-    return cool_rows.join(rest.select(*on), on, "left_anti")
-
-
 # Rows a task should make when a small table is multiplied, and rows of the wide table per file.
 ROWS_PER_TASK = 2_000_000
 WIDE_ROWS_PER_FILE = 500_000

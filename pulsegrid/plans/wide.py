@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from typing import NamedTuple
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pulsegrid.catalogue import DAILY_SUMS, HOURLY_SUMS, POP_AGG_COLUMNS, RAW_SERIES
 from pulsegrid.operators import history, population, rollup, series, sleep
 from pulsegrid.operators.extract import sleep_fact
-from pulsegrid.operators.sizing import WIDE_ROWS_PER_FILE, tasks_for
-from pulsegrid.sources import tables
-from pulsegrid.sources.dimensions import DEFAULT_CALENDAR, Calendar
+from pulsegrid.operators.sizing import WIDE_ROWS_PER_FILE
+from pulsegrid.sources.dimensions import Calendar
+from pulsegrid.sources.months import month_range, with_month
 
 KEYS = ["ID", "DATE"]
 _SUMS = [c for c, _ in DAILY_SUMS]
@@ -34,55 +34,48 @@ def samples_between(samples_df: DataFrame, calendar: Calendar,
     )
 
 
-class Exceptions(NamedTuple):
-    """What the usual plan does not cover, found out before planning."""
-
-    mixed_units: bool
-    long_days: bool
-
-
-def exceptions(samples_df: DataFrame, part_items: int) -> Exceptions:
-    """One grouping over the sample keys; a single row comes to the driver."""
+def exceptional_days(samples_df: DataFrame, part_items: int = series.PART_ITEMS) -> DataFrame:
+    """User-days that the usual plan does not cover: MIXED (a summed metric has several units) or LONG (a series
+    has more samples than a part). Few or none; stored beside the samples, they are read again at no cost."""
     per_metric = rollup.units_per_day(samples_df).groupBy(*KEYS, "METRIC").agg(
         F.sum("N").alias("N"), F.count("*").alias("UNITS")
     )
     summed = F.col("METRIC").isin([f for _, f in DAILY_SUMS])
     listed = F.col("METRIC").isin("HEARTRATE", *[f for _, f in RAW_SERIES])
-    units, samples = per_metric.agg(
-        F.max(F.when(summed, F.col("UNITS"))), F.max(F.when(listed, F.col("N")))
-    ).first()
-    return Exceptions((units or 0) > 1, (samples or 0) > part_items)
+    return per_metric.groupBy(*KEYS).agg(
+        F.bool_or(summed & (F.col("UNITS") > 1)).alias("MIXED"),
+        F.bool_or(listed & (F.col("N") > part_items)).alias("LONG"),
+    ).filter(F.col("MIXED") | F.col("LONG"))
 
 
 def wide_days(samples_df: DataFrame, keys: DataFrame, calendar: Calendar,
               days: DataFrame | None = None, part_items: int = series.PART_ITEMS,
-              history_days: int = history.HISTORY_DAYS, legacy_labels: bool = False) -> DataFrame:
+              history_days: int = history.HISTORY_DAYS, legacy_labels: bool = False,
+              exceptional: DataFrame | None = None) -> DataFrame:
     """All user-day columns for the given keys (ID, DATE and whatever else they carry).
 
     Every input is aggregated to user-days before it is joined, by keys no busier than an hour, a
     minute or a part, so the joins meet one row per user-day. A day whose series is longer than a
     part has further rows, PART 1 and up, that carry only the rest of the series.
 
-    A metric with several units on a day gives the day one row per unit. Both exceptions are looked
-    for first, in one pass over the sample keys, and cost nothing more where there are none.
+    A metric with several units on a day gives the day one row per unit. Both exceptions are part of the
+    one plan; nothing is counted while it is made.
 
-    ``days`` may hold ``rollup.user_days`` as a stored table; the history is then taken from it.
+    ``days`` may hold ``rollup.user_days`` and ``exceptional`` the ``exceptional_days`` as stored tables.
     """
     rows = samples_between(samples_df, calendar, history_days)
     energy = history.daily_energy(rows) if days is None else history.energy_of_days(days)
     days = rollup.user_days(rows) if days is None else days
     week = history.energy_history(energy, calendar, history_days, legacy_labels)
-    found = exceptions(rows, part_items)
-    if found.mixed_units:
-        days = rollup.split_units(days, rows)
-    else:
-        days = days.withColumn("VARIANT", F.lit(0))
+    found = exceptional_days(rows, part_items) if exceptional is None else exceptional
+    days = rollup.split_units(days, rows, found.filter("MIXED"))
+    listed = series.day_series(rows, part_items, found.filter("LONG"))
     first_part = F.col("PART") == 0
     wide = (
         keys.join(days, KEYS, "left")
         .join(sleep.sleep_days(sleep_fact(rows)), KEYS, "left")
         .join(week.withColumnRenamed("DATA", "WEEK_CALS_ARR"), KEYS, "left")
-        .join(series.day_series(rows, part_items if found.long_days else None), KEYS, "left")
+        .join(listed, KEYS, "left")
         .withColumn("PART", F.coalesce("PART", F.lit(0)))
         .filter((F.col("PART") == 0) | (F.coalesce("VARIANT", F.lit(0)) == 0))
     )
@@ -106,29 +99,47 @@ def fill_days(days: DataFrame, run_date: Column) -> DataFrame:
     return filled.select(*POP_AGG_COLUMNS, "PART")
 
 
-def pop_agg(samples_df: DataFrame, population_df: DataFrame,
-            calendar: Calendar = DEFAULT_CALENDAR, run_date: Column | None = None,
-            clustered: bool = False, **options) -> DataFrame:
+def pop_agg(samples_df: DataFrame, population_df: DataFrame, calendar: Calendar,
+            run_date: Column | None = None, by_month: bool = False, **options) -> DataFrame:
     """One row per user and calendar day, 40 columns and PART.
 
     Sums, nights and arrays are NULL on days without samples, hourly arrays always have 24 entries.
-    PART is 0 except on the continuation rows of very long days. ``clustered`` arranges the rows by
-    date and user for writing, before the empty hours make them large; the number of files follows
-    from the number of rows, as the size before says little. ``options`` go to ``wide_days``.
+    PART is 0 except on the continuation rows of very long days. ``by_month`` arranges the rows for
+    ``store_pop_agg``, before the empty hours make them large, and adds MONTH: each task gets a slice of the users
+    in one month, in order of user and date. ``options`` go to ``wide_days``.
     """
     spine = population.profiled_spine(population_df, calendar)
     days = wide_days(samples_df, spine, calendar, **options)
-    if clustered:
-        rows = population_df.count() * calendar.days
-        files = tasks_for(days.sparkSession, rows, WIDE_ROWS_PER_FILE)
-        days = tables.clustered(days, "DATE", "ID", parts=files)
-    return fill_days(days, F.current_timestamp() if run_date is None else run_date)
-
-
-def pop_agg_view(stored_days: DataFrame, population_df: DataFrame,
-                 calendar: Calendar = DEFAULT_CALENDAR, run_date: Column | None = None) -> DataFrame:
+    run_date = F.current_timestamp() if run_date is None else run_date
+    if not by_month:
+        return fill_days(days, run_date)
+    first = calendar.start.replace(day=1)
+    months = (calendar.last.year - first.year) * 12 + calendar.last.month - first.month + 1
+    slices = max(1, math.ceil(population_df.count() * calendar.days / months / WIDE_ROWS_PER_FILE))
+    month = (F.year("DATE") - first.year) * 12 + F.month("DATE") - first.month
+    task = month * slices + F.pmod(F.xxhash64("ID"), F.lit(slices)).cast("int")
+    arranged = days.repartitionById(months * slices, task).sortWithinPartitions("ID", "DATE", "PART")
+    return with_month(fill_days(arranged, run_date))
+
+
+# Row groups small enough for one user's rows to be found, and a Bloom filter of users in each.
+_LOOKUP = {
+    "parquet.block.size": str(16 << 20), "parquet.bloom.filter.enabled#ID": "true",
+    "parquet.bloom.filter.expected.ndv#ID": "20000",
+}
+
+
+def store_pop_agg(rows: DataFrame, path: str) -> DataFrame:
+    """Store the wide table by month. Within a month a user is in one file (``by_month``), sorted: a range of one
+    user opens a file a month, and in it the row groups whose statistics and Bloom filter have the user."""
+    rows.write.mode("overwrite").options(**_LOOKUP).partitionBy("MONTH").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def pop_agg_view(stored_days: DataFrame, population_df: DataFrame, calendar: Calendar,
+                 run_date: Column | None = None) -> DataFrame:
     """The wide table over user-days kept by the incremental refresh."""
     spine = population.profiled_spine(population_df, calendar)
-    days = stored_days.filter(calendar.contains(F.col("DATE"))).select(*DAY_COLUMNS)
+    days = month_range(stored_days, calendar.start, calendar.last).select(*DAY_COLUMNS)
     joined = spine.join(days, KEYS, "left").withColumn("PART", F.coalesce("PART", F.lit(0)))
     return fill_days(joined, F.current_timestamp() if run_date is None else run_date)

@@ -58,14 +58,20 @@ class Workspace:
         rows = wide.samples_between(self.samples, self.calendar)
         return tables.store(rollup.user_days(rows), f"{self.root}/user_days")
 
+    @cached_property
+    def exceptional(self) -> DataFrame:
+        rows = wide.samples_between(self.samples, self.calendar)
+        return tables.store(wide.exceptional_days(rows), f"{self.root}/exceptional_days")
+
     @cached_property
     def pop_agg(self) -> DataFrame:
+        """The wide table, parted by MONTH."""
         run_date = F.lit(self.calendar.last).cast("timestamp_ntz")
         df = wide.pop_agg(
-            self.samples, self.population, self.calendar, run_date, clustered=True,
-            days=self.user_days,
+            self.samples, self.population, self.calendar, run_date, by_month=True,
+            days=self.user_days, exceptional=self.exceptional,
         )
-        return tables.store(df, f"{self.root}/pop_agg")
+        return wide.store_pop_agg(df, f"{self.root}/pop_agg")
 
     def fact(self, name: str) -> DataFrame:
         return extract.fact(self.samples, name)

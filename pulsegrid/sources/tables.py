@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsegrid.schema import GRADED_DIET
 
@@ -50,6 +51,15 @@ def clustered(rows: DataFrame, *columns: str, parts: int | None = None) -> DataF
     return rows.repartitionByRange(*ranges).sortWithinPartitions(*columns)
 
 
+def gathered(rows: DataFrame, partition: str, *columns: str) -> DataFrame:
+    """Rows of one partition value together, in order of the columns, in files of about the advised size.
+
+    Unlike ``clustered`` this reads its input once: the exchange decides by the sizes it finds where to cut a large
+    value and which small ones to put together.
+    """
+    return rows.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *columns)
+
+
 def store_samples(samples_df: DataFrame, path: str) -> DataFrame:
     return store(clustered(samples_df, *SAMPLE_ORDER), path, "DAY")
 
@@ -58,24 +68,24 @@ def append_row(spark: SparkSession, path: str, **values: Column) -> None:
     spark.range(1).select(*[v.alias(k) for k, v in values.items()]).write.mode("append").parquet(path)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, found = _file_system(spark, path)
+    fs, found = file_system(spark, path)
     return fs.exists(found)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    fs, found = _file_system(spark, path)
+    fs, found = file_system(spark, path)
     fs.delete(found, True)
 
 
 def _complete_versions(spark: SparkSession, root: str) -> list[str]:
     """Folder names of finished versions, oldest first."""
-    fs, pattern = _file_system(spark, f"{root}/version=*/_SUCCESS")
+    fs, pattern = file_system(spark, f"{root}/version=*/_SUCCESS")
     names = [x.getPath().getParent().getName() for x in fs.globStatus(pattern) or []]
     return sorted(names, key=lambda n: (int(re.match(r"version=(\d+)", n)[1]), n))
 
@@ -89,7 +99,7 @@ def new_version(spark: SparkSession, root: str) -> str:
 
 def complete(spark: SparkSession, version: str) -> None:
     """Readers move over to the version from here on."""
-    fs, marker = _file_system(spark, f"{version}/_SUCCESS")
+    fs, marker = file_system(spark, f"{version}/_SUCCESS")
     fs.create(marker).close()
 
 

@@ -33,10 +33,15 @@ def expected(samples, metric):
     return {k: sorted(v) for k, v in out.items()}
 
 
-@pytest.mark.parametrize("broadcast_rows", [200_000, 0])
-def test_long_day_is_cut_into_ordered_parts_that_hold_everything(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast", [10 << 20, -1])
+def test_long_day_is_cut_into_ordered_parts_that_hold_everything(spark, broadcast):
     s = busy_day(spark)
-    points = series.number_parts(series.raw_points(s), 40, broadcast_rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        points = series.number_parts(series.raw_points(s), 40).persist()
+        points.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     sizes = points.groupBy("ID", "DATE", "SERIES", "PART").count().collect()
     assert max(r["count"] for r in sizes) <= 80
     assert {r.PART for r in sizes if r.ID == "CALM"} == {0}

@@ -78,19 +78,6 @@ def test_current_needs_a_published_version(spark, tmp_path):
         tables.current(spark, str(tmp_path / "none"))
 
 
-@pytest.mark.parametrize("limit", [100, 2, 0])
-def test_counted_joins_keep_every_row_whatever_the_plan(spark, monkeypatch, limit):
-    monkeypatch.setattr(sizing, "HOT_ROWS", 20)
-    rows = spark.range(200).select((F.col("id") % 10 * (F.col("id") % 2)).alias("K"), "id")
-    keyed = rows.groupBy("K").agg(F.count("*").alias("N")).filter("K in (0, 1, 3)")
-    assert sorted(r.N for r in keyed.collect()) == [20, 20, 100]
-    met = sizing.join_counted(rows, keyed, ["K"], limit)
-    left = sizing.without_counted(rows, keyed, ["K"], limit)
-    ids = lambda df: sorted(r.id for r in df.collect())
-    assert ids(met) == ids(rows.filter("K in (0, 1, 3)"))
-    assert ids(left) == ids(rows.filter("K not in (0, 1, 3)"))
-
-
 def test_broadcast_only_when_counted_small(spark):
     df = spark.range(11)
     assert sizing.is_small(df, 11) and not sizing.is_small(df, 10)
