@@ -273,6 +273,27 @@ _GRADES = """
   FROM (SELECT *, CASE WHEN CAL_DIFF < -40 THEN 1 WHEN CAL_DIFF < -10 THEN 2 WHEN CAL_DIFF < 10 THEN 3
     WHEN CAL_DIFF < 40 THEN 4 ELSE 5 END AS GRADE FROM diet) GROUP BY GRADE"""
 
+def _mixed_units() -> str:
+    """One join a metric, as the wide table is defined: units multiply the rows of a day."""
+    columns = (("STEPS", "STEPCOUNT"), ("ACTIVE_ENERGY_BURNED", "ACTIVE_ENERGY_BURNED"), ("CARBS", "CARBS"),
+               ("PROTEIN", "PROTEIN"), ("BODYMASS", "BODYMASS"))
+    joins = "\n".join(
+        f"""LEFT JOIN (SELECT DISTINCT ID, DATE, v AS {c} FROM (SELECT ID, DATE, UNIT, sum(VALUE) AS v FROM m
+          WHERE METRIC = '{f}' GROUP BY ALL)) USING (ID, DATE)""" for c, f in columns)
+    return f""", m AS (
+      SELECT CAST(user_id % 5 AS VARCHAR) AS ID, METRIC, value AS VALUE,
+        CAST(CASE WHEN METRIC = 'BASALENERGYBURNED' THEN st ELSE {_NY.format('st')} END AS DATE) AS DATE,
+        METRIC IN ('STEPCOUNT', 'ACTIVE_ENERGY_BURNED', 'CARBS') AND k % 2 = 1 AS UNIT
+      FROM ev WHERE METRIC <> 'BODYMASS'
+      UNION ALL
+      SELECT ID, 'BODYMASS', VALUE, DATE, false
+      FROM (SELECT DISTINCT CAST(CAST(ID AS BIGINT) % 5 AS VARCHAR) AS ID, STARTTIME, ENDTIME, VALUE, DEVICE, DATE
+        FROM sd WHERE METRIC = 'BODYMASS'))
+      SELECT ID, {d('DATE')}, {', '.join(n(c) for c, _ in columns)}
+      FROM (SELECT * FROM (SELECT DISTINCT CAST(user_id % 5 AS VARCHAR) AS ID FROM ev), days)
+      {joins}"""
+
+
 _QUERIES = {
     "steps_daily": f"""SELECT p.ID, {d('p.DATE', 'DATE')}, {n('STEPS')}
       FROM spine p LEFT JOIN sums u ON u.ID = p.ID AND u.DATE = p.DATE""",
@@ -332,8 +353,23 @@ _QUERIES = {
       FROM (SELECT ID, user_id, CAST(st AS DATE) AS DATE, event_id // 4096 AS block,
         unnest(CASE WHEN user_id % 3 = 0 THEN [4, 5] ELSE [4] END) AS h FROM sent)
       GROUP BY ID, user_id, DATE, h""",
-    "device_side_split": f"""SELECT event_id, {n('value', 'VALUE')}, 'count/s' AS UNIT, ID,
-      '10001' AS ZIP FROM sent""",
+    "upload_backlog": f"""SELECT ID, CAST(20 + user_id % 50 +
+        CASE WHEN DATE > DATE '2024-01-15' THEN 1 ELSE 0 END AS BIGINT) AS AGE,
+      {t('DATE + INTERVAL 1 DAY + to_hours(CAST(h AS INTEGER))', 'LOADTIME')},
+      CAST(2 * count(DISTINCT block) AS BIGINT) AS DOCUMENTS
+      FROM (SELECT ID, user_id, CAST(st AS DATE) AS DATE, event_id // 4096 AS block,
+        unnest(CASE WHEN user_id % 3 = 0 THEN [4, 5] ELSE [4] END) AS h FROM sent)
+      GROUP BY ID, user_id, DATE, h""",
+    "rejected_uploads": """, fate AS (
+      SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'malformed' WHEN user_id % 11 = 0 THEN 'no identifier'
+        WHEN user_id % 13 = 0 THEN 'empty' ELSE 'accepted' END AS REASON
+      FROM (SELECT DISTINCT user_id FROM ev))
+      SELECT REASON, CAST(sum(CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS N
+      FROM (SELECT DISTINCT user_id, CAST(st AS DATE) AS DATE, event_id // 4096 AS block FROM sent) JOIN fate USING (user_id)
+      GROUP BY REASON
+      UNION ALL SELECT 'samples', count(*) FROM s JOIN fate ON CAST(user_id AS VARCHAR) = ID WHERE REASON = 'accepted'""",
+    "device_side_split": f"""SELECT e.event_type || ' ' || s.k AS PLAIN, {t('s.st', 'SENT')}, s.event_id,
+      {n('s.value', 'VALUE')}, 'count/s' AS UNIT, ID, '10001' AS ZIP FROM sent s JOIN events e USING (event_id)""",
     "calendar_age": """SELECT o_orderkey, CAST(date_diff('year', CAST(o_orderdate AS DATE), DATE '2024-02-28')
       - CASE WHEN month(o_orderdate) * 100 + day(o_orderdate) > 228 THEN 1 ELSE 0 END AS BIGINT) AS AGE
       FROM orders""",
@@ -374,6 +410,10 @@ _QUERIES = {
     "energy_history_legacy": _history("CONSUMED", "ACTIVE_ENERGY", "BASAL_ENERGY"),
     "energy_history_window": _history("ACTIVE_ENERGY", "BASAL_ENERGY", "CONSUMED"),
     "pop_agg": _POP_AGG,
+    "pop_agg_run_date": f"""SELECT ID, {t('CAST(z AS TIMESTAMP)', 'RUN_DATE')},
+      CAST(z - a + 1 AS BIGINT) AS N, (SELECT count(DISTINCT date_trunc('month', DATE)) FROM days) AS MONTHS
+      FROM (SELECT DISTINCT ID FROM pop), cal""",
+    "pop_agg_mixed_units": _mixed_units(),
     "full_refresh": _POP_AGG,
     "incremental_refresh": _POP_AGG,
     "many_small_batches": _POP_AGG,
@@ -453,6 +493,12 @@ _QUERIES = {
       WHEN CAL_DIFF < 40 THEN 4 ELSE 5 END) AS GRADES,
     round(sum(CAL_DIFF), 2) AS CAL_DIFF, true AS KNOWN, true AS ACCURATE, true AS SAME
   FROM diet GROUP BY SUGAR > 50""",
+    "diet_grade_held_out": _GRADES[: _GRADES.index("  SELECT CAST(GRADE")] + """
+  SELECT 'ALL' AS MODEL_NAME, count(*) AS N, true AS DEALT, true AS ACCURATE FROM diet""",
+    "landing_change_stream": f"""SELECT x.*, UPLOADS FROM ({_stream("day")}) x JOIN (
+      SELECT ID, CAST(sum(CASE WHEN user_id % 3 = 0 THEN 4 ELSE 2 END) AS BIGINT) AS UPLOADS
+      FROM (SELECT DISTINCT ID, user_id, CAST(st AS DATE) AS DATE, event_id // 4096 AS block FROM sent) GROUP BY ID) u
+      USING (ID)""",
     "stream_late_totals": _stream("day"),
     "stream_restarted_totals": _stream("day"),
     "stream_daily_totals": _stream("day"),

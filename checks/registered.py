@@ -184,10 +184,37 @@ def framed_documents(w):
     )
 
 
+def upload_backlog(w):
+    """A backlog of upload files, taken into the landing table two files a batch."""
+    uploads, landing, progress = (tables.new_path(w.spark, n) for n in ("backlog", "landing", "progress"))
+    events.framed_uploads(w.landing).repartition(6).write.option("lineSep", "\n").text(uploads)
+    ingest.start_landing(w.spark, uploads, landing, progress, once=True, files_per_batch=2).awaitTermination()
+    docs = documents.parse_documents(w.spark.read.parquet(landing))
+    return docs.groupBy("ID", "AGE", "LOADTIME").agg(F.count("*").alias("DOCUMENTS"))
+
+
+def rejected_uploads(w):
+    """Documents by what became of them, and the samples of those taken in."""
+    known = documents.judged(events.broken_uploads(w.landing))
+    taken = documents.accepted(known)
+    path = tables.new_path(w.spark, "quarantine")
+    quarantine = tables.store(documents.rejected(known), path)
+    samples = extract.samples(documents.parse_documents(taken))
+    reason = F.lit("accepted").alias("REASON")
+    return quarantine.groupBy("REASON").agg(F.count("*").alias("N")).unionByName(
+        taken.agg(F.count("*").alias("N")).select(reason, "N")).unionByName(
+        samples.agg(F.count("*").alias("N")).select(F.lit("samples").alias("REASON"), "N"))
+
+
 def device_side_split(w):
     described = F.concat_ws(" ", F.col("value").cast("string"), F.lit("count/s"))
     identity = F.concat_ws("|", F.col("user_id").cast("string"), F.lit("10001"))
-    return w.events.select(
+    quoted = F.concat(F.lit("\"'"), F.col("event_type"), F.lit("' \""), F.col("k").cast("string"))
+    sent = F.concat(F.date_format(clock.second_start(F.col("ts")), "yyyy-MM-dd HH:mm:ss"), F.lit(" +0000"))
+    return w.spark.read.parquet(f"{w.sf_dir}/events.parquet").select(
+        "event_id", "user_id", "value", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.get_json_object("props", "$.k").cast("int").alias("k")).select(
+        text.drop_quotes(quoted).alias("PLAIN"), text.drop_utc_offset(sent).alias("SENT"),
         "event_id", text.quantity_value(described).alias("VALUE"),
         text.quantity_unit(described).alias("UNIT"),
         text.identity_id(identity).alias("ID"), text.identity_zip(identity).alias("ZIP"),
@@ -319,6 +346,22 @@ def pop_agg(w):
     return _pop_agg_text(w.pop_agg)
 
 
+def pop_agg_run_date(w):
+    return w.pop_agg.groupBy("ID", "RUN_DATE").agg(F.count("*").alias("N"), F.countDistinct("MONTH").alias("MONTHS"))
+
+
+SECOND_UNITS = {"StepCount": "steps", "ActiveEnergyBurned": "kJ", "DietaryCarbohydrates": "oz"}
+
+
+def pop_agg_mixed_units(w):
+    """Few, busy users whose phones change units: days with several units have a row for each combination."""
+    busy = w.events.withColumn("user_id", F.col("user_id") % 5)
+    docs = documents.parse_documents(events.event_documents(busy, second_units=SECOND_UNITS))
+    samples = tables.store_samples(extract.samples(docs), tables.new_path(w.spark, "mixed"))
+    df = wide.pop_agg(samples, population.population(docs), w.calendar, F.lit(w.calendar.last).cast("timestamp_ntz"))
+    return df.select("ID", "DATE", "STEPS", "ACTIVE_ENERGY_BURNED", "CARBS", "PROTEIN", "BODYMASS")
+
+
 def full_refresh(w):
     root = tables.new_path(w.spark, "refresh")
     refresh.full_refresh(w.landing, root, w.calendar, F.lit(w.calendar.last).cast("timestamp_ntz"))
@@ -361,8 +404,8 @@ def refresh_restarted_checkpoint(w):
 
 
 def many_small_batches(w):
-    """Uploads in eight batches, merged after every second one; levels of two, so older runs are merged again."""
-    root, parts = tables.new_path(w.spark, "small"), 8
+    """Uploads in four batches, merged after every second one; levels of two, so older runs are merged again."""
+    root, parts = tables.new_path(w.spark, "small"), 4
     for part in range(parts):
         refresh.refresh_batch(
             w.landing.filter(F.pmod(F.xxhash64(RECORD), F.lit(parts)) == part), None, root, w.calendar)
@@ -554,6 +597,26 @@ def diet_grade_predict(w):
     return reduce(DataFrame.unionByName, found).join(listed, "DIET_NAME")
 
 
+def diet_grade_held_out(w):
+    """From the CSV to held-out grades: every row is graded once, by a model that has not seen it or its like."""
+    path = tables.new_path(w.spark, "graded")
+    whole = lambda c: F.round(c).cast("int").alias(c)
+    events.graded_diets(w.user_days).select(
+        *[whole(c) for c in ("CAL_DIFF", "CARBS", "FAT", "PROTEIN")], "CHOL", "SALT", "SUGAR", "GRADE",
+    ).write.option("header", True).option("lineSep", "\n").csv(path)
+    graded, root = tables.read_graded_csv(w.spark, path), tables.new_path(w.spark, "models")
+    found = tables.store(grading.cross_validated(graded, max_iterations=300), tables.new_path(w.spark, "folds"))
+    grading.register_model(w.spark, grading.train_grader(graded, max_iterations=300), root, "ALL", found)
+    metrics = w.spark.read.parquet(f"{root}/model_metrics")
+    spread = found.agg(F.bool_and((F.col("TRAINED") > 0) & (F.col("N") > 0)).alias("DEALT"))
+    share = F.col("CORRECT") / F.col("N")
+    return metrics.crossJoin(spread).select("MODEL_NAME", "N", "DEALT", (share >= HELD_OUT).alias("ACCURATE"))
+
+
+#: Least share of held-out rows that are graded as given; the commonest grade alone is about half of the rows.
+HELD_OUT = 0.6
+
+
 #: Least share of training rows that a diet's model grades as given.
 ACCURACY = 0.8
 
@@ -577,6 +640,21 @@ def stream_late_totals(w):
     return stream_rollup.totals(w.spark, root)
 
 
+def landing_change_stream(w):
+    """Two readers of one landing table, each with its own place: one refreshes totals, one counts profiles."""
+    uploads, landing, seen, totals = (tables.new_path(w.spark, n) for n in ("inbox", "landing", "seen", "totals"))
+    events.framed_uploads(w.landing).repartition(4).write.option("lineSep", "\n").text(uploads)
+    place = lambda: tables.new_path(w.spark, "place")
+    ingest.start_landing(w.spark, uploads, landing, place(), once=True, files_per_batch=2).awaitTermination()
+    profiles = documents.parse_documents(ingest.landing_changes(w.spark, landing, 1)).select("ID", "LOADTIME")
+    profiles.writeStream.format("parquet").option("path", seen).option("checkpointLocation", place()).trigger(
+        availableNow=True).start().awaitTermination()
+    docs = documents.parse_documents(ingest.landing_changes(w.spark, landing))
+    stream_rollup.start_totals(extract.parse_elements(extract.elements(docs)), totals, place()).awaitTermination()
+    known = w.spark.read.parquet(seen).groupBy("ID").agg(F.count("*").alias("UPLOADS"))
+    return stream_rollup.totals(w.spark, totals).join(known, "ID")
+
+
 def stream_restarted_totals(w):
     """Two streams over mixed days, the second with repeats of the first and rows far behind; the side table is merged
     and the batches are gathered before the totals are read."""
@@ -637,19 +715,19 @@ QUERIES = (
     steps_daily, date_dim, date_dim_long, hour_dim, population_latest, dated_pop, hours_pop,
     extract_measure, extract_food, extract_sleep, food_legacy_positions, heart_rate_unit_norm,
     samples_long, dedupe_samples, tz_convert, sleep_minutes, device_filter, legacy_weight_text,
-    framed_documents, device_side_split, calendar_age,
+    framed_documents, upload_backlog, rejected_uploads, device_side_split, calendar_age,
     daily_sum, mixed_units, daily_wide_pivot, daily_wide_joins, hourly_zero_fill, hourly_array,
     raw_series_array, hr_hourly_distinct, sleep_nightly, sleep_segments, sleep_hour_normalised,
     sleep_hour_keep_tail, sleep_timeline, sleep_minute_strip, energy_daily, energy_history_10d,
     energy_history_legacy, energy_history_window,
-    pop_agg, full_refresh, incremental_refresh, many_small_batches, upload_stream_refresh, refresh_restarted_checkpoint,
+    pop_agg, pop_agg_run_date, pop_agg_mixed_units, full_refresh, incremental_refresh, many_small_batches, upload_stream_refresh, refresh_restarted_checkpoint,
     pop_agg_in_parts, macro_calories_in_parts,
     trend_slice, trend_user, kpi_averages, kpi_nutrition, macro_calories, burned_calories, melt_macros,
     calories_long, chart_ceiling, weight_domain, calorie_balance, heart_kpis, heart_points,
     heart_domain, heart_domain_end_day, meal_calories, meal_calories_top, today_total, latest_sample, sql_query,
-    published_versions, graded_csv, diet_grade_predict,
+    published_versions, graded_csv, diet_grade_predict, diet_grade_held_out,
     stream_daily_totals, stream_hourly_totals, stream_dedupe, stream_late_totals,
-    stream_restarted_totals,
+    stream_restarted_totals, landing_change_stream,
 )
 
 

@@ -63,11 +63,40 @@ def with_calorie_difference(df: DataFrame, eaten: Column, burned: Column) -> Dat
     return df.withColumn("CAL_DIFF", eaten - burned)
 
 
-def register_model(spark: SparkSession, model: PipelineModel, root: str, name: str) -> str:
-    """Save a model and add its name to the model list."""
+def with_fold(graded: DataFrame, folds: int, seed: int = 7) -> DataFrame:
+    """Adds FOLD, from a hash of the row's features: the same rows fall into the same fold on every run and
+    whatever order they come in, and equal rows never stand on both sides of a split."""
+    return graded.withColumn("FOLD", F.pmod(F.xxhash64(F.lit(seed), *FEATURES), F.lit(folds)).cast("int"))
+
+
+def accuracy(graded: DataFrame, model: PipelineModel) -> DataFrame:
+    """N and CORRECT (rows graded as given) of labelled rows; one row."""
+    marked = predict_grade(model, graded.withColumn("GIVEN", F.col("GRADE")))
+    right = F.coalesce(F.col("GRADE") == F.col("GIVEN"), F.lit(False))
+    return marked.agg(F.count("*").alias("N"), F.count_if(right).alias("CORRECT"))
+
+
+def cross_validated(graded: DataFrame, folds: int = 4, seed: int = 7, **training) -> DataFrame:
+    """FOLD, TRAINED, N and CORRECT: each fold graded by a model of the others. Folds are few, and a model each."""
+    dealt = with_fold(graded, folds, seed)
+    parts = []
+    for fold in range(folds):
+        rest = dealt.filter(F.col("FOLD") != fold)
+        model = train_grader(rest, seed=seed, **training)
+        parts.append(accuracy(dealt.filter(F.col("FOLD") == fold), model).crossJoin(
+            rest.agg(F.count("*").alias("TRAINED"))).withColumn("FOLD", F.lit(fold)))
+    return reduce(DataFrame.unionByName, parts).select("FOLD", "TRAINED", "N", "CORRECT")
+
+
+def register_model(spark: SparkSession, model: PipelineModel, root: str, name: str,
+                   metrics: DataFrame | None = None) -> str:
+    """Save a model and add its name to the model list, and its metrics (N, CORRECT) to the table of metrics."""
     path = f"{root}/{name}"
     model.write().overwrite().save(path)
     tables.append_row(spark, f"{root}/model_list", MODEL_NAME=F.lit(name))
+    if metrics is not None:
+        metrics.agg(F.sum("N").alias("N"), F.sum("CORRECT").alias("CORRECT")).withColumn("MODEL_NAME", F.lit(name)) \
+            .write.mode("append").parquet(f"{root}/model_metrics")
     return path
 
 

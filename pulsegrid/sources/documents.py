@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid.catalogue import CATALOGUE
 from pulsegrid.functions import clock, text
@@ -50,12 +51,51 @@ def frame(rows: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Upload files as one document per row, in batch or as a file stream."""
+def read_documents(spark: SparkSession, path: str, streaming: bool = False, files_per_batch: int | None = None,
+                   bytes_per_batch: str | None = None, archive: str | None = None) -> DataFrame:
+    """Upload files as one document per row, in batch or as a file stream.
+
+    A stream may be held to so many files or bytes a batch (``"512m"``), and may move files that it has taken in, and
+    whose batch is done, into an archive folder, so that a trigger lists new files only.
+    """
     reader = spark.readStream if streaming else spark.read
+    limits = {"maxFilesPerTrigger": files_per_batch, "maxBytesPerTrigger": bytes_per_batch}
+    if archive:
+        limits |= {"cleanSource": "archive", "sourceArchiveDir": archive}
+    for name, value in limits.items():
+        if streaming and value is not None:
+            reader = reader.option(name, value)
     return frame(reader.option("lineSep", _BOUNDARY).text(path))
 
 
+_CORRUPT = "_corrupt"
+
+
+def judged(records: DataFrame) -> DataFrame:
+    """Adds REASON, why a document can't be taken in; NULL where it can.
+
+    'empty' holds no text, 'malformed' is no document or has a field of another type, 'no identifier' names no user.
+    """
+    schema = T.StructType([*document_schema().fields, T.StructField(_CORRUPT, T.StringType())])
+    doc = F.from_json(RECORD, schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    reason = (
+        F.when(blank(F.col(RECORD)), "empty")
+        .when(F.col("doc").isNull() | F.col(f"doc.{_CORRUPT}").isNotNull(), "malformed")
+        .when(blank(F.col("doc.identifier")), "no identifier")
+    )
+    return records.withColumn("doc", doc).withColumn("REASON", reason).drop("doc")
+
+
+def accepted(judged_records: DataFrame) -> DataFrame:
+    return judged_records.filter(F.col("REASON").isNull()).drop("REASON")
+
+
+def rejected(judged_records: DataFrame) -> DataFrame:
+    """The quarantine: documents as they came and the reason. With ``accepted`` these are all documents."""
+    return judged_records.filter(F.col("REASON").isNotNull()).select(RECORD, "REASON")
+
+
 def parse_documents(records: DataFrame, metrics=CATALOGUE) -> DataFrame:
     """One parse per document: profile columns and a struct of metric arrays."""
     parsed = records.select(

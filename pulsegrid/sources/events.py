@@ -44,8 +44,11 @@ def _timestamp_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def event_samples(events: DataFrame) -> DataFrame:
-    """One sample text per event, with the metric key it belongs to."""
+def event_samples(events: DataFrame, second_units: dict[str, str] | None = None) -> DataFrame:
+    """One sample text per event, with the metric key it belongs to.
+
+    Metrics in ``second_units`` come in that unit where ``k`` is odd, as from a phone whose settings change.
+    """
     keys = [m.key for m in FACTS]
     slot = (F.col("event_id") % METRIC_SLOTS).cast("int")
     rows = events.select(
@@ -67,6 +70,8 @@ def event_samples(events: DataFrame) -> DataFrame:
     unit = F.when(
         key == "HeartRate", F.when(k % 2 == 0, "count/s").otherwise("count/min")
     ).otherwise(F.coalesce(F.try_element_at(units, key), F.lit("g")))
+    for metric, second in (second_units or {}).items():
+        unit = F.when((key == metric) & (k % 2 == 1), second).otherwise(unit)
     meal = F.concat(
         F.lit("'foodImageName': 'Food','foodType': 'Food "), k.cast("string"),
         F.lit("','USDANumber': '"), k.cast("string"),
@@ -107,7 +112,8 @@ def _profile(date: Column, hour: Column) -> list[Column]:
     ]
 
 
-def event_documents(events: DataFrame, block: int = BLOCK) -> DataFrame:
+def event_documents(events: DataFrame, block: int = BLOCK,
+                    second_units: dict[str, str] | None = None) -> DataFrame:
     """Upload documents as JSON text, per user, day and ``block`` consecutive event ids.
 
     A phone sends one document per user and day. An event table has no such bound, so a day's document is
@@ -119,7 +125,7 @@ def event_documents(events: DataFrame, block: int = BLOCK) -> DataFrame:
     ]
     cut = F.floor(F.col("event_id") / block).alias("block")
     documents = (
-        event_samples(events).groupBy("user_id", "date", cut).agg(*arrays)
+        event_samples(events, second_units).groupBy("user_id", "date", cut).agg(*arrays)
         .withColumn("hour", F.explode(_copies(F.col("user_id"))))
     )
     present = [
@@ -150,10 +156,27 @@ def legacy_weight_documents(events: DataFrame) -> DataFrame:
 
 
 def framed_uploads(documents: DataFrame) -> DataFrame:
-    """Upload lines as they are delivered: an enveloped and a bare copy with nothing between."""
+    """Upload lines as they are delivered: an enveloped copy and a bare one, whose metrics go by their long type
+    names, with nothing between."""
+    long = F.regexp_replace(
+        F.regexp_replace(RECORD, '"(SleepAnalysis)":', '"HKCategoryTypeIdentifier$1":'),
+        f'"({"|".join(m.key for m in FACTS if m.key != "SleepAnalysis")})":', '"HKQuantityTypeIdentifier$1":')
     return documents.select(
-        F.concat(F.lit('{"body":'), RECORD, F.lit("}"), RECORD).alias("value")
+        F.concat(F.lit('{"body":'), RECORD, F.lit("}"), long).alias("value")
+    )
+
+
+def broken_uploads(documents: DataFrame) -> DataFrame:
+    """Landing documents some of which can't be taken in: cut off for users whose id is a multiple of 7, without an
+    identifier for other multiples of 11, and an empty one for other multiples of 13."""
+    user = F.get_json_object(RECORD, "$.identifier").cast("bigint")
+    broken = (
+        F.when(user % 7 == 0, F.expr(f"substring({RECORD}, 1, length({RECORD}) - 2)"))
+        .when(user % 11 == 0, F.replace(RECORD, F.lit('"identifier"'), F.lit('"nobody"')))
+        .when(user % 13 == 0, F.lit(" "))
+        .otherwise(F.col(RECORD))
     )
+    return documents.select(broken.alias(RECORD))
 
 
 def graded_diets(user_days: DataFrame) -> DataFrame:
