@@ -13,8 +13,12 @@ Items and texts are compared in lower case and with runs of white space read as
 the text as it is. Items are a stated query set: they are taken in blocks of bounded size, each block broadcast to a
 pass over all documents.
 
-Defined results: null and empty texts match nothing; items that are null or shorter than LEAST_CHARS characters
-after folding can't be told from chance and are not searched; items with equal texts are each reported; repeated
+A short item leaves no room for edits: below SHORT characters after folding it has none, is one piece, and counts where it
+stands between other than letters and digits. Of fewer than SHORT_WORDS words it says nothing inside a text; it counts
+where it is the whole text.
+
+Defined results: null and empty texts match nothing; items that are null or empty after folding are not
+searched; items with equal texts are each reported; repeated
 rows are each reported; empty tables give an empty result.
 """
 
@@ -31,7 +35,8 @@ from pyspark.sql import functions as F
 
 #: Edits allowed for each character of an item.
 ERROR_SHARE = 0.1
-LEAST_CHARS = 40
+#: Characters below which an item allows no edits, and words below which it must be the whole text.
+SHORT, SHORT_WORDS = 40, 3
 #: Characters of items in one broadcast block.
 BLOCK_CHARS = 2_000_000
 MATCHES = "array<struct<item_id:bigint,start:int,end:int,distance:int>>"
@@ -60,9 +65,21 @@ class Item:
     text: str
     ids: list[int]
 
+    @property
+    def short(self) -> bool:
+        return len(self.text) < SHORT
+
     @property
     def budget(self) -> int:
-        return int(len(self.text) * ERROR_SHARE)
+        return 0 if self.short else int(len(self.text) * ERROR_SHARE)
+
+    def stands(self, text: str, start: int) -> bool:
+        """Whether a short item counts where it was found in a folded text."""
+        end = start + len(self.text)
+        if self.text.count(" ") + 1 < SHORT_WORDS:
+            return len(self.text) == len(text)
+        return not (text[start - 1 : start].isalnum() or text[end : end + 1].isalnum()) if start else \
+            not text[end : end + 1].isalnum()
 
     def pieces(self) -> Iterator[tuple[int, str, list[tuple[int, int, int]]]]:
         """Budget + 1 pieces of nearly equal length: place, text, and the parts around it from small to large (start,
@@ -143,17 +160,24 @@ class Matcher:
 
     def matches(self, text: str) -> list[dict]:
         clean = folded(text)
-        starts = defaultdict(set)
+        starts, exact = defaultdict(set), []
         if self.items:
             for end, (size, found) in self.automaton.iter(clean):
                 for number, at, parts in found:
                     start = end + 1 - size - at
-                    if start not in starts[number] and all(
+                    if self.items[number].short:
+                        if self.items[number].stands(clean, start):
+                            exact.append((number, start))
+                    elif start not in starts[number] and all(
                         near(part, b - a, k, clean[max(0, start + a - k) : max(0, start + b + k)])
                         for a, b, k, part in parts
                     ):
                         starts[number].add(start)
         out, back = [], None
+        for number, start in exact:
+            back = origins(text) if back is None else back
+            span = {"start": back[start], "end": back[start + len(self.items[number].text) - 1] + 1, "distance": 0}
+            out += [{"item_id": i} | span for i in self.items[number].ids]
         for number, supposed in starts.items():
             item = self.items[number]
             k, size = item.budget, len(item.text)
@@ -180,7 +204,7 @@ def blocks(items: DataFrame, key: str, text: str) -> Iterator[list[Item]]:
         F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     for row in rows.toLocalIterator():
         clean = folded(row["text"])
-        if len(clean) < LEAST_CHARS:
+        if not clean:
             continue
         if clean in block:
             block[clean].ids.append(row["key"])

@@ -261,7 +261,8 @@ def test_neighbours(session):
     rows = [(i, [float(c) for c in v], 1) for i, v in zip(ids, x, strict=True)] + [(*o, 1) for o in odd]
     table = session.createDataFrame(rows, "vec_id long, embedding array<float>, id int")
     want = exact_neighbours(ids, x.astype(float), 20)
-    whole = neighbours.search(table, "vec_id", "embedding", "id % 20 = 0", cells=8, share=1.0, block=100).collect()
+    whole = neighbours.search(table, "vec_id", "embedding", "id % 20 = 0", cells=8, first=50,
+                              deviations=float("inf"), block=100).collect()
     got = defaultdict(list)
     for r in sorted(whole, key=lambda r: (r.query_id, r["rank"])):
         got[r.query_id].append((r.vec_id, r.score))
@@ -271,7 +272,7 @@ def test_neighbours(session):
         assert len(got[q]) == 20
     same = [v for v, _ in got[120]]
     assert same == [i for i in range(100, 400) if i != 120][:20]  # ties go to the smaller id
-    part = neighbours.search(table, "vec_id", "embedding", "id % 20 = 0", cells=8, share=0.55, least=100).collect()
+    part = neighbours.search(table, "vec_id", "embedding", "id % 20 = 0", cells=8, first=100).collect()
     hits = sum(r.vec_id in {v for v, _ in want[r.query_id]} for r in part)
     assert hits >= 0.9 * sum(map(len, want.values()))
     few = session.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [0.0, 1.0])], "vec_id int, embedding array<double>")
@@ -281,6 +282,38 @@ def test_neighbours(session):
     assert neighbours.search(few.limit(0), "vec_id", "embedding", "id % 20 = 0").count() == 0
 
 
+@pytest.mark.parametrize("kind,most", [("unit", 0.75), ("mixed lengths", 0.3), ("very mixed lengths", 0.15), ("clusters", 0.1)])
+def test_neighbours_walk_follows_the_vectors(kind, most):
+    """At the default parameters: recall, and the share of the index that is visited for it."""
+    rng, n = np.random.default_rng(1), 12_000
+    x = rng.normal(size=(n, 64))
+    if kind == "clusters":
+        x = rng.normal(size=(100, 64))[rng.integers(0, 100, n)] + 0.4 * rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if "mixed" in kind:
+        x *= np.exp(rng.normal(0, 1.0 if "very" in kind else 0.5, (n, 1)))
+    books = neighbours.fit(x)
+    cells, lengths = books.assign(x)
+    counts, of = np.bincount(cells, minlength=books.size), cells // books.pairs
+    spans = np.array([(lengths[of == k].min(), lengths[of == k].max()) for k in range(len(books.ends) + 1)])
+    hits = seen = 0
+    for q in range(0, n, 200):
+        score = x @ x[q]
+        score[q] = -np.inf
+        walk = lambda least=None: np.isin(cells, books.visited(
+            x[q], counts, spans, neighbours.DEVIATIONS, neighbours.FIRST, least))
+        first = walk()
+        assert first.sum() >= neighbours.FIRST
+        both = walk(np.sort(score[first])[-20])
+        assert not (first & both).any()
+        both |= first
+        hits += (np.sort(score[both])[-20:] >= np.sort(score)[-20]).sum()
+        seen += both.mean()
+        reached = [r for r, _ in books.walk(x[q], spans, neighbours.DEVIATIONS)]
+        assert len(reached) == books.size and all(a >= b - 1e-12 for a, b in zip(reached, reached[1:]))
+    assert hits >= 0.9 * 20 * (n // 200) and seen <= most * (n // 200), (hits, seen)
+
+
 def test_neighbours_of_repeated_rows(session):
     rng = np.random.default_rng(15)
     x = rng.normal(size=(120, 8))
@@ -289,7 +322,8 @@ def test_neighbours_of_repeated_rows(session):
     rows += [(7, v / np.linalg.norm(v)) for v in rng.normal(size=(60, 8))]  # an id of many vectors
     table = session.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
     got = defaultdict(list)
-    for r in neighbours.search(table, "vec_id", "embedding", "id % 20 = 0").orderBy("query_id", "rank").collect():
+    found = neighbours.search(table, "vec_id", "embedding", "id % 20 = 0", deviations=float("inf"))
+    for r in found.orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     assert sorted(got) == list(range(0, 120, 20))
     for query, found in got.items():
@@ -321,6 +355,18 @@ def test_myers_equals_dynamic_programming():
         assert min([len(a), *found]) == edits(a, b)
 
 
+def test_short_items_are_found_whole(make, session):
+    items = [(1, "What is 7 x 8?"), (2, "yes"), (3, "  The Answer\tis  42 "), (4, ""), (5, None), (6, "so it is"), (7, "yes")]
+    texts = ["q: what IS 7 x  8? a: 56", "yes", "yes it is so", "the answer is 421, the answer is 42.", "also it is fine",
+             " Yes ", "Well, so it is", None, ""]
+    table = session.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.matched(make(list(enumerate(texts))), table, "text", ["doc_id"]).collect()
+    found = {(r.doc_id, m.item_id, texts[r.doc_id][m.start : m.end]) for r in got for m in r.matches}
+    assert found == {(0, 1, "what IS 7 x  8?"), (1, 2, "yes"), (1, 7, "yes"), (3, 3, "the answer is 42"), (5, 2, "Yes"),
+                     (5, 7, "Yes"), (6, 6, "so it is")}
+    assert all(m.distance == 0 for r in got for m in r.matches)
+
+
 def test_decontaminate(session, make):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6)))
