@@ -7,8 +7,9 @@ the weight log2(1 + count). The machine's answer is
 
 so it learns what a term means alone and what two terms mean together: one insult quoted once may be harmless
 where the same insult beside a second one, or beside a group's name, is not. It is fitted in numpy on a bounded
-sample of labelled rows. Only terms whose presence says something about the label (largest chi-square) get
-weights; the others are zero, whatever the length of a text, so a long text is not judged by its many words.
+sample of labelled rows. Only terms whose presence says something about the label get weights: alone (largest
+chi-square), or together with another term (largest chi-square of the pair beyond what both tell alone, over the PAIRED
+most frequent terms); the others are zero, whatever the length of a text, so a long text is not judged by its many words.
 
 Defined results: null and empty texts have no terms and score the bias; rows without a label or text are not
 learned from; without rows of both labels every text scores the share of toxic rows (0 without any).
@@ -29,6 +30,8 @@ from pulsegrid.llm.sample import drawn
 #: Most labelled rows that training reads, and most terms that get weights.
 SAMPLE_ROWS, TERMS = 8000, 1024
 FACTORS, EPOCHS, BATCH, RATE, LEAST_ROWS, LEAST_CHI = 8, 120, 64, 0.08, 8, 25.0
+#: Frequent terms whose pairs are looked at, pairs that are admitted at most, and the excess that a pair needs.
+PAIRED, PAIRS, LEAST_PAIR_CHI = 1024, 128, 60.0
 #: Share of held-back training rows used to choose the number of passes.
 _HELD = 5
 
@@ -46,9 +49,11 @@ def _trimmed(words: Words) -> Words:
     sign = np.zeros(256, bool)
     sign[33:48] = sign[58:65] = sign[91:97] = sign[123:127] = True
     is_sign = np.append(sign[words.data], False)
-    for _ in range(6):
-        words.start = words.start + (is_sign[words.start] & (words.start < words.end))
-        words.end = words.end - (is_sign[words.end - 1] & (words.start < words.end))
+    at = np.arange(len(is_sign))
+    following = np.minimum.accumulate(np.where(is_sign, len(is_sign), at)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(is_sign, -1, at))
+    words.start = np.minimum(following[words.start], words.end)
+    words.end = np.maximum(before[words.end - 1] + 1, words.start)
     return words
 
 
@@ -81,6 +86,34 @@ def _chance(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def _telling_pairs(row_of: np.ndarray, at: np.ndarray, seen: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Terms of the pairs whose presence together says much more about the label than both of their presences alone."""
+    frequent = np.argsort(-seen, kind="stable")[:PAIRED]
+    frequent = frequent[(seen[frequent] >= LEAST_ROWS) & (seen[frequent] <= len(labels) - LEAST_ROWS)]
+    if len(frequent) < 2:
+        return np.zeros(0, np.int64)
+    place = np.full(len(seen), -1)
+    place[frequent] = np.arange(len(frequent))
+    x = np.zeros((len(labels), len(frequent)), np.float32)
+    known = place[at] >= 0
+    x[row_of[known], place[at[known]]] = 1
+    both, toxic = (x.T @ x).astype(float), (x.T @ (x * labels[:, None].astype(np.float32))).astype(float)
+    n, one, bad = len(labels), np.diag(both), np.diag(toxic)
+    # Rows with both, one or none of two terms, and the toxic ones among them. What both tell alone is the best additive
+    # law; what is left is the difference of differences of the four shares.
+    cells = [both, one[:, None] - both, one[None, :] - both, n - one[:, None] - one[None, :] + both]
+    marked = [toxic, bad[:, None] - toxic, bad[None, :] - toxic, labels.sum() - bad[:, None] - bad[None, :] + toxic]
+    share = [m / np.maximum(c, 1) for m, c in zip(marked, cells, strict=True)]
+    mixed = share[0] - share[1] - share[2] + share[3]
+    mean = labels.mean() * (1 - labels.mean())
+    excess = mixed**2 / (mean * sum(1 / np.maximum(c, 1e-9) for c in cells))
+    excess[np.minimum.reduce(cells) < LEAST_ROWS] = 0
+    excess = np.triu(excess, 1)
+    order = np.argsort(-excess, axis=None, kind="stable")[:PAIRS]
+    order = order[excess.ravel()[order] > LEAST_PAIR_CHI]
+    return np.unique(frequent[np.concatenate(np.unravel_index(order, excess.shape))])
+
+
 def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, terms: int = TERMS, seed: int = 3) -> Machine:
     """`bags` are distinct hashes and counts of each text; `labels` are 0 or 1."""
     labels = np.asarray(labels, float)
@@ -94,7 +127,8 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, terms: in
     toxic = np.bincount(at, labels[row_of], len(known))
     excess = (toxic - seen * share) ** 2 / (seen * share * (1 - share))
     excess[seen < LEAST_ROWS] = 0
-    chosen = np.sort(np.argsort(-excess, kind="stable")[: min(terms, int((excess > LEAST_CHI).sum()))])
+    alone = np.argsort(-excess, kind="stable")[: min(terms, int((excess > LEAST_CHI).sum()))]
+    chosen = np.union1d(alone, _telling_pairs(row_of, at, seen, labels))
     m = Machine(known[chosen], float(np.log(share / (1 - share))), np.zeros(len(chosen)),
                 np.random.default_rng(seed).normal(0, 0.02, (len(chosen), FACTORS)))
     if not len(chosen):

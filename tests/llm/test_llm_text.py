@@ -145,6 +145,34 @@ def test_toxicity_learns_pairs(make):
     assert toxicity.score_batch(toxicity.fit([], np.array([])), pa.array(["x"]))[0] < 1e-6
 
 
+@pytest.mark.parametrize("law", [lambda a, b: a == b, lambda a, b: a and b, lambda a, b: a != b])
+def test_toxicity_learns_terms_that_tell_nothing_alone(law):
+    rng = random.Random(3)
+    fill = [f"w{i}" for i in range(300)]
+
+    def row():
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = rng.sample(fill, 25) + ["zork!!!!!!!!!!"] * a + ["((blip"] * b
+        rng.shuffle(words)
+        return " ".join(words), int(law(a, b))
+
+    texts, labels = zip(*[row() for _ in range(4000)], strict=True)
+    labels = np.array(labels)
+    machine = toxicity.fit(toxicity.bags_of(texts[:3000]), labels[:3000])
+    scores = toxicity.score_batch(machine, pa.array(texts[3000:]))
+    assert np.mean((scores >= 0.5) == labels[3000:]) > 0.97
+    # The formula written out, term by term.
+    number = {int(toxicity.bags_of([w])[0][0][0]): w for w in [*fill, "zork", "blip"]}
+    for text, score in zip(texts[3000:3020], scores, strict=False):
+        bare = Counter(w.strip("!(") for w in text.split())
+        x = [np.log2(1 + bare[number[int(h)]]) if int(h) in number else 0.0 for h in machine.terms]
+        z = machine.bias + sum(w * v for w, v in zip(machine.linear, x, strict=True))
+        z += sum(float(machine.factors[i] @ machine.factors[j]) * x[i] * x[j] for i in range(len(x)) for j in range(i))
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+    signs = "!" * 60_000
+    assert toxicity.bags_of([f"{signs}zork{signs} {signs}"])[0][0].tolist() == toxicity.bags_of(["zork"])[0][0].tolist()
+
+
 def test_quality(make):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 8)))
