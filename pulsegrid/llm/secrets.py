@@ -2,13 +2,15 @@
 
 Candidates of three kinds are found in every whole text, leftmost and without overlap in each kind: `assign` (a
 value given to a password-like name), `access` (an access key id) and `hex` (a run of lower-case hexadecimal
-digits). Beside them, bare `word` candidates are taken: long runs of key characters that mix letters with digits.
+digits). Beside them, bare `word` candidates are taken: long runs of key characters that mix letters with digits,
+without the punctuation of the sentence or path around them.
 
-The value of each candidate is hashed, and the hashes are counted over the corpus: distinct owners and distinct
-repositories that hold it. A value that several owners hold is a copied example; a live-looking value (letters and
-digits mixed, many different characters) of one owner only is that owner's credential. The verdict adds spans: a
-bare word whose value was given to a password-like name somewhere in the corpus, and is owner-specific and
-live-looking, is reported as `owned` where no base span overlaps it.
+The value of each candidate, without punctuation at its ends, is hashed, and the hashes of base candidates are
+counted over the corpus: distinct owners and distinct repositories that hold it. A value of WIDELY owners in as many
+repositories is a widely copied example; a live-looking value (letters and digits mixed, many different
+characters) of fewer is somebody's credential. A bare occurrence says nothing about who owns a value and isn't counted.
+The verdict adds spans: a bare word whose value was given to a password-like name somewhere in the corpus, and is
+live-looking and no example, is reported as `owned` where no base span overlaps it.
 
 Positions are code points, ends exclusive. They come from the lengths of matches and of the gaps between them, as
 regular-expression functions return strings only.
@@ -51,11 +53,9 @@ WORD_RUN = r"[A-Za-z0-9+/_.=-]{12,}"
 WORD = Kind("word", r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z])" + WORD_RUN, 0, 12)
 FOUND = "array<struct<start:int,end:int,value:string>>"
 ADDED = "owned"
-#: A value held by this many owners or more is a copied example; with fewer, owner-specific.
-EXAMPLE_OWNERS = 2
 #: Different characters of a live-looking value.
 LEAST_DISTINCT = 8
-#: With `masking`: a value given to a password-like name by this many owners, in this many repositories, is widely copied.
+#: A value that base spans of this many owners hold, in this many repositories, is widely copied; with fewer, somebody's.
 WIDELY = 5
 #: Ends of a bare run that belong to the sentence or path around it.
 ENDS = "+/_.=-"
@@ -89,8 +89,8 @@ def spans(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.guard or kind.pattern), found).otherwise(F.array().cast(FOUND))
 
 
-def _hashed(found: Column, number: int, masking: bool) -> Column:
-    name = (lambda value: F.regexp_replace(value, rf"^[{ENDS}]+|[{ENDS}]+$", "")) if masking else (lambda value: value)
+def _hashed(found: Column, number: int) -> Column:
+    name = lambda value: F.regexp_replace(value, rf"^[{ENDS}]+|[{ENDS}]+$", "")
     return F.transform(found, lambda s: F.struct(
         s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"),
         F.sha2(name(s["value"]), 256).alias("hash"), live_looking(s["value"]).alias("live"),
@@ -107,15 +107,12 @@ def _trimmed(found: Column) -> Column:
     return F.filter(F.transform(found, cut), lambda s: F.length(s["value"]) >= WORD.least)
 
 
-def candidates(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str],
-               masking: bool = False) -> DataFrame:
+def candidates(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str]) -> DataFrame:
     """A stored row for each record: its number, owner, repository, the kept columns under new names, `base` spans
-    and bare `words`, with hashes in place of values. With `masking`, words and hashes are without punctuation at the
-    ends."""
+    and bare `words`, with hashes in place of values."""
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    base = F.concat(*(_hashed(spans(content, k), i, masking) for i, k in enumerate(BASE)))
-    runs = _trimmed(spans(content, WORD)) if masking else spans(content, WORD)
-    words = F.filter(_hashed(runs, len(BASE), masking), lambda s: s["live"])
+    base = F.concat(*(_hashed(spans(content, k), i) for i, k in enumerate(BASE)))
+    words = F.filter(_hashed(_trimmed(spans(content, WORD)), len(BASE)), lambda s: s["live"])
     found = documents.select(
         F.monotonically_increasing_id().alias("row"),
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
@@ -126,13 +123,11 @@ def candidates(documents: DataFrame, text: str, owner: str, repository: str, kee
     return stored(found, "secrets")
 
 
-def ownership(found: DataFrame, masking: bool = False) -> DataFrame:
-    """hash, owners, repositories, assigned: the holders of each value; with `masking`, those of base spans, so that
-    a bare occurrence does not count against itself. Summed before each shuffle, so a value that
+def ownership(found: DataFrame) -> DataFrame:
+    """hash, owners, repositories, assigned: the holders of each value in base spans. Summed before each shuffle, so a value that
     many rows hold arrives as a row for each task."""
-    each = found.select(
-        "owner", "repository", F.explode("base" if masking else F.concat("base", "words")).alias("s")
-    ).select("owner", "repository", F.col("s.hash").alias("hash"), (F.col("s.kind") == 0).alias("assigned"))
+    each = found.select("owner", "repository", F.explode("base").alias("s")).select(
+        "owner", "repository", F.col("s.hash").alias("hash"), (F.col("s.kind") == 0).alias("assigned"))
     held = each.groupBy("hash", "owner", "repository").agg(F.max("assigned").alias("assigned"))
     owned = held.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.max("assigned").alias("assigned"))
     return owned.groupBy("hash").agg(
@@ -145,16 +140,16 @@ def _overlaps(span: Column, base: Column) -> Column:
     return F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
 
 
-def judged(found: DataFrame, masking: bool = False) -> DataFrame:
-    """row, owned (spans to add), n_live and n_example (base spans of owner-specific and of copied values), for the
+def judged(found: DataFrame) -> DataFrame:
+    """row, owned (spans to add), n_live and n_example (base spans of somebody's and of widely copied values), for the
     rows that have any candidate."""
-    verdicts = ownership(found, masking).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    verdicts = ownership(found).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
     bare = F.filter("words", lambda w: ~_overlaps(w, F.col("base")))
     each = found.select("row", F.pmod("row", F.lit(SHARES)).cast("int").alias("share"),
                         F.explode(F.concat("base", bare)).alias("s"))
     each = each.select("row", "share", "s", F.col("s.hash").alias("hash")).join(verdicts, ["hash", "share"])
-    widely = (F.col("owners") >= WIDELY) & (F.col("repositories") >= WIDELY)
-    example, word = widely if masking else F.col("owners") >= EXAMPLE_OWNERS, F.col("s.kind") == len(BASE)
+    example = (F.col("owners") >= WIDELY) & (F.col("repositories") >= WIDELY)
+    word = F.col("s.kind") == len(BASE)
     added = word & F.col("assigned") & ~example
     span = F.struct("s.start", "s.kind", "s.end")
     return each.groupBy("row").agg(
@@ -164,15 +159,13 @@ def judged(found: DataFrame, masking: bool = False) -> DataFrame:
     )
 
 
-def scan(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str],
-         masking: bool = False) -> DataFrame:
-    """The kept columns, base and owned (arrays of start, kind, end), n_live, n_example. `masking` is the stricter
-    rule for texts to be published: only a widely copied value is an example."""
-    found = candidates(documents, text, owner, repository, keep, masking)
+def scan(documents: DataFrame, text: str, owner: str, repository: str, keep: dict[str, str]) -> DataFrame:
+    """The kept columns, base and owned (arrays of start, kind, end), n_live, n_example."""
+    found = candidates(documents, text, owner, repository, keep)
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"),
                                                   s["end"].alias("end")))
-    return found.drop("words", "owner", "repository").join(judged(found, masking), "row", "left").select(
+    return found.drop("words", "owner", "repository").join(judged(found), "row", "left").select(
         *keep.values(), base.alias("base"), F.coalesce("owned", empty).alias("owned"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"),
     )

@@ -2,46 +2,60 @@
 
 from pulsegrid.llm.jaccard import K, PERCENT
 from pulsegrid.llm.phrases import SIZE
-from pulsegrid.llm.secrets import BASE, EXAMPLE_OWNERS, LEAST_DISTINCT, WORD, WORD_RUN
 
 _WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def _kind(number: int, kind) -> str:
-    # DuckDB knows no look-around. Without it the same runs are found, and words without a digit or a letter, which
-    # are no live-looking values.
-    plain = WORD_RUN if kind is WORD else kind.pattern.replace("(?<![0-9a-f])", "")
-    pattern = plain.replace("'", "''")
+# Written out here and not taken from the operator, so that a wrong pattern there shows: kind, pattern, group of the value.
+_KINDS = (
+    (0, r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2),
+    (1, r"AKIA[A-Z0-9]+", 0),
+    (2, r"[0-9a-f]+", 0),
+    (3, r"[A-Za-z0-9+/_.=-]+", 0),
+)
+
+
+def _kind(number: int, pattern: str, group: int) -> str:
+    pattern = pattern.replace("'", "''")
     return rf"""
     SELECT rid, {number} AS kind, generate_subscripts(m, 1) AS i, unnest(m) AS match, unnest(v) AS value,
            unnest(list_slice(g, 1, len(m))) AS gap
-    FROM (SELECT rid, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {kind.group}) AS v,
+    FROM (SELECT rid, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS v,
                  string_split_regex(t, '{pattern}') AS g FROM docs)"""
 
 
 SECRETS = f"""
 WITH docs AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents
-), raw AS ({" UNION ALL ".join(_kind(i, k) for i, k in enumerate((*BASE, WORD)))}
+), raw AS ({" UNION ALL ".join(_kind(*k) for k in _KINDS)}
 ), placed AS (
   SELECT rid, kind, value, length(match) AS n,
          sum(length(gap) + length(match)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop
   FROM raw
+), bare AS (
+  SELECT rid, kind, value, stop - n AS start, stop, regexp_replace(value, '^[+/_.=-]+', '') AS tail,
+         regexp_replace(value, '^[+/_.=-]+|[+/_.=-]+$', '', 'g') AS name
+  FROM placed WHERE length(value) >= CASE kind WHEN 1 THEN 18 WHEN 2 THEN 16 ELSE 12 END
+), cut AS (
+  SELECT rid, kind, name, CASE WHEN kind = 3 THEN name ELSE value END AS value,
+         CAST(CASE WHEN kind = 3 THEN start + length(value) - length(tail) ELSE start END AS BIGINT) AS start,
+         CAST(CASE WHEN kind = 3 THEN start + length(value) - length(tail) + length(name) ELSE stop END AS BIGINT) AS stop
+  FROM bare WHERE kind < 3 OR length(name) >= 12
 ), cand AS (
-  SELECT rid, kind, value, CAST(stop - n AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop,
-         regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
-         AND len(list_distinct(string_split(value, ''))) >= {LEAST_DISTINCT} AS live
-  FROM placed WHERE length(value) >= CASE kind WHEN 0 THEN 12 WHEN 1 THEN 18 WHEN 2 THEN 16 ELSE {WORD.least} END
-), usable AS (SELECT * FROM cand WHERE kind < {len(BASE)} OR live
+  SELECT *, regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+         AND len(list_distinct(string_split(value, ''))) >= 8 AS live
+  FROM cut
+), usable AS (SELECT * FROM cand WHERE kind < 3 OR live
+), base AS (SELECT * FROM usable WHERE kind < 3
 ), holders AS (
-  SELECT value, count(DISTINCT owner) AS owners, bool_or(kind = 0) AS assigned
-  FROM usable JOIN docs USING (rid) GROUP BY value
-), base AS (SELECT * FROM usable WHERE kind < {len(BASE)}
+  SELECT name, count(DISTINCT owner) >= 5 AND count(DISTINCT (owner, coalesce(CAST(doc_id AS VARCHAR), ''))) >= 5 AS widely,
+         bool_or(kind = 0) AS assigned
+  FROM base JOIN docs USING (rid) GROUP BY name
 ), owned AS (
-  SELECT w.* FROM usable w JOIN holders h USING (value)
-  WHERE w.kind = {len(BASE)} AND h.assigned AND h.owners < {EXAMPLE_OWNERS}
+  SELECT w.* FROM usable w JOIN holders h USING (name)
+  WHERE w.kind = 3 AND h.assigned AND NOT h.widely
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = w.rid AND b.start < w.stop AND w.start < b.stop)
 ), named AS (
   SELECT rid, kind, start, stop, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop AS s
@@ -53,9 +67,8 @@ WITH docs AS MATERIALIZED (
          string_agg(s, ',' ORDER BY start, kind, stop) AS spans
   FROM named GROUP BY rid
 ), judged AS (
-  SELECT rid, count(*) FILTER (h.owners < {EXAMPLE_OWNERS} AND b.live) AS n_live,
-         count(*) FILTER (h.owners >= {EXAMPLE_OWNERS}) AS n_example
-  FROM base b JOIN holders h USING (value) GROUP BY rid
+  SELECT rid, count(*) FILTER (NOT h.widely AND b.live) AS n_live, count(*) FILTER (h.widely) AS n_example
+  FROM base b JOIN holders h USING (name) GROUP BY rid
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_owned, 0) AS n_owned,
