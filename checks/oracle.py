@@ -413,6 +413,9 @@ _QUERIES = {
     "pop_agg_run_date": f"""SELECT ID, {t('CAST(z AS TIMESTAMP)', 'RUN_DATE')},
       CAST(z - a + 1 AS BIGINT) AS N, (SELECT count(DISTINCT date_trunc('month', DATE)) FROM days) AS MONTHS
       FROM (SELECT DISTINCT ID FROM pop), cal""",
+    "pop_agg_bucketed": _POP_AGG,
+    "clustered_fact": f"""SELECT ID, {t('STARTTIME')}, {n('VALUE')}, UNIT, UUID FROM sd, rng
+      WHERE METRIC = 'HEARTRATE' AND DATE BETWEEN r1 AND r2""",
     "pop_agg_mixed_units": _mixed_units(),
     "full_refresh": _POP_AGG,
     "incremental_refresh": _POP_AGG,

@@ -362,6 +362,22 @@ def pop_agg_mixed_units(w):
     return df.select("ID", "DATE", "STEPS", "ACTIVE_ENERGY_BURNED", "CARBS", "PROTEIN", "BODYMASS")
 
 
+def pop_agg_bucketed(w):
+    """The wide table over user-days that are stored in buckets by user and day."""
+    days = tables.store_bucketed(w.user_days, tables.new_path(w.spark, "buckets"), 8, "ID", "DATE")
+    run_date = F.lit(w.calendar.last).cast("timestamp_ntz")
+    return _pop_agg_text(wide.pop_agg(w.samples, w.population, w.calendar, run_date, days=days,
+                                      exceptional=w.exceptional))
+
+
+def clustered_fact(w):
+    """Three weeks of heart rates, from a fact table that is clustered by user and time."""
+    start, end = _range(w)
+    fact = tables.store_fact(w.fact("HEARTRATE"), tables.new_path(w.spark, "fact"))
+    day = clock.day(F.col("STARTTIME"))
+    return fact.filter(day.between(F.lit(start), F.lit(end))).select("ID", "STARTTIME", "VALUE", "UNIT", "UUID")
+
+
 def full_refresh(w):
     root = tables.new_path(w.spark, "refresh")
     refresh.full_refresh(w.landing, root, w.calendar, F.lit(w.calendar.last).cast("timestamp_ntz"))
@@ -720,7 +736,7 @@ QUERIES = (
     raw_series_array, hr_hourly_distinct, sleep_nightly, sleep_segments, sleep_hour_normalised,
     sleep_hour_keep_tail, sleep_timeline, sleep_minute_strip, energy_daily, energy_history_10d,
     energy_history_legacy, energy_history_window,
-    pop_agg, pop_agg_run_date, pop_agg_mixed_units, full_refresh, incremental_refresh, many_small_batches, upload_stream_refresh, refresh_restarted_checkpoint,
+    pop_agg, pop_agg_run_date, pop_agg_mixed_units, pop_agg_bucketed, clustered_fact, full_refresh, incremental_refresh, many_small_batches, upload_stream_refresh, refresh_restarted_checkpoint,
     pop_agg_in_parts, macro_calories_in_parts,
     trend_slice, trend_user, kpi_averages, kpi_nutrition, macro_calories, burned_calories, melt_macros,
     calories_long, chart_ceiling, weight_domain, calorie_balance, heart_kpis, heart_points,

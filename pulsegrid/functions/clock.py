@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 
 def as_wall_clock(text: Column) -> Column:
-    """Parse timestamp text as UTC; unreadable text gives NULL. A trailing offset is applied."""
+    """Parse timestamp text as UTC; unreadable text gives NULL. A trailing offset is applied; it is looked for
+    where the text has a sign behind a blank only, which the times of samples never have."""
     local = F.substring_index(F.substring_index(text, " +", 1), " -", 1).try_cast("timestamp_ntz")
     part = lambda group: F.regexp_extract(text, r" ([+-])(\d\d):?(\d\d)", group)
     minutes = part(2).try_cast("int") * 60 + part(3).try_cast("int")
     ahead = F.coalesce(F.when(part(1) == "-", -minutes).otherwise(minutes), F.lit(0))
-    return local - F.make_dt_interval(F.lit(0), F.lit(0), ahead)
+    moved = local - F.make_dt_interval(F.lit(0), F.lit(0), ahead)
+    return F.when(text.contains(" +") | text.contains(" -"), moved).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def utc_to_zone(ts: Column, zone: str) -> Column:

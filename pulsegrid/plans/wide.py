@@ -12,6 +12,7 @@ from pulsegrid.catalogue import DAILY_SUMS, HOURLY_SUMS, POP_AGG_COLUMNS, RAW_SE
 from pulsegrid.operators import history, population, rollup, series, sleep
 from pulsegrid.operators.extract import sleep_fact
 from pulsegrid.operators.sizing import WIDE_ROWS_PER_FILE
+from pulsegrid.sources import tables
 from pulsegrid.sources.dimensions import Calendar
 from pulsegrid.sources.months import month_range, with_month
 
@@ -122,17 +123,10 @@ def pop_agg(samples_df: DataFrame, population_df: DataFrame, calendar: Calendar,
     return with_month(fill_days(arranged, run_date))
 
 
-# Row groups small enough for one user's rows to be found, and a Bloom filter of users in each.
-_LOOKUP = {
-    "parquet.block.size": str(16 << 20), "parquet.bloom.filter.enabled#ID": "true",
-    "parquet.bloom.filter.expected.ndv#ID": "20000",
-}
-
-
 def store_pop_agg(rows: DataFrame, path: str) -> DataFrame:
     """Store the wide table by month. Within a month a user is in one file (``by_month``), sorted: a range of one
     user opens a file a month, and in it the row groups whose statistics and Bloom filter have the user."""
-    rows.write.mode("overwrite").options(**_LOOKUP).partitionBy("MONTH").parquet(path)
+    rows.write.mode("overwrite").options(**tables.LOOKUP).partitionBy("MONTH").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

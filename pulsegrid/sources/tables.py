@@ -64,6 +64,35 @@ def store_samples(samples_df: DataFrame, path: str) -> DataFrame:
     return store(clustered(samples_df, *SAMPLE_ORDER), path, "DAY")
 
 
+# Row groups small enough for one user's rows to be found, and a Bloom filter of users in each.
+LOOKUP = {
+    "parquet.block.size": str(16 << 20), "parquet.bloom.filter.enabled#ID": "true",
+    "parquet.bloom.filter.expected.ndv#ID": "20000",
+}
+
+
+def store_fact(fact_df: DataFrame, path: str) -> DataFrame:
+    """A fact table clustered by user and time: a user's rows lie in few files, a busy user's are cut by time, and a
+    question about one user or range opens the files and row groups that have it."""
+    rows = clustered(fact_df, "ID", "STARTTIME", "VALUE", "UUID")
+    rows.write.mode("overwrite").options(**LOOKUP).parquet(path)
+    return fact_df.sparkSession.read.schema(fact_df.schema).parquet(path)
+
+
+def store_bucketed(rows: DataFrame, path: str, buckets: int, *keys: str) -> DataFrame:
+    """A table dealt into buckets by keys and sorted in each, so that joins and groupings by these keys need no exchange.
+
+    For tables of one row a key, such as user-days: all rows of a key are in one bucket. The bucket layout is known to
+    the session's catalogue, under a name made from the path.
+    """
+    spark = rows.sparkSession
+    name = "pulsegrid_" + re.sub(r"\W", "_", path)[-100:].lower()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(
+        *keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def append_row(spark: SparkSession, path: str, **values: Column) -> None:
     spark.range(1).select(*[v.alias(k) for k, v in values.items()]).write.mode("append").parquet(path)
 

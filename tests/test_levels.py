@@ -264,3 +264,32 @@ def test_windows_of_another_checkpoint_are_refused(spark, tmp_path):
     with pytest.raises(Exception, match="another checkpoint"):
         run("p1")
     assert totals_of(stream_rollup.windows(spark, root)) == held
+
+
+def test_bucketed_user_days_need_fewer_exchanges(spark, tmp_path):
+    samples, pop, _ = build(spark, uploads())
+    rows = rollup.user_days(wide.samples_between(samples, CAL))
+    plain = tables.store(rows, str(tmp_path / "plain"))
+    dealt = tables.store_bucketed(rows, str(tmp_path / "dealt"), 4, "ID", "DATE")
+    none = tables.store(wide.exceptional_days(samples), str(tmp_path / "none"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        agg = {k: wide.pop_agg(samples, pop, CAL, F.lit(RUN), days=days, exceptional=none)
+               for k, days in (("plain", plain), ("dealt", dealt))}
+        exchanges = {k: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+                     for k, df in agg.items()}
+        assert exchanges["dealt"] < exchanges["plain"]
+        assert rows_of(agg["dealt"]) == rows_of(agg["plain"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_facts_are_clustered_by_user_and_time(spark, tmp_path):
+    docs = [document(f"U{u}", HeartRate=[quantity(60 + h, f"2024-01-{d:02d} {h:02d}:00:00", uuid=f"{u}-{d}-{h}")
+                                         for d in range(2, 9) for h in range(24)]) for u in range(6)]
+    fact = samples_of(spark, *docs)
+    table = tables.store_fact(fact.drop("DAY"), str(tmp_path / "fact"))
+    assert table.count() == fact.count() == 6 * 7 * 24
+    files = table.groupBy(F.input_file_name().alias("F")).agg(
+        F.min(F.struct("ID", "STARTTIME")).alias("A"), F.max(F.struct("ID", "STARTTIME")).alias("Z")).orderBy("A").collect()
+    assert len(files) > 1 and all(a.Z <= b.A for a, b in zip(files, files[1:]))
