@@ -410,8 +410,9 @@ def _tiles(members: DataFrame, percent: int, tile: int) -> DataFrame:
         lambda size: F.when(parts(size) > 0, F.transform(
             F.sequence(F.lit(0).cast("long"), parts(size) - 1), lambda place: number(size, place),
         )).otherwise(F.array().cast("array<bigint>"))))
-    # Few groups are large: there is one for each `tile` classes at most.
-    dealt = sized.join(F.broadcast(large), "component", "left")
+    # One group for each `tile` classes at most is large. Stored, the table has a size that the join goes by: a small one
+    # is broadcast, a larger one is met by a shuffle, in which rows of a large group may be split.
+    dealt = sized.join(stored(large, "large-groups"), "component", "left")
     none = F.lit(0).cast("long")
     dealt = dealt.select(
         "component", "class", "copies", F.col("parts").isNotNull().alias("large"),
