@@ -448,6 +448,18 @@ def test_pipeline_stages(session, make, tmp_path):
     assert all(hashlib.sha256((kept["secrets"][r.doc_id] or "").encode()).hexdigest() == r.decoded_sha256 for r in final)
 
 
+def test_near_copies_are_decided_by_record(session, make):
+    rng = random.Random(21)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    a, b, c, d = (prose() for _ in range(4))
+    rows = [(1, a), (2, a + " end"), (2, b), (2, b), (3, c), (None, c + " end"), (None, c + " end"), (None, d), (None, d),
+            (9, ""), (9, ""), (None, None), (None, " \n")]
+    kept = corpus_pipeline.one_of_near_copies(session, make(rows), "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(1, a), (2, b), (3, c), (None, d), (9, ""), (9, ""), (None, None), (None, " \n")])
+    assert corpus_pipeline.one_of_near_copies(session, make([]), "").count() == 0
+
+
 def test_pipeline_on_nothing(session, make, tmp_path):
     session.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     make([]).select(corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
