@@ -26,15 +26,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group. A doc_id names a record: of rows that repeat it, one stays.
-    Rows without words or without an id are no copies, and all stay."""
+    """The document with the least id of each group; a document without an id comes last. A record is a doc_id with its
+    text: rows that repeat both are copies, whatever the id, and texts that share an id stand for themselves. Rows
+    without words are no copies, and all stay."""
     on_workers(spark)
-    found = jaccard.jaccard_components(docs, "doc_id", "text")
-    copies = found.where("key <> component_id").select(F.col("key").alias("doc_id"))
     words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
-    record = F.when(words & F.col("doc_id").isNotNull(), F.lit(-1)).otherwise(F.monotonically_increasing_id())
-    kept = docs.select(*COLUMNS, record.alias("record")).join(copies, "doc_id", "left_anti")
-    return kept.dropDuplicates(["doc_id", "record"]).select(COLUMNS)
+    records = docs.select(*COLUMNS, F.when(words, F.xxhash64("doc_id", "text")).alias("record"))
+    worded = records.where("record IS NOT NULL")
+    found = jaccard.jaccard_components(worded, "record", "text").select("key", "component_id").distinct()
+    ids = worded.select(F.col("record").alias("key"), "doc_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key"))
+    kept = found.join(ids, "key").groupBy("component_id").agg(first.alias("first")).select(
+        F.col("first.key").alias("record"))
+    chosen = worded.join(kept, "record", "left_semi").dropDuplicates(["record"])
+    return chosen.select(COLUMNS).unionByName(records.where("record IS NULL").select(COLUMNS))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
