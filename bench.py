@@ -24,7 +24,7 @@ from pulsegrid.sources import tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-BUILDS = ("landing", "samples", "population", "user_days", "pop_agg")
+BUILDS = ("landing", "samples", "population", "user_days", "exceptional", "pop_agg")
 HEADLINE = (
     "steps_daily", "samples_long", "extract_measure", "extract_food", "extract_sleep",
     "population_latest", "dated_pop", "hours_pop", "framed_documents",

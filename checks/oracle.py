@@ -510,5 +510,8 @@ _QUERIES = {
 }
 
 
+_QUERIES |= {"fetched_meals": _QUERIES["meal_calories_top"], "scanned_table": _QUERIES["population_latest"]}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: BASE + sql for name, sql in _QUERIES.items()}

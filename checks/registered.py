@@ -547,6 +547,19 @@ def meal_calories_top(w):
     return tables.top(insights.meal_calories(w.fact("DIETARYENERGY")), 10, "ID", "DATE", "TIME")
 
 
+def fetched_meals(w):
+    """The same ten rows, fetched to the client as a display would."""
+    rows = tables.top(insights.meal_calories(w.fact("DIETARYENERGY")), 10, "ID", "DATE", "TIME")
+    shown = tables.fetch(rows.withColumn("DATE", F.col("DATE").cast("string")), 10)
+    return w.spark.createDataFrame(shown, "ID string, DATE string, TIME string, CALS double")
+
+
+def scanned_table(w):
+    """A stored table by its name and its own list of columns."""
+    tables.share({"POPULATION_V": w.population})
+    return w.spark.table("POPULATION_V").select(*tables.column_names(w.spark, "POPULATION_V"))
+
+
 def today_total(w):
     return insights.day_total(w.samples, "STEPCOUNT", w.calendar.start + dt.timedelta(days=10))
 
@@ -740,7 +753,7 @@ QUERIES = (
     pop_agg_in_parts, macro_calories_in_parts,
     trend_slice, trend_user, kpi_averages, kpi_nutrition, macro_calories, burned_calories, melt_macros,
     calories_long, chart_ceiling, weight_domain, calorie_balance, heart_kpis, heart_points,
-    heart_domain, heart_domain_end_day, meal_calories, meal_calories_top, today_total, latest_sample, sql_query,
+    heart_domain, heart_domain_end_day, meal_calories, meal_calories_top, fetched_meals, scanned_table, today_total, latest_sample, sql_query,
     published_versions, graded_csv, diet_grade_predict, diet_grade_held_out,
     stream_daily_totals, stream_hourly_totals, stream_dedupe, stream_late_totals,
     stream_restarted_totals, landing_change_stream,
