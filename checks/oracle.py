@@ -497,7 +497,8 @@ _QUERIES = {
     round(sum(CAL_DIFF), 2) AS CAL_DIFF, true AS KNOWN, true AS ACCURATE, true AS SAME
   FROM diet GROUP BY SUGAR > 50""",
     "diet_grade_held_out": _GRADES[: _GRADES.index("  SELECT CAST(GRADE")] + """
-  SELECT 'ALL' AS MODEL_NAME, count(*) AS N, true AS DEALT, true AS ACCURATE FROM diet""",
+  SELECT 'ALL' AS MODEL_NAME, count(*) AS N, true AS DEALT, CASE WHEN count(*) >= 100 THEN true END AS ACCURATE
+  FROM diet""",
     "landing_change_stream": f"""SELECT x.*, UPLOADS FROM ({_stream("day")}) x JOIN (
       SELECT ID, CAST(sum(CASE WHEN user_id % 3 = 0 THEN 4 ELSE 2 END) AS BIGINT) AS UPLOADS
       FROM (SELECT DISTINCT ID, user_id, CAST(st AS DATE) AS DATE, event_id // 4096 AS block FROM sent) GROUP BY ID) u

@@ -639,11 +639,13 @@ def diet_grade_held_out(w):
     metrics = w.spark.read.parquet(f"{root}/model_metrics")
     spread = found.agg(F.bool_and((F.col("TRAINED") > 0) & (F.col("N") > 0)).alias("DEALT"))
     share = F.col("CORRECT") / F.col("N")
-    return metrics.crossJoin(spread).select("MODEL_NAME", "N", "DEALT", (share >= HELD_OUT).alias("ACCURATE"))
+    judged = F.when(F.col("N") >= JUDGED_ROWS, share >= HELD_OUT)
+    return metrics.crossJoin(spread).select("MODEL_NAME", "N", "DEALT", judged.alias("ACCURATE"))
 
 
-#: Least share of held-out rows that are graded as given; the commonest grade alone is about half of the rows.
-HELD_OUT = 0.6
+#: Least share of held-out rows that are graded as given (the commonest grade alone is about half of the rows), and the
+#: number of rows from which that is a statement about the model.
+HELD_OUT, JUDGED_ROWS = 0.6, 100
 
 
 #: Least share of training rows that a diet's model grades as given.
