@@ -195,11 +195,12 @@ def upload_backlog(w):
 
 def rejected_uploads(w):
     """Documents by what became of them, and the samples of those taken in."""
-    known = documents.judged(events.broken_uploads(w.landing))
+    uploads = events.broken_uploads(w.landing)
+    known = documents.judged(uploads)
     taken = documents.accepted(known)
     path = tables.new_path(w.spark, "quarantine")
     quarantine = tables.store(documents.rejected(known), path)
-    samples = extract.samples(documents.parse_documents(taken))
+    samples = extract.samples(documents.parse_documents(uploads, strict=True))
     reason = F.lit("accepted").alias("REASON")
     return quarantine.groupBy("REASON").agg(F.count("*").alias("N")).unionByName(
         taken.agg(F.count("*").alias("N")).select(reason, "N")).unionByName(

@@ -71,20 +71,26 @@ def read_documents(spark: SparkSession, path: str, streaming: bool = False, file
 _CORRUPT = "_corrupt"
 
 
+def _judged_document() -> Column:
+    schema = T.StructType([*document_schema().fields, T.StructField(_CORRUPT, T.StringType())])
+    return F.from_json(RECORD, schema, {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _reason(doc: str) -> Column:
+    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    return (
+        F.when(blank(F.col(RECORD)), "empty")
+        .when(F.col(doc).isNull() | F.col(f"{doc}.{_CORRUPT}").isNotNull(), "malformed")
+        .when(blank(F.col(f"{doc}.identifier")), "no identifier")
+    )
+
+
 def judged(records: DataFrame) -> DataFrame:
     """Adds REASON, why a document can't be taken in; NULL where it can.
 
     'empty' holds no text, 'malformed' is no document or has a field of another type, 'no identifier' names no user.
     """
-    schema = T.StructType([*document_schema().fields, T.StructField(_CORRUPT, T.StringType())])
-    doc = F.from_json(RECORD, schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
-    reason = (
-        F.when(blank(F.col(RECORD)), "empty")
-        .when(F.col("doc").isNull() | F.col(f"doc.{_CORRUPT}").isNotNull(), "malformed")
-        .when(blank(F.col("doc.identifier")), "no identifier")
-    )
-    return records.withColumn("doc", doc).withColumn("REASON", reason).drop("doc")
+    return records.withColumn("doc", _judged_document()).withColumn("REASON", _reason("doc")).drop("doc")
 
 
 def accepted(judged_records: DataFrame) -> DataFrame:
@@ -96,11 +102,19 @@ def rejected(judged_records: DataFrame) -> DataFrame:
     return judged_records.filter(F.col("REASON").isNotNull()).select(RECORD, "REASON")
 
 
-def parse_documents(records: DataFrame, metrics=CATALOGUE) -> DataFrame:
-    """One parse per document: profile columns and a struct of metric arrays."""
-    parsed = records.select(
-        F.from_json(RECORD, document_schema(tuple(m.key for m in metrics))).alias("doc")
-    )
+def parse_documents(records: DataFrame, metrics=CATALOGUE, strict: bool = False) -> DataFrame:
+    """One parse per document: profile columns and a struct of metric arrays.
+
+    ``strict`` leaves out what ``judged`` gives a reason for, in the same parse: an array of no or one document is
+    exploded, since a filter would parse each document once more.
+    """
+    if strict:
+        read = records.select(RECORD, _judged_document().alias("doc"))
+        parsed = read.select(F.explode(F.when(_reason("doc").isNull(), F.array("doc"))).alias("doc"))
+    else:
+        parsed = records.select(
+            F.from_json(RECORD, document_schema(tuple(m.key for m in metrics))).alias("doc")
+        )
     return parsed.select(
         F.col("doc.identifier").alias("ID"),
         F.col("doc.age").try_cast("int").alias("AGE"),
