@@ -21,6 +21,7 @@ rows that repeat a record have spans of their own but add no owner; an empty tab
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -59,9 +60,12 @@ LEAST_DISTINCT = 8
 WIDELY = 5
 #: Ends of a bare run that belong to the sentence or path around it.
 ENDS = "+/_.=-"
+OUTSIDE = rf"^[{ENDS}]+|(?<![{ENDS}])[{ENDS}]+$"
 #: Shares of the rows that hold one value, each joined with the value's verdict by itself.
 SHARES = 8
 MASK = "[SECRET]"
+#: Spans of a text that are handled as one array; texts with more are handled block by block.
+BLOCK = 256
 
 
 def live_looking(value: Column) -> Column:
@@ -69,6 +73,22 @@ def live_looking(value: Column) -> Column:
     return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (different >= LEAST_DISTINCT)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array in blocks of BLOCK, so that what grows with each item is a block and not the whole; none for none."""
+    return _bound(items, lambda a: F.when(F.size(a) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int")),
+        lambda i: F.slice(a, i * BLOCK + 1, F.lit(BLOCK)))).otherwise(F.slice(F.array(a), 1, 0)))
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda n, x: n + x)
+
+
 def spans(text: Column, kind: Kind) -> Column:
     """array<struct<start, end, value>> of the matches whose value is long enough. A text without a match is read
     once, by the guard."""
@@ -76,7 +96,6 @@ def spans(text: Column, kind: Kind) -> Column:
     whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
     pieces = F.arrays_zip(whole.alias("match"), values.alias("value"), F.split(text, kind.pattern, -1).alias("gap"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
         start = state["at"] + F.length(piece["gap"])
@@ -85,12 +104,19 @@ def spans(text: Column, kind: Kind) -> Column:
         kept = F.when(F.length(piece["value"]) >= kind.least, F.array(found)).otherwise(F.array().cast(FOUND))
         return F.struct(F.coalesce(end, start).alias("at"), F.concat(state["found"], kept).alias("found"))
 
-    found = F.aggregate(pieces, zero, step, lambda state: state["found"])
+    def place(block: Column, before: Column) -> Column:
+        zero = F.struct(before.alias("at"), F.array().cast(FOUND).alias("found"))
+        return F.aggregate(block, zero, step, lambda state: state["found"])
+
+    length = lambda piece: F.length(piece["gap"]) + F.coalesce(F.length(piece["match"]), F.lit(0))
+    lengths = lambda block: F.aggregate(block, F.lit(0), lambda n, piece: n + length(piece))
+    found = _bound(_blocks(pieces), lambda blocks: _bound(F.transform(blocks, lengths), lambda sizes: F.flatten(
+        F.transform(blocks, lambda block, i: place(block, _total(F.slice(sizes, 1, i)))))))
     return F.when(text.rlike(kind.guard or kind.pattern), found).otherwise(F.array().cast(FOUND))
 
 
 def _hashed(found: Column, number: int) -> Column:
-    name = lambda value: F.regexp_replace(value, rf"^[{ENDS}]+|[{ENDS}]+$", "")
+    name = lambda value: F.regexp_replace(value, OUTSIDE, "")
     return F.transform(found, lambda s: F.struct(
         s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"),
         F.sha2(name(s["value"]), 256).alias("hash"), live_looking(s["value"]).alias("live"),
@@ -100,7 +126,7 @@ def _hashed(found: Column, number: int) -> Column:
 def _trimmed(found: Column) -> Column:
     """Spans of bare runs without the punctuation at their ends."""
     def cut(s: Column) -> Column:
-        value = F.regexp_replace(s["value"], rf"^[{ENDS}]+|[{ENDS}]+$", "")
+        value = F.regexp_replace(s["value"], OUTSIDE, "")
         start = s["start"] + F.length(s["value"]) - F.length(F.regexp_replace(s["value"], rf"^[{ENDS}]+", ""))
         return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
 
@@ -136,15 +162,24 @@ def ownership(found: DataFrame) -> DataFrame:
     )
 
 
-def _overlaps(span: Column, base: Column) -> Column:
-    return F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+def _apart(words: Column, base: Column) -> Column:
+    """The words that no base span overlaps. Base spans are sorted by start, and only blocks that reach a word are
+    looked into."""
+    def reached(word: Column, span: Column) -> Column:
+        return (span["start"] < word["end"]) & (word["start"] < span["end"])
+
+    reach = lambda block: F.struct(
+        F.get(block, F.lit(0))["start"].alias("start"), F.array_max(block["end"]).alias("end"), block.alias("spans"))
+    blocks = F.transform(_blocks(base), reach)
+    return _bound(blocks, lambda bs: F.filter(words, lambda w: ~F.exists(
+        bs, lambda b: reached(w, b) & F.exists(b["spans"], lambda s: reached(w, s)))))
 
 
 def judged(found: DataFrame) -> DataFrame:
     """row, owned (spans to add), n_live and n_example (base spans of somebody's and of widely copied values), for the
     rows that have any candidate."""
     verdicts = ownership(found).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
-    bare = F.filter("words", lambda w: ~_overlaps(w, F.col("base")))
+    bare = F.when(F.size("words") > 0, _apart(F.col("words"), F.col("base"))).otherwise(F.col("words"))
     each = found.select("row", F.pmod("row", F.lit(SHARES)).cast("int").alias("share"),
                         F.explode(F.concat("base", bare)).alias("s"))
     each = each.select("row", "share", "s", F.col("s.hash").alias("hash")).join(verdicts, ["hash", "share"])
@@ -180,15 +215,26 @@ def listed(found: Column) -> Column:
 
 
 def redacted(text: Column, found: Column) -> Column:
-    """The text with MASK for every stretch that spans cover."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        piece = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(MASK))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"),
-                        F.when(fresh, piece).otherwise(state["out"]).alias("out"))
-
-    masked = F.aggregate(F.array_sort(found), start, step,
-                         lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
-    return F.when(F.size(found) > 0, masked).otherwise(text)
+    """The text with MASK for every stretch that spans cover. Each block of spans masks its own part of the text."""
+    def masked(block: Column, at: Column) -> Column:
+        first = F.struct(at.alias("at"), F.lit("").alias("out"))
+
+        def part(stretch: Column) -> Column:
+            def step(state: Column, s: Column) -> Column:
+                fresh = s["start"] >= state["at"]
+                gap = F.substring(stretch, state["at"] - at + 1, s["start"] - state["at"])
+                return F.struct(F.greatest(state["at"], s["end"]).alias("at"),
+                                F.when(fresh, F.concat(state["out"], gap, F.lit(MASK))).otherwise(state["out"]).alias("out"))
+
+            return F.aggregate(block, first, step, lambda state: state["out"])
+
+        return _bound(F.substring(text, at + 1, F.array_max(block["end"]) - at), part)
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.array_max(b["end"]))
+        reached = lambda ends, i: F.coalesce(F.array_max(F.slice(ends, 1, i)), F.lit(0))
+        return _bound(ends, lambda e: F.concat(
+            F.array_join(F.transform(blocks, lambda b, i: masked(b, reached(e, i))), ""),
+            F.substring(text, F.array_max(e) + 1, F.length(text))))
+
+    return F.when(F.size(found) > 0, _bound(_blocks(F.array_sort(found)), joined)).otherwise(text)

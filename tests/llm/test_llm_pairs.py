@@ -61,6 +61,26 @@ def test_secrets(make):
     assert secrets.scan(make([]), "text", "source", "doc_id", {"doc_id": "doc_id"}).count() == 0
 
 
+def test_texts_with_very_many_secrets(make):
+    rng = random.Random(4)
+    runs = ["".join(rng.choices("0123456789abcdef", k=rng.randint(14, 24))) for _ in range(50_000)]
+    many = "".join(rng.choice([" ", " token=", "\nüpassword: ", "; "]) + r for r in runs)
+    rows = [(1, many, "en", "me"), (2, "secret=" + "=" * 200_000 + "a" + "=" * 200_000 + "b", "en", "me")]
+    rows += [(10 + n, many[: many.index(runs[n])], "en", "me") for n in (1, 255, 256, 257, 513)]
+    got = secrets.scan(make(rows), "text", "source", "doc_id", {"doc_id": "doc_id", "text": "text"}).withColumn(
+        "masked", secrets.redacted(F.col("text"), F.concat("base", "owned"))).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert [(s.start, s.kind, s.end) for s in r.base] == base_spans(r.text)
+        out, at = [], 0
+        for start, _, end in sorted([*r.base, *r.owned], key=lambda s: s[0]):
+            if start >= at:
+                out += [r.text[at:start], secrets.MASK]
+            at = max(at, end)
+        assert r.masked == "".join(out) + r.text[at:]
+        assert not any(s.start < b.end and b.start < s.end for s in r.owned[:50] for b in r.base)
+
+
 def test_masking_of_leaked_secrets(session, make):
     second, wide = "Zk4Wn9Bt2Hs6Jc1F", "Wd3Kx8Pq1Ls5Vn7G"
     rows = [(1, f"password={KEY}", "en", "me"), (2, f"seen {KEY} here", "en", "other"),
