@@ -15,8 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.storage import stored
+
 #: Parts of a shard that are numbered side by side. Slots of a part are ordered by key within it.
 PARTS = 512
+#: Slots of one repeated record that are written out together.
+RUN = 100_000
 
 
 def _unit(digest: Column) -> Column:
@@ -40,35 +44,38 @@ def shard_records(records: DataFrame, key: str, text: str, weights: Sequence[flo
                   new_weight: float | None = None, parts: int = PARTS) -> DataFrame:
     """Columns key, size, text_crc32, shard, slot, and grown_shard: the shard after one more of `new_weight` joins.
 
-    Slots of a shard are 0, 1, ... without gaps. A shard is numbered in `parts` parts by a hash of the key: parts
-    are counted (shards x parts sums, whatever the input), their starts added up, and rows numbered in each part,
-    so no shard is sorted by one task.
+    Slots of a shard are 0, 1, ... without gaps. Equal records (key, size, checksum) are counted in each task before
+    they move and take neighbouring slots. A shard is numbered in `parts` parts by a hash of the whole record: records are
+    counted by part (shards x parts sums, whatever the input), the starts of the parts added up, and records numbered in each
+    part, so no shard, key or repeated record is sorted by one task.
     """
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     new_weight = weights[0] if new_weight is None else new_weight
-    bids = F.array(*(bid(name, i, w) for i, w in enumerate([*weights, new_weight])))
+    bids_of = lambda name: F.array(*(bid(name, i, w) for i, w in enumerate([*weights, new_weight])))
     rows = records.select(
         F.col(key).alias("key"),
         (F.octet_length(content) + 1).cast("long").alias("size"),
         F.crc32(content.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64(name), F.lit(parts)).cast("int").alias("part"),
-        bids.alias("bids"),
-    ).withColumn("old", F.slice("bids", 1, len(weights))).select(
-        "key", "size", "text_crc32", "part",
+    ).groupBy("key", "size", "text_crc32").agg(F.count("*").alias("times"))
+    rows = stored(rows.withColumn("bids", bids_of(F.coalesce(F.col("key").cast("string"), F.lit("")))).withColumn(
+        "old", F.slice("bids", 1, len(weights))).select(
+        "key", "size", "text_crc32", "times",
+        F.pmod(F.xxhash64("key", "size", "text_crc32"), F.lit(parts)).cast("int").alias("part"),
         (F.array_position("old", F.array_max("old")) - 1).cast("int").alias("shard"),
         (F.array_position("bids", F.array_max("bids")) - 1).cast("int").alias("grown_shard"),
-    )
-    keys = records.select(name.alias("name")).select(
-        winner(F.col("name"), weights).alias("shard"),
-        F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int").alias("part"),
-    )
+    ), "shards")
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = keys.groupBy("shard", "part").count().select(
+    starts = rows.groupBy("shard", "part").agg(F.sum("times").alias("count")).select(
         "shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")
     )
-    within = Window.partitionBy("shard", "part").orderBy("key", "size", "text_crc32")
-    return rows.join(F.broadcast(starts), ["shard", "part"]).select(
-        "key", "size", "text_crc32", "shard",
-        (F.col("start") + F.row_number().over(within) - 1).cast("long").alias("slot"), "grown_shard",
+    within = Window.partitionBy("shard", "part").orderBy("key", "size", "text_crc32").rowsBetween(
+        Window.unboundedPreceding, -1)
+    first = rows.join(F.broadcast(starts), ["shard", "part"]).withColumn(
+        "first", F.col("start") + F.coalesce(F.sum("times").over(within), F.lit(0)))
+    # A record that very many rows repeat is dealt to the tasks in runs of slots.
+    runs = first.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / RUN))))
+    runs = runs.withColumn("low", F.col("first") + F.col("run") * RUN).withColumn(
+        "high", F.least(F.col("low") + RUN, F.col("first") + F.col("times")) - 1)
+    return runs.hint("rebalance").select(
+        "key", "size", "text_crc32", "shard", F.explode(F.sequence("low", "high")).alias("slot"), "grown_shard",
     )

@@ -1,6 +1,7 @@
 """Operators on single texts: tokens, language, toxicity, quality, shards."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -230,6 +231,28 @@ def test_sharding(make):
         sharding.winner(F.lit("x"), [1.0, 0.0])
 
 
+def test_sharding_of_hot_keys_and_records(make, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    rows = [(None, f"text {i}") for i in range(400)] + [(5, "same")] * 300 + [(i, "x") for i in range(300)]
+    weights = [1.0, 3.0, 0.5]
+    got = sharding.shard_records(make(rows), "doc_id", "text", weights, new_weight=2.0, parts=8).collect()
+    assert Counter((r.key, r.size, r.text_crc32) for r in got) == Counter(
+        (d, len(t) + 1, zlib.crc32(t.encode())) for d, t in rows)
+
+    def bids(key, weights):
+        drawn = [int(hashlib.md5(f"{'' if key is None else key}:{i}".encode()).hexdigest()[:13], 16)
+                 for i in range(len(weights))]
+        return [-w / math.log((d + 0.5) / 2**52) for d, w in zip(drawn, weights)]
+
+    for r in got:
+        old, new = bids(r.key, weights), bids(r.key, [*weights, 2.0])
+        assert (r.shard, r.grown_shard) == (old.index(max(old)), new.index(max(new)))
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    same = sorted(r.slot for r in got if r.key == 5 and r.size == 5)
+    assert same == list(range(same[0], same[0] + 300))
+
+
 def test_samples_are_bounded_and_repeatable(session):
     rows = session.range(50_000).repartition(16)
     first = {r.id for r in drawn(rows, 500, "id").collect()}
