@@ -3,7 +3,7 @@
 A window is `size` consecutive words of one document. A word is removed if a window covers it whose word sequence
 also starts in a document with a smaller id; windows are judged on the input.
 
-1. Documents are dealt into shards by a hash of their id. A shard hashes all its windows and sends each distinct
+1. Documents are dealt into shards by a hash of id and text. A shard hashes all its windows and sends each distinct
    hash once, with its least and greatest document: a window that a third of all documents hold arrives once from
    each shard. The entries travel in packed lists, dealt by hash into buckets of bounded size.
 2. Confirm: a bucket finds the windows that more than one document holds and answers each shard that holds one in a
@@ -209,7 +209,7 @@ def dedup_phrases(documents: DataFrame, key: str, text: str, size: int = SIZE, s
     shards, buckets = int(total // shard_bytes + 1), int(total // bucket_bytes + 1)
     rows = documents.select(
         F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"),
-        F.pmod(F.xxhash64(F.col(key), F.length(F.col(text))), F.lit(shards)).alias("shard"),
+        F.pmod(F.xxhash64(F.col(key), F.col(text).cast("string")), F.lit(shards)).alias("shard"),
     ).repartition("shard")
     sent = rows.groupBy("shard").applyInArrow(
         lambda t: _shard_windows(t, size, buckets),
