@@ -21,11 +21,17 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 OWNER, REPOSITORY = "source", "doc_id"
 SHARDS = 16
 TOXIC_AT = 0.3
+#: Bytes of rows that are sent to a Python worker at a time, unless the session has a limit of its own. Without one, up to
+#: 10,000 rows are sent, whatever they hold, and both processes keep several copies of them.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 _ROOT = Path(__file__).resolve().parents[2]
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Python workers import this package. Where the session's PYTHONPATH doesn't name it, it is sent to them."""
+    """Python workers import this package. Where the session's PYTHONPATH doesn't name it, it is sent to them. Rows go
+    to them in batches of bounded size."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT in paths or getattr(context, "_pulsegrid_sent", False):

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_rows import WORDS, odd_rows
 from pyspark.sql import functions as F
@@ -435,6 +436,16 @@ def test_decontaminate(session, make):
         decontaminate.BLOCK_CHARS = monkey
 
 
+def test_rows_reach_python_in_bounded_batches(session):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    texts = session.range(0, 2000, 1, 1).select(F.repeat(F.lit("long text "), 2000).alias("text"))
+    got = texts.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 2000 and max(r["size"] for r in got) < 6 << 20
+
+
 def test_pipeline_stages(session, make, tmp_path):
     rng = random.Random(13)
     word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 8)))
