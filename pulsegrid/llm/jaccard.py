@@ -55,6 +55,8 @@ SKETCH = 1 << 20
 SLICE = 1 << 16
 #: Bytes of text whose prefix entries make one block, and entries that a task packs at a time.
 BLOCK_BYTES, PACKED = 40 << 20, 1 << 20
+#: Classes that a task remembers, to send copies once.
+SEEN = 1 << 18
 #: A column counted more often is dealt to several blocks, each with about this many entries of it.
 SPLIT = 1 << 16
 #: Star centres that each class is compared with first.
@@ -77,23 +79,46 @@ class Join:
     link_counts: DataFrame  # class, n_documents, n_links: other documents that each document of the class links with
 
 
-def sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Row and sorted distinct n-gram hashes of each text that has words."""
+def sets(texts: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of the texts that have words, cuts and n-gram hashes, a chunk of texts at a time: `found[cuts[i] : cuts[i +
+    1]]` are the sorted distinct hashes of text `rows[i]`."""
     data, offsets = views(texts)
     for first, last in chunks(offsets):
         words = Words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
         hashes = words.hashes(lower=True)
-        for i in np.flatnonzero(np.diff(words.of)).tolist():
-            own = hashes[words.of[i] : words.of[i + 1]]
-            yield first + i, np.unique(grams(own, min(k, len(own))))
-
-
-def class_of(found: np.ndarray) -> int:
-    """A 64-bit name of a set, as a signed number."""
-    with np.errstate(over="ignore"):
-        parts = np.array([mix(found).sum(dtype=U64), np.bitwise_xor.reduce(mix(found ^ U64(0xA5A5A5A5))), len(found)],
-                         dtype=U64)
-        return int(mix(parts[:1] * U64(0x9E3779B97F4A7C15) ^ mix(parts[1:2]) ^ parts[2:])[0].view(np.int64))
+        rows = np.flatnonzero(np.diff(words.of))
+        if not len(rows):
+            continue
+        starts, ends = words.of[rows], words.of[rows + 1]
+        short = np.flatnonzero(ends - starts < k)
+        found = np.zeros(len(hashes), U64)
+        found[: max(0, len(hashes) - k + 1)] = grams(hashes, k)
+        for a, b in zip(starts[short].tolist(), ends[short].tolist(), strict=True):
+            found[a] = grams(hashes[a:b], b - a)[0]
+        # No n-gram starts in the last words of a text: those places hold n-grams that reach into the next.
+        ends = np.maximum(ends - k, starts) + 1
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            found[a:b].sort()
+        new = np.append(True, found[1:] != found[:-1])
+        new[starts] = True
+        inside = np.zeros(len(found) + 1, np.int8)
+        inside[starts] += 1
+        inside[ends] -= 1
+        new &= np.cumsum(inside[:-1], dtype=np.int8) > 0
+        yield first + rows, np.append(0, np.cumsum(new))[np.append(starts, len(new))], found[new]
+
+
+def class_names(found: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set, as a signed number."""
+    starts, sizes = cuts[:-1], np.diff(cuts).astype(U64)
+    sums = np.add.reduceat(mix(found), starts)
+    bits = np.bitwise_xor.reduceat(mix(found ^ U64(0xA5A5A5A5)), starts)
+    return mix(sums * U64(0x9E3779B97F4A7C15) ^ mix(bits) ^ sizes).view(np.int64)
+
+
+def _slots(found: np.ndarray) -> np.ndarray:
+    """Counters of columns in the sketch."""
+    return (found % U64(SKETCH)).astype(np.int64)
 
 
 def least_overlap(n, m, percent: int):
@@ -105,33 +130,32 @@ def _text(documents: DataFrame, text: str) -> DataFrame:
     return documents.select(F.col(text).cast("string").alias("text"))
 
 
-def _profiles(documents: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """key, n, class of each document (class null for empty sets); besides, rows with slices of the sketch."""
-
-    def profile(batches):
-        sketch = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            names = np.zeros(batch.num_rows, np.int64)
-            for row, found in sets(batch["text"], k):
-                n[row], names[row] = len(found), class_of(found)
-                sketch += np.bincount((found % U64(SKETCH)).astype(np.int64), minlength=SKETCH) if len(found) > 4096 \
-                    else 0
-                if len(found) <= 4096:
-                    np.add.at(sketch, (found % U64(SKETCH)).astype(np.int64), 1)
-            empty = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch["key"], pa.array(n), pa.array(names, mask=n == 0), *empty],
-                names=["key", "n", "class", "slice", "counts"])
-        parts = sketch.reshape(-1, SLICE)
-        some = np.flatnonzero(parts.any(1))
+def _profiled(batches, k: int) -> Iterator[pa.RecordBatch]:
+    """key, n, class of each document; at the end the slices of the sketch."""
+    sketch = np.zeros(SKETCH, np.int64)
+    for batch in batches:
+        n = np.zeros(batch.num_rows, np.int64)
+        names = np.zeros(batch.num_rows, np.int64)
+        for rows, cuts, found in sets(batch["text"], k):
+            n[rows], names[rows] = np.diff(cuts), class_names(found, cuts)
+            np.add.at(sketch, _slots(found), 1)
+        empty = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [*(pa.nulls(len(some), pa.int64()) for _ in range(3)), pa.array(some, pa.int64()),
-             pa.array([pack(parts[i].view(U64)) for i in some], pa.binary())],
+            [batch["key"], pa.array(n), pa.array(names, mask=n == 0), *empty],
             names=["key", "n", "class", "slice", "counts"])
+    parts = sketch.reshape(-1, SLICE)
+    some = np.flatnonzero(parts.any(1))
+    yield pa.RecordBatch.from_arrays(
+        [*(pa.nulls(len(some), pa.int64()) for _ in range(3)), pa.array(some, pa.int64()),
+         pa.array([pack(parts[i].view(U64)) for i in some], pa.binary())],
+        names=["key", "n", "class", "slice", "counts"])
+
 
+def _profiles(documents: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """key, n, class of each document (class null for empty sets); besides, rows with slices of the sketch."""
     rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return stored(rows.mapInArrow(profile, "key long, n long, class long, slice long, counts binary"), "profiles")
+    return stored(rows.mapInArrow(lambda batches: _profiled(batches, k),
+                                  "key long, n long, class long, slice long, counts binary"), "profiles")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -150,9 +174,9 @@ def _sketch(profiles: DataFrame) -> np.ndarray:
 
 
 def prefix(found: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The first columns of a row in the common order; a linked row shares one of them."""
+    """The first columns of a row in the common order; a linked row shares one of them. `found` is sorted."""
     n = len(found)
-    order = np.lexsort((found, counts))
+    order = np.argsort(counts, kind="stable")
     return found[order[: n - math.ceil(n * percent / 100) + 1]]
 
 
@@ -163,7 +187,7 @@ def _dealt(batches, k: int, percent: int, sketch: np.ndarray, blocks: int, split
     def flush():
         column, row, place = (np.concatenate(x) for x in (columns, rows, places))
         name, size = np.array(names, np.int64), np.array(sizes, np.int64)
-        often = sketch[(column % U64(SKETCH)).astype(np.int64)].astype(np.int64) // split
+        often = sketch[_slots(column)].astype(np.int64) // split
         share = np.where(often > 0, (name[row].view(U64) % (often + 1).astype(U64)), U64(0))
         block = (((column >> U64(32)) * U64(blocks)) >> U64(32)) + share * U64(0x9E3779B1)
         block = np.where(often > 0, block % U64(max(blocks, 1)) + U64(blocks), block)
@@ -183,23 +207,27 @@ def _dealt(batches, k: int, percent: int, sketch: np.ndarray, blocks: int, split
              pa.array([m[5] for m in made], pa.bool_())],
             names=["block", "columns", "local", "places", "classes", "sizes", "often"])
 
+    seen = set()
     for batch in batches:
-        seen = set()
-        for _, found in sets(batch["text"], k):
-            name = class_of(found)
-            if name in seen:
-                continue
-            seen.add(name)
-            first = prefix(found, sketch[(found % U64(SKETCH)).astype(np.int64)], percent)
-            columns.append(first)
-            rows.append(np.full(len(first), len(names)))
-            places.append(np.arange(len(first)))
-            names.append(name)
-            sizes.append(len(found))
-            held += len(first)
-            if held >= PACKED:
-                yield flush()
-                held = 0
+        if len(seen) > SEEN:
+            seen.clear()
+        for _, cuts, found in sets(batch["text"], k):
+            counts = sketch[_slots(found)]
+            for i, name in enumerate(class_names(found, cuts).tolist()):
+                if name in seen:
+                    continue
+                seen.add(name)
+                own = slice(cuts[i], cuts[i + 1])
+                first = prefix(found[own], counts[own], percent)
+                columns.append(first)
+                rows.append(np.full(len(first), len(names)))
+                places.append(np.arange(len(first)))
+                names.append(name)
+                sizes.append(own.stop - own.start)
+                held += len(first)
+                if held >= PACKED:
+                    yield flush()
+                    held = 0
     if held:
         yield flush()
 
@@ -305,15 +333,20 @@ def _sets_of(documents: DataFrame, pairs: DataFrame, text: str, k: int) -> DataF
 
     def wanted_sets(batches):
         bits = wanted.value
+        seen = set()
         for batch in batches:
-            names, blobs, seen = [], [], set()
-            for _, found in sets(batch["text"], k):
-                name = class_of(found)
+            if len(seen) > SEEN:
+                seen.clear()
+            names, blobs = [], []
+            for _, cuts, found in sets(batch["text"], k):
+                name = class_names(found, cuts)
                 slot = name % BITS
-                if name not in seen and bits[slot >> 3] >> (7 - (slot & 7)) & 1:
-                    seen.add(name)
-                    names.append(name)
-                    blobs.append(pack_sorted(found))
+                marked = np.flatnonzero(bits[slot >> 3] >> (7 - (slot & 7)) & 1)
+                for i, one in zip(marked.tolist(), name[marked].tolist(), strict=True):
+                    if one not in seen:
+                        seen.add(one)
+                        names.append(one)
+                        blobs.append(pack_sorted(found[cuts[i] : cuts[i + 1]]))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())],
                                              names=["class", "columns"])
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -13,6 +14,7 @@ from corpus_rows import WORDS, odd_rows
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontaminate, jaccard, neighbours, phrases, secrets
+from pulsegrid.llm.arrow import chunks
 from pulsegrid.llm.components import components
 
 KINDS = {
@@ -227,6 +229,35 @@ def test_jaccard_of_nothing(make):
     assert Counter(map(tuple, got)) == Counter([(1, 0, 1), (2, 0, 2), (2, 0, 2)])
 
 
+@pytest.mark.parametrize("limit", [1, 60, 1 << 20])
+def test_sets_of_a_chunk(monkeypatch, limit):
+    monkeypatch.setattr(jaccard, "chunks", lambda offsets: chunks(offsets, limit))
+    rows = odd_rows(random.Random(9)) + [(1, "A b c"), (2, "a B c"), (3, "a b c d e a b c d e a b"), (4, "x"), (5, None)]
+    plain = shingle_sets(rows)
+    got = [(0, None)] * len(rows)
+    for at, cuts, found in jaccard.sets(pa.array([r[1] for r in rows], pa.string()), 5):
+        for row, name, own in zip(at, jaccard.class_names(found, cuts), np.split(found, cuts[1:-1]), strict=True):
+            assert (own[1:] > own[:-1]).all()
+            got[row] = len(own), name
+    assert [n for n, _ in got] == [len(s) for s in plain]
+    names = defaultdict(set)
+    for (_, name), own in zip(got, plain, strict=True):
+        names[frozenset(own)].add(name)
+    assert all(len(x) == 1 for x in names.values()) and len(set.union(*names.values())) == len(names)
+
+
+def test_short_documents_cost_no_whole_sketch():
+    texts = pa.RecordBatch.from_pydict({"key": range(2000), "text": ["w%d and more" % i for i in range(2000)]})
+    sketch = np.zeros(jaccard.SKETCH, np.int64)
+    begin = time.process_time()
+    for _ in range(200):
+        sketch += 0
+    middle = time.process_time()
+    *_, last = jaccard._profiled([texts], 5)
+    assert time.process_time() - middle < 2 * (middle - begin) + 0.2
+    assert sum(int(jaccard.unpack(x.as_py()).sum()) for x in last["counts"]) == 2000
+
+
 def test_prefixes_meet_where_sets_link():
     rng = np.random.default_rng(4)
     for _ in range(300):
