@@ -135,6 +135,30 @@ def test_phrases_on_odd_rows(make):
     assert phrases.dedup_phrases(make([]), "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("letters", [1, 128])
+def test_phrases_that_are_spelled_alike(monkeypatch, letters):
+    monkeypatch.setattr(phrases, "LETTERS", letters)
+    rng = random.Random(11)
+    words = ["w%d" % i for i in range(40)]
+    passage = [rng.choice(words) for _ in range(40)]
+    near = [*passage[:20], "other", *passage[21:]]
+    rows = [(i, " ".join([rng.choice(words) for _ in range(9)] + (near if i % 4 else passage))) for i in range(40)]
+    table = pa.table({"key": [r[0] for r in rows], "text": [r[1] for r in rows], "shard": [0] * len(rows)})
+    answers = phrases._confirm(phrases._shard_windows(table, 13, 1))
+    got = phrases._strip(table, answers, 13)
+    assert Counter(tuple(r.values()) for r in got.to_pylist()) == stripped(rows, 13)
+
+
+def test_automata_have_a_node_a_word():
+    rng = random.Random(12)
+    texts = [" ".join("w%d" % rng.randrange(5000) for _ in range(400)) for _ in range(5)]
+    table = pa.table({"key": range(10), "text": texts * 2, "shard": [0] * 10})
+    answers = phrases._confirm(phrases._shard_windows(table, 13, 1))
+    confirmed = np.sort(np.concatenate([phrases.unpack_sorted(x.as_py()) for x in answers["windows"]]))
+    automaton = next(phrases._automata(list(phrases._windows(table, 13)), 13, confirmed))[0]
+    assert len(confirmed) == 5 * 388 and automaton.get_stats()["nodes_count"] <= 13 * len(confirmed) + 1
+
+
 def shingle_sets(rows, k=5):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     out = []
