@@ -15,16 +15,17 @@ intersections; it is computed in blocks, and only where sizes leave a link possi
    columns that it has). The overlap counts of these pairs are added up over all blocks, and pairs below their bound
    go, unless the centre has DENSE classes or more. Each class is compared with the STARS partners of its largest
    counts and with the classes that meet it at these partners; links join classes to groups.
-5. What is left: columns whose classes lie in different groups. There all pairs between groups are
-   formed whose sizes and positions leave enough common columns and whose prefixes share as many as a linked pair
-   must, so no link is lost.
+5. What is left: pairs between groups that were not compared, whose sizes and positions leave enough common columns and
+   whose prefixes share as many as a linked pair must, so no link is lost. Pairs that share a column of up to SHORT
+   classes are counted in its block, and a pair moves once for each block; the entries of a longer column move, and are
+   paired where its classes lie in different groups.
 6. Comparing: pairs are dealt into blocks by their left row. The block's members are a sparse matrix, which is
    multiplied by the left row (and, for stars, by its own transpose); pairs below the size-derived bound
-   ceil(percent * (n + m) / (100 + percent)) go.
+   ceil(percent * (n + m) / (100 + percent)) go. Groups joined by the links found are the components: each is held
+   together by links, and no link leaves it.
 7. The join: each group is multiplied by its own transpose, which gives all links in it with their overlaps. A group
    of more than TILE classes is cut by size and class into parts; two parts meet in one tile where sizes allow a link,
    so a tile is bounded whatever the group. A tile gives a row for each class, with its links in arrays.
-   Components come from these links.
 
 A column held by very many documents, as the sketch counts them, is dealt to several blocks and starred in each;
 the stars' centres are starred in turn.
@@ -63,6 +64,12 @@ SPLIT = 1 << 16
 STARS = 2
 #: Classes around a centre that make a dense group: all of them are compared in blocks.
 DENSE = 32
+#: Classes of a column that is paired in its block; each of its entries makes (SHORT - 1) / 2 pairs at most.
+SHORT = 4
+#: Rows of a block: pairs of a class and its star's centre, pairs that share short columns, entries of longer columns.
+STAR, PAIR, ENTRY = 0, 1, 2
+HELD = ("kind int, column long, class long, n long, place long, centre long, centre_n long, shared long, reach boolean, "
+        "often boolean")
 #: Pairs compared in one block; classes are marked as wanted in a bitmap of 2**24 bits.
 PAIRS, BITS, PAGE = 512, 1 << 24, 1 << 15
 #: Classes in a part of a group; two parts at most are multiplied in one tile.
@@ -249,8 +256,32 @@ def _centres(starts: np.ndarray, size: np.ndarray, name: np.ndarray, percent: in
     return np.repeat(lowest, lengths)
 
 
+def _counted(a: np.ndarray, b: np.ndarray, a_n: np.ndarray, b_n: np.ndarray, reach: np.ndarray) -> list[np.ndarray]:
+    """Each pair (a, b) once: a, its size, b, its size, how often it came, and whether it came with `reach`."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)])
+    reached = np.logical_or.reduceat(reach[order], first) if len(first) else reach
+    return [a[first], a_n[order][first], b[first], b_n[order][first], np.diff(np.append(first, len(a))), reached]
+
+
+def _short_pairs(column: np.ndarray, name: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int):
+    """Pairs of classes whose sizes allow a link, for each of the columns that they share. `reach`: from a column on,
+    both rows have as many columns left as a link needs. Entries come in order of column and size."""
+    found = []
+    for by in range(1, SHORT):
+        a = np.flatnonzero((column[by:] == column[:-by]) & (100 * size[:-by] >= percent * size[by:]))
+        b = a + by
+        reach = np.minimum(size[a] - place[a], size[b] - place[b]) >= least_overlap(size[a], size[b], percent)
+        swap = name[a] > name[b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        found.append((name[a], name[b], size[a], size[b], reach))
+    return _counted(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+
 def _starred(table: pa.Table, percent: int) -> pa.Table:
-    """Entries of the block's columns that more than one class holds, each with the centre of its star."""
+    """Of the block's columns that more than one class holds: STAR rows, a class and the centre of its star with the number
+    of columns; PAIR rows, two classes and the number of short columns; ENTRY rows of the other columns."""
     parts = []
     for r in table.to_pylist():
         local = unpack(r["local"]).astype(np.int64)
@@ -265,11 +296,27 @@ def _starred(table: pa.Table, percent: int) -> pa.Table:
     starts = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
     lengths = np.diff(np.append(starts, len(column)))
     first = _centres(starts, size, name, percent)
-    held = (np.repeat(lengths, lengths) > 1) | often
-    return pa.table([pa.array(x[held]) for x in
-                     (column.view(np.int64), name, size, place, name[first], size[first])]
-                    + [pa.array(np.full(int(held.sum()), often))],
-                    names=["column", "class", "n", "place", "centre", "centre_n", "often"])
+    centre, centre_n, length = name[first], size[first], np.repeat(lengths, lengths)
+    spoke = name != centre
+    stars = _counted(name[spoke], centre[spoke], size[spoke], centre_n[spoke], np.zeros(int(spoke.sum()), bool))
+    # A column that is dealt to several blocks is paired in none of them.
+    short = (length > 1) & (length <= SHORT) & (not often)
+    pairs = _short_pairs(column[short], name[short], size[short], place[short], percent)
+    held = (length > SHORT) | often
+    n = int(held.sum())
+    nothing = lambda rows: pa.nulls(len(rows[0]), pa.int64())
+
+    def counted(kind: int, rows: list[np.ndarray]) -> pa.Table:
+        a, a_n, b, b_n, shared, reach = rows
+        return pa.table([pa.array(np.full(len(a), kind, np.int32)), nothing(rows), pa.array(a), pa.array(a_n), nothing(rows),
+                         pa.array(b), pa.array(b_n), pa.array(shared), pa.array(reach),
+                         pa.array(np.zeros(len(a), bool))], names=names)
+
+    names = [x.split()[0] for x in HELD.split(", ")]
+    entries = pa.table([pa.array(np.full(n, ENTRY, np.int32)),
+                        *(pa.array(x[held]) for x in (column.view(np.int64), name, size, place, centre, centre_n)),
+                        pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.array(np.full(n, often))], names=names)
+    return pa.concat_tables([counted(STAR, stars), counted(PAIR, pairs), entries]).combine_chunks()
 
 
 def _wanted(pairs: DataFrame) -> np.ndarray:
@@ -354,9 +401,8 @@ def _sets_of(documents: DataFrame, pairs: DataFrame, text: str, k: int) -> DataF
 
 
 def linked(documents: DataFrame, pairs: DataFrame, text: str, k: int, percent: int, among: bool = False) -> DataFrame:
-    """Links that join what the pairs (a, b) of classes join; with `among`, also what links between the partners
+    """Links that join what the stored pairs (a, b) of classes join; with `among`, also what links between the partners
     of a class join, as far as they meet in a block."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
     total = pairs.count()
     if not total:
         return pairs
@@ -383,8 +429,8 @@ def _least_shared(n: Column, m: Column, percent: int) -> Column:
 
 def _partners(held: DataFrame, percent: int) -> DataFrame:
     """Pairs (centre, class): for each class the centres with which it shares most prefix columns."""
-    counted = held.where("class <> centre").groupBy("class", "centre").agg(
-        F.count("*").alias("shared"),
+    counted = held.where(F.col("kind") == STAR).groupBy("class", "centre").agg(
+        F.sum("shared").alias("shared"),
         F.max(_least_shared(F.col("n"), F.col("centre_n"), percent)).alias("least"))
     # A class has no more centres than prefix columns.
     ranked = F.sort_array(F.collect_list(F.struct("shared", "centre")), asc=False)
@@ -392,36 +438,50 @@ def _partners(held: DataFrame, percent: int) -> DataFrame:
     near = counted.join(spokes, "centre").where((F.col("shared") >= F.col("least")) | (F.col("spokes") >= DENSE))
     best = near.groupBy("class").agg(F.slice(ranked, 1, STARS).alias("best")).select(
         F.explode("best.centre").alias("a"), F.col("class").alias("b"))
-    centres = held.where("often").select("column", "centre").distinct()
+    centres = held.where((F.col("kind") == ENTRY) & F.col("often")).select("column", "centre").distinct()
     first = centres.groupBy("column").agg(F.min("centre").alias("first"))
     between = centres.join(first, "column").where("centre <> first").select(
         F.col("first").alias("a"), F.col("centre").alias("b"))
     return best.union(between)
 
 
-def _left_over(held: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs between components that sizes and positions allow."""
-    rows = held.select("column", "class", "n", "place").join(
-        known.select(F.col("node").alias("class"), "component"), "class", "left"
-    ).withColumn("component", F.coalesce("component", "class"))
+def _left_over(held: DataFrame, known: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs between components that sizes, positions and prefixes allow, without the pairs compared before."""
+    entries = held.where(F.col("kind") == ENTRY).select("column", "class", "n", "place")
+    component = lambda rows, name, group: rows.join(
+        known.select(F.col("node").alias(name), F.col("component").alias(group)), name, "left"
+    ).withColumn(group, F.coalesce(group, name))
+    rows = component(entries, "class", "component")
     mixed = rows.groupBy("column").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rows = rows.join(mixed.where("low <> high").select("column"), "column")
     a, b = rows.alias("a"), rows.alias("b")
     need = F.ceil(percent * (F.col("a.n") + F.col("b.n")) / (100 + percent))
-    pairs = a.join(
+    far = a.join(
         b,
         (F.col("a.column") == F.col("b.column")) & (F.col("a.class") < F.col("b.class"))
         & (F.col("a.component") != F.col("b.component"))
         & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
         & (F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place")) >= need),
-    ).select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
-    # Prefix columns that two classes share are held by two: all of them are here.
-    prefixes = held.groupBy("class").agg(F.collect_set("column").alias("columns"), F.max("n").alias("n"))
-    side = lambda name: prefixes.select(
-        F.col("class").alias(name), F.col("columns").alias(f"{name}_columns"), F.col("n").alias(f"{name}_n"))
-    shared = F.size(F.array_intersect("a_columns", "b_columns"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(
-        shared >= _least_shared(F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
+    ).select(F.col("a.class").alias("a"), F.col("b.class").alias("b"), F.col("a.n").alias("a_n"),
+             F.col("b.n").alias("b_n"), F.lit(0).cast("long").alias("shared"), F.lit(True).alias("reach")).distinct()
+    near = held.where(F.col("kind") == PAIR).select(
+        F.col("class").alias("a"), F.col("centre").alias("b"), F.col("n").alias("a_n"), F.col("centre_n").alias("b_n"),
+        "shared", "reach")
+    # The first column that two linked classes share has `reach`, whether it is short or not.
+    pairs = near.union(far).groupBy("a", "b").agg(
+        F.max("a_n").alias("a_n"), F.max("b_n").alias("b_n"), F.sum("shared").alias("shared"),
+        F.bool_or("reach").alias("reach")).where("reach").drop("reach")
+    # Columns that two classes share are held by two: all of them are counted, or are among the entries.
+    longer = entries.groupBy("class").agg(F.collect_set("column").alias("columns"))
+    side = lambda name: longer.select(F.col("class").alias(name), F.col("columns").alias(f"{name}_columns"))
+    least = _least_shared(F.col("a_n"), F.col("b_n"), percent)
+    size = lambda columns: F.coalesce(F.when(columns.isNotNull(), F.size(columns)), F.lit(0))
+    pairs = pairs.join(side("a"), "a", "left").where(F.col("shared") + size(F.col("a_columns")) >= least)
+    pairs = pairs.join(side("b"), "b", "left").where(
+        F.col("shared") + size(F.array_intersect("a_columns", "b_columns")) >= least).select("a", "b")
+    done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = component(component(pairs, "a", "a_in"), "b", "b_in").where("a_in <> b_in").select("a", "b")
+    return pairs.join(done, ["a", "b"], "left_anti")
 
 
 def _tiles(members: DataFrame, percent: int, tile: int) -> DataFrame:
@@ -461,7 +521,7 @@ def _tiles(members: DataFrame, percent: int, tile: int) -> DataFrame:
 
 def _tile_links(rows: dict[int, tuple[np.ndarray, int, int]], left: int, right: int, percent: int) -> Iterator[tuple]:
     """Of a tile's classes, with columns, copies and part: class, size, the linked classes behind it, their sizes and
-    overlaps, those of them that join what links before have not joined, and the documents that it links with."""
+    overlaps, and the documents that it links with."""
     names = sorted(rows, key=lambda x: (rows[x][2], x))
     sizes = np.array([len(rows[x][0]) for x in names])
     copies = np.array([rows[x][1] for x in names])
@@ -469,7 +529,6 @@ def _tile_links(rows: dict[int, tuple[np.ndarray, int, int]], left: int, right:
     columns, cells = np.unique(np.concatenate([rows[x][0] for x in names]), return_inverse=True)
     starts = np.append(0, np.cumsum(sizes))
     met = np.zeros(len(names), np.int64)
-    group = np.arange(len(names))
     found = []
     for i in range(len(names)):
         begin = i + 1 if left == right else max(i + 1, first)
@@ -482,18 +541,14 @@ def _tile_links(rows: dict[int, tuple[np.ndarray, int, int]], left: int, right:
             overlap, hits = overlap[hits], hits + begin
         met[i] += copies[hits].sum()
         met[hits] += copies[i]
-        fresh, one = np.unique(group[hits], return_index=True)
-        one = one[fresh != group[i]]
-        if len(one):
-            group[np.isin(group, fresh)] = group[i]
-        found.append((hits, overlap, hits[one]))
+        found.append((hits, overlap))
     ids = np.array(names, np.int64)
-    for i, (hits, overlap, joins) in enumerate(found):
+    for i, (hits, overlap) in enumerate(found):
         if met[i]:
-            yield names[i], sizes[i], ids[hits], sizes[hits], overlap, ids[joins], met[i]
+            yield names[i], sizes[i], ids[hits], sizes[hits], overlap, met[i]
 
 
-LINKS = "class long, n long, b array<long>, b_n array<long>, shared array<long>, joins array<long>, met long"
+LINKS = "class long, n long, b array<long>, b_n array<long>, shared array<long>, met long"
 
 
 def _all_links(documents: DataFrame, members: DataFrame, text: str, k: int, percent: int, tile: int) -> DataFrame:
@@ -508,8 +563,8 @@ def _all_links(documents: DataFrame, members: DataFrame, text: str, k: int, perc
             tiles.setdefault((r["component"], r["left"], r["right"]), {})[r["class"]] = (
                 blobs[r["class"]], r["copies"], r["part"])
         out = [x for (_, left, right), rows in tiles.items() for x in _tile_links(rows, left, right, percent)]
-        names = ["class", "n", "b", "b_n", "shared", "joins", "met"]
-        kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 4, pa.int64()]
+        names = ["class", "n", "b", "b_n", "shared", "met"]
+        kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3, pa.int64()]
         return pa.table([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=names)
 
     pairs = members.select(F.col("class").alias("a"), F.col("class").alias("b"))
@@ -519,9 +574,10 @@ def _all_links(documents: DataFrame, members: DataFrame, text: str, k: int, perc
         "joined")
 
 
-def jaccard_join(documents: DataFrame, key: str, text: str, k: int = K, percent: int = PERCENT,
-                 block_bytes: int = BLOCK_BYTES, split: int = SPLIT, tile: int = TILE) -> Join:
-    """All links, and the components that they make."""
+def _grouped(documents: DataFrame, key: str, text: str, k: int, percent: int, block_bytes: int,
+             split: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Profiles of the documents; class, least (key), n, copies of each class; node, component of the classes that have
+    links."""
     spark = documents.sparkSession
     profiles = _profiles(documents, key, text, k)
     total = documents.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
@@ -534,30 +590,41 @@ def jaccard_join(documents: DataFrame, key: str, text: str, k: int = K, percent:
     schema = "block long, columns binary, local binary, places binary, classes binary, sizes binary, often boolean"
     held = stored(
         _text(documents, text).mapInArrow(deal, schema).groupBy("block").applyInArrow(
-            lambda table: _starred(table, percent),
-            "column long, class long, n long, place long, centre long, centre_n long, often boolean"),
+            lambda table: _starred(table, percent), HELD),
         "held")
-    links = linked(documents, _partners(held, percent), text, k, percent, among=True)
+    compared = stored(_partners(held, percent).distinct(), "pairs")
+    links = linked(documents, compared, text, k, percent, among=True)
     known = components(links)
-    more = linked(documents, _left_over(held, known, percent), text, k, percent)
+    more = linked(documents, stored(_left_over(held, known, compared, percent), "pairs"), text, k, percent)
     if more.take(1):
         known = components(links.union(more))
     rows = profiles.where("slice is null")
     classes = rows.where("class is not null").groupBy("class").agg(
         F.min("key").alias("least"), F.max("n").alias("n"), F.count("*").alias("copies"))
-    members = stored(classes.join(known.withColumnRenamed("node", "class"), "class"), "members")
-    links = _all_links(documents, members, text, k, percent, tile)
-    joined = components(links.select(F.col("class").alias("a"), F.explode("joins").alias("b")))
-    classes = classes.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn(
+    return rows.select("key", "n", "class"), classes, known
+
+
+def _named(rows: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+    """key, n_shingles, class, component_id of each document."""
+    classes = classes.join(known.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "component").select("class", "component_id")
+    return rows.join(named, "class", "left").select(
+        "key", F.col("n").alias("n_shingles"), "class",
+        F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def jaccard_join(documents: DataFrame, key: str, text: str, k: int = K, percent: int = PERCENT,
+                 block_bytes: int = BLOCK_BYTES, split: int = SPLIT, tile: int = TILE) -> Join:
+    """All links, and the components that they make."""
+    rows, classes, known = _grouped(documents, key, text, k, percent, block_bytes, split)
+    members = stored(classes.join(known.withColumnRenamed("node", "class"), "class"), "members")
+    links = _all_links(documents, members, text, k, percent, tile)
     each = links.select("class", "n", F.explode(F.arrays_zip("b", "b_n", "shared")).alias("link"))
     met = links.groupBy("class").agg(F.sum("met").alias("met"))
     return Join(
-        rows.join(named, "class", "left").select(
-            "key", F.col("n").alias("n_shingles"), "class",
-            F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id")),
+        _named(rows, classes, known),
         each.select(F.col("class").alias("a"), "link.b", F.col("n").alias("a_n"), "link.b_n", "link.shared"),
         classes.join(met, "class", "left").select(
             "class", F.col("copies").alias("n_documents"),
@@ -567,5 +634,5 @@ def jaccard_join(documents: DataFrame, key: str, text: str, k: int = K, percent:
 def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, percent: int = PERCENT,
                        block_bytes: int = BLOCK_BYTES, split: int = SPLIT) -> DataFrame:
     """key, n_shingles, component_id (least key reachable by links) of each document."""
-    found = jaccard_join(documents, key, text, k, percent, block_bytes, split)
-    return found.documents.select("key", "n_shingles", "component_id")
+    return _named(*_grouped(documents, key, text, k, percent, block_bytes, split)).select(
+        "key", "n_shingles", "component_id")

@@ -247,6 +247,60 @@ def test_jaccard_gives_all_links(make, options):
     assert Counter((r.key, r.n_shingles, r.component_id) for r in documents) == linked_components(rows)
 
 
+def near_groups(rng, groups):
+    """Groups of 2 to 9 texts around the bound, some of which share lines with other groups."""
+    words = ["w%d" % i for i in range(500)]
+    lines = [" ".join(rng.choice(words) for _ in range(9)) for _ in range(6)]
+    rows = []
+    for _ in range(groups):
+        text = [rng.choice(words) for _ in range(70)]
+        for _ in range(rng.randrange(2, 10)):
+            own = list(text)
+            for _ in range(rng.randrange(0, 5)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows.append((len(rows), " ".join(own + rng.sample(lines, rng.choice([0, 0, 1, 2])))))
+    return rows
+
+
+def test_pairs_are_compared_once(make, monkeypatch):
+    rows, seen, compare = near_groups(random.Random(31), 25), [], jaccard.linked
+
+    def spy(documents, pairs, *rest, **options):
+        seen.append([frozenset((r.a, r.b)) for r in pairs.collect()])
+        return compare(documents, pairs, *rest, **options)
+
+    monkeypatch.setattr(jaccard, "linked", spy)
+    got = jaccard.jaccard_components(make(rows), "doc_id", "text", block_bytes=5000)
+    assert Counter(tuple(r) for r in got.collect()) == linked_components(rows)
+    stars, rest = seen
+    assert stars and rest and not set(stars) & set(rest)
+
+
+def test_pairs_leave_a_block_once():
+    rng = random.Random(32)
+    rows = near_groups(rng, 6) + [(1000 + i, " ".join("v%d" % rng.randrange(10**6) for _ in range(80))) for i in range(9)]
+    sketch = np.ones(jaccard.SKETCH, np.uint32)
+    batch = pa.RecordBatch.from_pydict({"text": [r[1] for r in rows]})
+    block = pa.Table.from_batches(jaccard._dealt([batch], 5, 75, sketch, 1, 1 << 16))
+    got = jaccard._starred(block, 75).to_pylist()
+    sets = [(name, own, set(jaccard.prefix(own, sketch[jaccard._slots(own)], 75).tolist()))
+            for _, cuts, found in jaccard.sets(batch["text"], 5)
+            for name, own in zip(jaccard.class_names(found, cuts).tolist(), np.split(found, cuts[1:-1]), strict=True)]
+    sets = list({name: (name, len(own), columns) for name, own, columns in sets}.values())
+    held = Counter(c for _, _, columns in sets for c in columns)
+    pairs = {}
+    for a, n, x in sets:
+        for b, m, y in sets:
+            shared = sum(held[c] <= jaccard.SHORT for c in x & y)
+            if a < b and shared and 100 * min(n, m) >= 75 * max(n, m):
+                pairs[a, b] = n, m, shared
+    assert {(r["class"], r["centre"]): (r["n"], r["centre_n"], r["shared"]) for r in got if r["kind"] == jaccard.PAIR} == pairs
+    kinds = Counter(r["kind"] for r in got)
+    assert kinds[jaccard.PAIR] == len(pairs) and kinds[jaccard.ENTRY] == sum(n for n in held.values() if n > jaccard.SHORT)
+    stars = [(r["class"], r["centre"]) for r in got if r["kind"] == jaccard.STAR]
+    assert len(stars) == len(set(stars)) and len(got) < sum(n for n in held.values() if n > 1)
+
+
 def test_jaccard_of_nothing(make):
     assert jaccard.jaccard_components(make([]), "doc_id", "text").count() == 0
     got = jaccard.jaccard_components(make([(1, None), (2, ""), (2, "")]), "doc_id", "text").collect()
