@@ -27,9 +27,10 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         both = _both(edges)
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        # Large star: larger neighbours go to the least node around.
+        # Large star: larger neighbours go to the least node around. Equal rows go when the round ends, not by a
+        # shuffle of their own here.
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = large.where("a <> b")
         # Small star: a node and its smaller neighbours go to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(

@@ -597,7 +597,8 @@ def _grouped(documents: DataFrame, key: str, text: str, k: int, percent: int, bl
     known = components(links)
     more = linked(documents, stored(_left_over(held, known, compared, percent), "pairs"), text, k, percent)
     if more.take(1):
-        known = components(links.union(more))
+        # What is known already, as stars: it takes fewer rounds than the links that it was made of.
+        known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     rows = profiles.where("slice is null")
     classes = rows.where("class is not null").groupBy("class").agg(
         F.min("key").alias("least"), F.max("n").alias("n"), F.count("*").alias("copies"))

@@ -16,6 +16,7 @@ result.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -181,31 +182,40 @@ class Scorer:
     bias: float
 
 
-def fit(texts: list[str], soft: np.ndarray, seed: int = 5) -> Scorer:
+def _bags(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of each text, their values, and where each text's begin. Two arrays for all texts, not two a text: the
+    driver gives their memory back when they go."""
+    rows, shares, cuts = array("i"), array("f"), [0]
+    for i in range(len(texts)):
+        data, offsets = views(texts[i : i + 1].combine_chunks())
+        some, counts = np.unique(_features(data), return_counts=True)
+        measured = measures(data, offsets)
+        bins = _bin_features(measured)[0] if not np.isnan(measured[0, 0]) else np.zeros(0, np.int64)
+        rows.frombytes(np.append(some, bins).astype(np.int32).tobytes())
+        shares.frombytes(np.append(counts / max(1, counts.sum()), np.ones(len(bins))).astype(np.float32).tobytes())
+        cuts.append(len(rows))
+    return np.frombuffer(rows, np.int32), np.frombuffer(shares, np.float32), np.array(cuts)
+
+
+def fit(texts: pa.ChunkedArray, soft: np.ndarray, seed: int = 5) -> Scorer:
     """Logistic regression on soft labels by stochastic gradient descent."""
     rng = np.random.default_rng(seed)
     w, bias = np.zeros(BUCKETS), 0.0
-    bags = []
-    for text in texts:
-        data, offsets = views(pa.array([text]))
-        rows, counts = np.unique(_features(data), return_counts=True)
-        measured = measures(data, offsets)
-        some = [*_bin_features(measured)[0]] if not np.isnan(measured[0, 0]) else []
-        bags.append((np.append(rows, some).astype(np.int32),
-                     np.append(counts / max(1, counts.sum()), np.ones(len(some))).astype(np.float32)))
-    batches = max(1, -(-len(bags) // BATCH))
+    rows, shares, cuts = _bags(texts)
+    batches = max(1, -(-len(texts) // BATCH))
     epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
     steps, step = epochs * batches, 0
-    for _ in range(epochs if bags else 0):
-        order = rng.permutation(len(bags))
+    for _ in range(epochs if len(texts) else 0):
+        order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             part = order[at : at + BATCH]
-            error = np.array([1 / (1 + np.exp(-np.clip(bags[i][1] @ w[bags[i][0]] + bias, -30, 30))) - soft[i]
-                              for i in part]) / len(part)
+            bags = [(rows[cuts[i] : cuts[i + 1]], shares[cuts[i] : cuts[i + 1]]) for i in part]
+            error = np.array([1 / (1 + np.exp(-np.clip(share @ w[row] + bias, -30, 30))) - soft[i]
+                              for i, (row, share) in zip(part, bags, strict=True)]) / len(part)
             rate = RATE * 4 * (1 - step / steps)
             w *= 1 - DECAY * rate
-            for i, e in zip(part, error, strict=True):
-                np.subtract.at(w, bags[i][0], rate * e * bags[i][1])
+            for (row, share), e in zip(bags, error, strict=True):
+                np.subtract.at(w, row, rate * e * share)
             bias -= rate * error.sum()
             step += 1
     return Scorer(w, bias)
@@ -261,9 +271,9 @@ def train(documents: DataFrame, text: str, key: str, limit: int = SAMPLE_ROWS) -
         documents.where(F.col(text).isNotNull()).select(
             F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")),
         limit, "key", "text",
-    ).collect()
-    texts = [r["text"] for r in rows]
-    cast = [votes(measures(*views(pa.array([t]))))[0] for t in texts]
+    )
+    texts = rows.select("text").toArrow()["text"]
+    cast = [votes(measures(*views(texts[i : i + 1].combine_chunks())))[0] for i in range(len(texts))]
     soft = model.posterior(np.array(cast).reshape(-1, len(LABELLERS)))
     return fit(texts, soft), model
 

@@ -174,6 +174,20 @@ def test_toxicity_learns_terms_that_tell_nothing_alone(law):
     assert toxicity.bags_of([f"{signs}zork{signs} {signs}"])[0][0].tolist() == toxicity.bags_of(["zork"])[0][0].tolist()
 
 
+def test_features_of_a_sample_are_two_arrays():
+    texts = pa.chunked_array([["Some words of plain prose, said twice.", "", "ab"], ["x", "of a text with $$$ five"]])
+    rows, shares, cuts = quality._bags(texts)
+    assert rows.dtype == np.int32 and shares.dtype == np.float32 and len(rows) == len(shares) == cuts[-1]
+    for i, text in enumerate(texts):
+        data, offsets = quality.views(pa.array([text.as_py()]))
+        some, counts = np.unique(quality._features(data), return_counts=True)
+        measured = quality.measures(data, offsets)
+        bins = [] if np.isnan(measured[0, 0]) else quality._bin_features(measured)[0].tolist()
+        own = slice(cuts[i], cuts[i + 1])
+        assert rows[own].tolist() == some.tolist() + bins
+        assert np.allclose(shares[own], [*(counts / max(1, counts.sum())), *(1.0 for _ in bins)])
+
+
 def test_quality(make):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 8)))
