@@ -33,11 +33,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
     records = docs.select(*COLUMNS, F.when(words, F.xxhash64("doc_id", "text")).alias("record"))
     worded = records.where("record IS NOT NULL")
-    found = jaccard.jaccard_components(worded, "record", "text").select("key", "component_id").distinct()
-    ids = worded.select(F.col("record").alias("key"), "doc_id").distinct()
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key"))
-    kept = found.join(ids, "key").groupBy("component_id").agg(first.alias("first")).select(
-        F.col("first.key").alias("record"))
+    kept = jaccard.jaccard_first(worded, "record", "text", "doc_id").withColumnRenamed("key", "record")
     chosen = worded.join(kept, "record", "left_semi").dropDuplicates(["record"])
     return chosen.select(COLUMNS).unionByName(records.where("record IS NULL").select(COLUMNS))
 

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.arrow import U64, Words, chunks, grams, mix, pack, pack_sorted, unpack, unpack_sorted, views
-from pulsegrid.llm.components import components
+from pulsegrid.llm.components import stars, with_centres
 from pulsegrid.llm.storage import stored
 
 K, PERCENT = 5, 75
@@ -138,7 +138,7 @@ def _text(documents: DataFrame, text: str) -> DataFrame:
 
 
 def _profiled(batches, k: int) -> Iterator[pa.RecordBatch]:
-    """key, n, class of each document; at the end the slices of the sketch."""
+    """key, by, n, class of each document; at the end the slices of the sketch."""
     sketch = np.zeros(SKETCH, np.int64)
     for batch in batches:
         n = np.zeros(batch.num_rows, np.int64)
@@ -148,21 +148,22 @@ def _profiled(batches, k: int) -> Iterator[pa.RecordBatch]:
             np.add.at(sketch, _slots(found), 1)
         empty = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch["key"], pa.array(n), pa.array(names, mask=n == 0), *empty],
-            names=["key", "n", "class", "slice", "counts"])
+            [batch["key"], batch["by"], pa.array(n), pa.array(names, mask=n == 0), *empty],
+            names=["key", "by", "n", "class", "slice", "counts"])
     parts = sketch.reshape(-1, SLICE)
     some = np.flatnonzero(parts.any(1))
     yield pa.RecordBatch.from_arrays(
-        [*(pa.nulls(len(some), pa.int64()) for _ in range(3)), pa.array(some, pa.int64()),
+        [*(pa.nulls(len(some), pa.int64()) for _ in range(4)), pa.array(some, pa.int64()),
          pa.array([pack(parts[i].view(U64)) for i in some], pa.binary())],
-        names=["key", "n", "class", "slice", "counts"])
+        names=["key", "by", "n", "class", "slice", "counts"])
 
 
-def _profiles(documents: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """key, n, class of each document (class null for empty sets); besides, rows with slices of the sketch."""
-    rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+def _profiles(documents: DataFrame, key: str, text: str, k: int, by: str | None) -> DataFrame:
+    """key, by, n, class of each document (class null for empty sets); besides, rows with slices of the sketch."""
+    rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"),
+                            (F.col(by) if by else F.lit(None)).cast("long").alias("by"))
     return stored(rows.mapInArrow(lambda batches: _profiled(batches, k),
-                                  "key long, n long, class long, slice long, counts binary"), "profiles")
+                                  "key long, by long, n long, class long, slice long, counts binary"), "profiles")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -575,11 +576,11 @@ def _all_links(documents: DataFrame, members: DataFrame, text: str, k: int, perc
 
 
 def _grouped(documents: DataFrame, key: str, text: str, k: int, percent: int, block_bytes: int,
-             split: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Profiles of the documents; class, least (key), n, copies of each class; node, component of the classes that have
-    links."""
+             split: int, by: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Profiles of the documents; class, least (key), first (by `by`, nulls last, and key), n, copies of each class; node,
+    component of the classes that have links, without those that give a component its name."""
     spark = documents.sparkSession
-    profiles = _profiles(documents, key, text, k)
+    profiles = _profiles(documents, key, text, k, by)
     total = documents.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     blocks = int(total // block_bytes + 1)
     sketch = spark.sparkContext.broadcast(_sketch(profiles))
@@ -594,21 +595,27 @@ def _grouped(documents: DataFrame, key: str, text: str, k: int, percent: int, bl
         "held")
     compared = stored(_partners(held, percent).distinct(), "pairs")
     links = linked(documents, compared, text, k, percent, among=True)
-    known = components(links)
+    known = stars(links)
     more = linked(documents, stored(_left_over(held, known, compared, percent), "pairs"), text, k, percent)
     if more.take(1):
         # What is known already, as stars: it takes fewer rounds than the links that it was made of.
-        known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+        known = stars(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     rows = profiles.where("slice is null")
     classes = rows.where("class is not null").groupBy("class").agg(
-        F.min("key").alias("least"), F.max("n").alias("n"), F.count("*").alias("copies"))
+        F.min("key").alias("least"), F.min(F.struct(F.col("by").isNull().alias("none"), "by", "key")).alias("first"),
+        F.max("n").alias("n"), F.count("*").alias("copies"))
     return rows.select("key", "n", "class"), classes, known
 
 
+def _in_components(classes: DataFrame, known: DataFrame) -> DataFrame:
+    """Classes with their component."""
+    return classes.join(known.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "component", F.coalesce("component", "class"))
+
+
 def _named(rows: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
     """key, n_shingles, class, component_id of each document."""
-    classes = classes.join(known.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
+    classes = _in_components(classes, known)
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "component").select("class", "component_id")
     return rows.join(named, "class", "left").select(
@@ -620,7 +627,8 @@ def jaccard_join(documents: DataFrame, key: str, text: str, k: int = K, percent:
                  block_bytes: int = BLOCK_BYTES, split: int = SPLIT, tile: int = TILE) -> Join:
     """All links, and the components that they make."""
     rows, classes, known = _grouped(documents, key, text, k, percent, block_bytes, split)
-    members = stored(classes.join(known.withColumnRenamed("node", "class"), "class"), "members")
+    members = stored(
+        classes.drop("first").join(with_centres(known).withColumnRenamed("node", "class"), "class"), "members")
     links = _all_links(documents, members, text, k, percent, tile)
     each = links.select("class", "n", F.explode(F.arrays_zip("b", "b_n", "shared")).alias("link"))
     met = links.groupBy("class").agg(F.sum("met").alias("met"))
@@ -637,3 +645,13 @@ def jaccard_components(documents: DataFrame, key: str, text: str, k: int = K, pe
     """key, n_shingles, component_id (least key reachable by links) of each document."""
     return _named(*_grouped(documents, key, text, k, percent, block_bytes, split)).select(
         "key", "n_shingles", "component_id")
+
+
+def jaccard_first(documents: DataFrame, key: str, text: str, by: str, k: int = K, percent: int = PERCENT,
+                  block_bytes: int = BLOCK_BYTES, split: int = SPLIT) -> DataFrame:
+    """key of one document of each component, that with the least `by` (a number; nulls come last), then the least key.
+    Documents with an empty set are in no component. Classes are joined, not documents, and `by` comes along with the
+    sets: a shuffle less for each column that would be looked up."""
+    _, classes, known = _grouped(documents, key, text, k, percent, block_bytes, split, by)
+    first = _in_components(classes.select("class", "first"), known).groupBy("component").agg(F.min("first").alias("first"))
+    return stored(first.select(F.col("first.key").alias("key")), "first")

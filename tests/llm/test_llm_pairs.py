@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontaminate, jaccard, neighbours, phrases, secrets
 from pulsegrid.llm.arrow import chunks
-from pulsegrid.llm.components import components
+from pulsegrid.llm.components import components, stars, with_centres
 
 KINDS = {
     "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -385,6 +385,68 @@ def test_rounds_of_components_take_few_jobs(session):
     assert 0 < jobs <= 55  # 59 with a shuffle for the equal rows of each large star
 
 
+def stages_of(session, work):
+    """Stages, run or skipped, of the jobs that `work` starts."""
+    group = f"counted-{random.random()}"
+    session.sparkContext.setJobGroup(group, "counted")
+    try:
+        work()
+    finally:
+        session.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = session.sparkContext.statusTracker()
+    return sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group))
+
+
+def test_components_end_with_the_round_that_settles_them(session):
+    """A further round that changes nothing takes as many tasks as any other."""
+    links = [(10 * c, 10 * c + i) for c in range(40) for i in range(1, 9)]
+    found = []
+    n = stages_of(session, lambda: found.extend(
+        stars(session.createDataFrame(links, "a long, b long")).collect()))
+    assert Counter(tuple(r) for r in found) == Counter((b, a) for a, b in links)
+    assert 0 < n <= 25  # 30 with a round that only finds nothing changed
+    assert Counter(tuple(r) for r in with_centres(session.createDataFrame(found)).collect()) == Counter(
+        [*((b, a) for a, b in links), *((10 * c, 10 * c) for c in range(40))])
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 3000, "split": 3}])
+def test_first_of_near_copies(session, make, options):
+    rng = random.Random(31)
+    words = ["w%d" % i for i in range(300)]
+    rows = []
+    for base in range(15):
+        text = [rng.choice(words) for _ in range(60)]
+        for copy in range(rng.choice([1, 2, 6, 9])):
+            own = list(text)
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows.append((rng.choice([None, *range(40)]), " ".join(own)))
+    rows += [(r[0], r[1]) for r in odd_rows(rng)]
+    # Keys are places in the table; the documents' ids repeat and are null.
+    keyed = [(key, text, str(by) if by is not None else None) for key, (by, text) in enumerate(rows)]
+    components_of = {key: component for key, n, component in linked_components(keyed) if n}
+    best = {}
+    for key, component in components_of.items():
+        order = (rows[key][0] is None, rows[key][0] or 0, key)
+        best[component] = min(best.get(component, order), order)
+    docs = make(keyed).withColumn("by", F.col("lang").cast("long"))
+    got = jaccard.jaccard_first(docs, "doc_id", "text", "by", **options).collect()
+    assert Counter(r.key for r in got) == Counter(x[2] for x in best.values())
+    assert jaccard.jaccard_first(make([]), "doc_id", "text", "n_chars").count() == 0
+
+
+def test_near_copies_take_few_stages(session, make):
+    """Each stage leaves its tasks' figures, map statuses and plan with the driver."""
+    rng = random.Random(32)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    rows = [(i, prose()) for i in range(60)]
+    rows += [(100 + 10 * i + j, rows[i][1] + f" {j}") for i in range(20) for j in range(4)]
+    docs, kept = make(rows), []
+    n = stages_of(session, lambda: kept.extend(corpus_pipeline.one_of_near_copies(session, docs, "").collect()))
+    assert {r.doc_id for r in kept} == set(range(60)) and len(kept) == 60
+    assert 0 < n <= 95  # 111 with documents, not classes, joined to components
+
+
 def exact_neighbours(ids, x, top):
     out = {}
     for i, q in zip(ids, x, strict=True):
