@@ -16,12 +16,14 @@ def population(documents: DataFrame) -> DataFrame:
     """Profiles of each user's latest upload; equally late, different profiles are all kept.
 
     Uploads are first merged per user and load time, so a user with very many uploads is spread
-    out, and each task then passes on one load time per user. Documents are read once.
+    out, and each task then passes on one load time per user. Documents are read once; a filter on ID would parse
+    each once more, so uploads without one are merged into a group that holds no profile.
     """
-    profile = F.struct("AGE", "BLOODTYPE", "GENDER")
+    named = F.col("ID").isNotNull()
+    profile = F.when(named, F.struct("AGE", "BLOODTYPE", "GENDER"))
     uploads = (
-        documents.filter(F.col("ID").isNotNull())
-        .groupBy("ID", "LOADTIME").agg(F.collect_set(profile).alias("P"))
+        documents.groupBy("ID", F.when(named, F.col("LOADTIME")).alias("LOADTIME"))
+        .agg(F.collect_set(profile).alias("P"))
     )
     latest = uploads.groupBy("ID").agg(
         F.max_by("P", "LOADTIME").alias("P"), F.max("LOADTIME").alias("LOADTIME")

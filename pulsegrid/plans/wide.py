@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,7 +109,7 @@ def pop_agg(samples_df: DataFrame, population_df: DataFrame, calendar: Calendar,
     Sums, nights and arrays are NULL on days without samples, hourly arrays always have 24 entries.
     PART is 0 except on the continuation rows of very long days. ``by_month`` arranges the rows for
     ``store_pop_agg``, before the empty hours make them large, and adds MONTH: each task gets a slice of the users
-    in one month, in order of user and date. ``options`` go to ``wide_days``.
+    in one month, as many slices as the month's days need, in order of user and date. ``options`` go to ``wide_days``.
     """
     spine = population.profiled_spine(population_df, calendar)
     days = wide_days(samples_df, spine, calendar, **options)
@@ -116,10 +118,14 @@ def pop_agg(samples_df: DataFrame, population_df: DataFrame, calendar: Calendar,
         return fill_days(days, run_date)
     first = calendar.start.replace(day=1)
     months = (calendar.last.year - first.year) * 12 + calendar.last.month - first.month + 1
-    slices = max(1, math.ceil(population_df.count() * calendar.days / months / WIDE_ROWS_PER_FILE))
+    days_of = Counter((d.year - first.year) * 12 + d.month - first.month for d in calendar.listed())
+    users = population_df.count()
+    slices = [max(1, math.ceil(users * days_of[m] / WIDE_ROWS_PER_FILE)) for m in range(months)]
+    before = list(accumulate(slices, initial=0))
     month = (F.year("DATE") - first.year) * 12 + F.month("DATE") - first.month
-    task = month * slices + F.pmod(F.xxhash64("ID"), F.lit(slices)).cast("int")
-    arranged = days.repartitionById(months * slices, task).sortWithinPartitions("ID", "DATE", "PART")
+    of_month = lambda numbers: F.get(F.array(*[F.lit(n) for n in numbers]), month)
+    task = of_month(before[:-1]) + F.pmod(F.xxhash64("ID"), of_month(slices)).cast("int")
+    arranged = days.repartitionById(before[-1], task).sortWithinPartitions("ID", "DATE", "PART")
     return with_month(fill_days(arranged, run_date))
 
 

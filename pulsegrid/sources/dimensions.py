@@ -19,6 +19,9 @@ class Calendar(NamedTuple):
     def last(self) -> dt.date:
         return self.start + dt.timedelta(days=self.days - 1)
 
+    def listed(self) -> list[dt.date]:
+        return [self.start + dt.timedelta(days=n) for n in range(self.days)]
+
     def dates(self) -> Column:
         return F.sequence(F.lit(self.start), F.lit(self.last), F.expr("interval 1 day"))
 
